@@ -58,7 +58,7 @@ FROM documents d JOIN labels l ON d.doc_id = l.doc_id""",
 }
 
 
-def query(name: str, oracle: str | None = None, views: tuple[str, ...] = ()):
+def query(name: str, oracle: str | None = None, views: tuple[str, ...] = (), recursive: bool = False):
     """Register a query; ``views`` names the stand-in views its oracle text reads."""
 
     def wrap(fn):
@@ -71,21 +71,22 @@ def query(name: str, oracle: str | None = None, views: tuple[str, ...] = ()):
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
         if oracle is not None:
-            ORACLES[name] = with_views(oracle, *views)
+            ORACLES[name] = with_views(oracle, *views, recursive=recursive)
         return fn
 
     return wrap
 
 
-def with_views(sql: str, *views: str) -> str:
+def with_views(sql: str, *views: str, recursive: bool = False) -> str:
     """Prefix ``sql`` with the named views as common table expressions."""
     if not views:
         return sql.strip()
     ctes = ",\n".join(f"{v} AS ({VIEWS[v].strip()})" for v in views)
     text = sql.strip()
+    start = "WITH RECURSIVE" if recursive else "WITH"
     if text[:4].upper() == "WITH":
-        return f"WITH {ctes},\n{text[4:].lstrip()}"
-    return f"WITH {ctes}\n{text}"
+        return f"{start} {ctes},\n{text[4:].lstrip()}"
+    return f"{start} {ctes}\n{text}"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
