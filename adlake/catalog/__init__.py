@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import importlib
-import importlib.util
 
 from adlake.catalog.registry import ORACLES, QUERIES
 
@@ -22,7 +21,6 @@ _MODULES = (
 )
 
 for _name in _MODULES:
-    if importlib.util.find_spec(f"adlake.catalog.{_name}") is None: continue
     importlib.import_module(f"adlake.catalog.{_name}")
 
 __all__ = ["ORACLES", "QUERIES"]

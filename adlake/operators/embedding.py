@@ -168,11 +168,16 @@ def sample_tokens(samples: DataFrame, sample_id: str, features: Mapping[str, Col
     cells = []
     for name, c in features.items():
         tokens = c if types[name].dataType.typeName() == "array" else F.array(c)
-        cells.append(F.transform(tokens, lambda t, name=name: F.struct(F.lit(name).alias("feature"), t.alias("token_id"))))
+        cells.append(labelled_tokens(tokens, name))
     rows = samples.select(sample_id, F.explode(F.concat(*cells)).alias("_t"))
     return rows.select(sample_id, "_t.feature", "_t.token_id")
 
 
+def labelled_tokens(tokens: Column, feature: str, *extra: Column) -> Column:
+    """Array of (feature, token_id, extra…) structs."""
+    return F.transform(tokens, lambda t: F.struct(F.lit(feature).alias("feature"), t.alias("token_id"), *extra))
+
+
 def unique_tokens(tokens: DataFrame, per_feature: bool = False) -> DataFrame:
     return tokens.select(*(["feature"] if per_feature else []), "token_id").distinct()
 

@@ -121,6 +121,11 @@ def share_of_group(df: DataFrame, keys: Sequence[str], value: str, output: str)
     return total.withColumn(output, F.try_divide(F.col(value), F.col("_total"))).drop("_total")
 
 
+def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Rows per (group, distinct value), NULL values left out; written once because percentiles read it repeatedly."""
+    return cut_lineage(df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n")))
+
+
 def exact_percentiles(
     df: DataFrame,
     keys: Sequence[str],
@@ -128,18 +133,19 @@ def exact_percentiles(
     probabilities: Mapping[str, float],
     method: str = "linear",
     hot_rows: int = HOT_ROWS,
+    counted: bool = False,
 ) -> DataFrame:
     """Exact percentiles per group without holding a group in memory.
 
     Values are counted per distinct value, the counts are summed in value order, and each percentile is the smallest
     value whose running count passes its rank. ``method``: ``linear`` interpolates between neighbours, ``lower`` takes
     the smallest value with at least that share of rows at or below it, ``index`` takes row ``floor(p * n)`` counted
-    from 0.
+    from 0. ``counted`` says that ``df`` already is the result of ``value_counts``.
     """
     keys = list(keys)
-    counted = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
-    running = running_sums(counted, keys, [F.asc(value)], {"_upto": "_n"}, hot_rows)
-    sizes = counted.groupBy(*keys).agg(F.sum("_n").alias("_size"))
+    counts = df if counted else value_counts(df, keys, value)
+    running = running_sums(counts, keys, [F.asc(value)], {"_upto": "_n"}, hot_rows)
+    sizes = counts.groupBy(*keys).agg(F.sum("_n").alias("_size"))
     if keys:
         ranked = attach(running, sizes, keys)
     else:

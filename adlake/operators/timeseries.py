@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adlake.functions.scalar import date_hour, feature_key, ratio_or_zero
-from adlake.operators.running import HOT_ROWS, exact_percentiles
+from adlake.operators.running import HOT_ROWS, exact_percentiles, value_counts
 
 
 # Decay ---------------------------------------------------------------------------------------
@@ -386,8 +386,12 @@ def forecast_errors(
 def backtest(errors: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """MAPE and median APE in percent per (metric, method), both exact."""
     keys = ["metric", "method"]
-    means = errors.groupBy(*keys).agg((F.avg("ape") * 100).alias("mape_pct"), F.count("ape").alias("n"))
-    medians = exact_percentiles(errors, keys, "ape", {"_median": 0.5}, hot_rows=hot_rows)
+    counts = value_counts(errors, keys, "ape")  # the forecasts are computed once, for both results
+    total = F.sum("_n")
+    means = counts.groupBy(*keys).agg(
+        (F.sum(F.col("ape") * F.col("_n")) / total * 100).alias("mape_pct"), total.alias("n")
+    )
+    medians = exact_percentiles(counts, keys, "ape", {"_median": 0.5}, hot_rows=hot_rows, counted=True)
     medians = medians.select(*keys, (F.col("_median") * 100).alias("median_ape_pct"))
     return means.join(medians, keys).select(*keys, "mape_pct", "median_ape_pct", "n")
 

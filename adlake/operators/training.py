@@ -18,7 +18,14 @@ from pyspark.ml.regression import FMRegressor, GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adlake.operators.embedding import apply_gradients, assemble, decay_table, mean_pool, sample_tokens
+from adlake.operators.embedding import (
+    apply_gradients,
+    assemble,
+    decay_table,
+    labelled_tokens,
+    mean_pool,
+    sample_tokens,
+)
 from adlake.operators.optimizers import Adagrad, Optimizer
 from adlake.sources.versions import VersionedTable
 
@@ -202,9 +209,7 @@ def token_gradients(needed: DataFrame, model: EmbeddingModel, weights: Sequence[
         c = F.col(f"_s_{f}")
         tokens = c if needed.schema[f"_s_{f}"].dataType.typeName() == "array" else F.array(c)
         part = F.col("_error") / F.size(tokens) / F.lit(float(n))
-        cells.append(
-            F.transform(tokens, lambda t, f=f, part=part: F.struct(F.lit(f).alias("feature"), t.alias("token_id"), part.alias("part")))
-        )
+        cells.append(labelled_tokens(tokens, f, part.alias("part")))
     rows = needed.select(F.explode(F.concat(*cells)).alias("_t")).select("_t.*")
     parts = [F.coalesce(F.sum(F.when(F.col("feature") == f, F.col("part"))), F.lit(0.0)).alias(f"_p_{f}") for f in features]
     summed = rows.groupBy("token_id").agg(*parts)
