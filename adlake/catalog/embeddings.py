@@ -42,8 +42,8 @@ def _(spark, sf_dir):
 @query("emb_lookup_random")
 def _(spark, sf_dir):
     """Unknown tokens get a random start that depends on the token only."""
-    out = em.lookup(_requests(spark, sf_dir), view(spark, sf_dir, "embedding_store"), DIM, init="normal", seed=3)
-    return out.select("token_id", "embedding").distinct()
+    tokens = _requests(spark, sf_dir).select("token_id").distinct()
+    return em.lookup(tokens, view(spark, sf_dir, "embedding_store"), DIM, init="normal", seed=3)
 
 
 # every embedding contributes a gradient to the token of its label

@@ -218,7 +218,7 @@ UNION ALL SELECT metric, dt, dt, 1.0 FROM idx, (SELECT DISTINCT metric FROM pair
 )
 def _(spark, sf_dir):
     days = daily(spark, sf_dir)
-    return _r6(ts.full_matrix(ts.period_pairs(days, "key", "dt", METRICS), days, "dt"))
+    return _r6(ts.full_matrix(ts.period_pairs(days, "key", "dt", METRICS), days, "dt", METRICS))
 
 
 @query(

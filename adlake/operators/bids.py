@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adlake.operators.running import HOT_ROWS, attach, exact_percentiles, running_sums
+from adlake.session import cut_lineage
 
 DECILES = {f"p{p}": p / 100 for p in range(10, 100, 10)}
 
@@ -56,8 +57,8 @@ def policy_ledger(
 ) -> DataFrame:
     """The log in time order with, per policy, the bid (``bid_x``) and running wins, conversions and spend.
 
-    All policies ride on the same rows as extra columns, so the log is ordered once. The order is global; it is split
-    into ranges (see ``running_sums``) and never gathered in one task. ``row_number`` counts from 1.
+    All policies ride on the same rows as extra columns, so the log is ordered once. The order is global; a long log is
+    split into ranges (see ``running_sums``) and never gathered in one task. ``row_number`` counts from 1.
     """
     context = bid_context(df, time, price, conversion, hot_rows).select(F.struct("*")).scalar()
     rows = df.select(
@@ -86,21 +87,33 @@ def evaluate_policies(ledger: DataFrame, policies: Sequence[str], budget: float)
     For a bid that never falls over time this is exact: once a win is too dear, so are all later ones. Bids are counted
     until the budget is used up to the last cent.
     """
-    aggregates, cells = [], []
+    return _outcomes(ledger.agg(*_tallies(policies, budget)), policies, budget)
+
+
+def _tallies(policies: Sequence[str], budget: float) -> list[Column]:
+    """Paid wins, conversions and spend, and bids made with money left, per policy; can be combined from parts."""
     limit = F.lit(float(budget))
+    out = [F.count("*").alias("rows")]
     for name in policies:
         spend, win = F.col(f"spend_{name}"), F.col(f"_win_{name}")
         paid = spend <= limit
-        aggregates += [
-            F.coalesce(F.max(F.when(paid, F.col(f"wins_{name}"))), F.lit(0)).cast("long").alias(f"w_{name}"),
-            F.coalesce(F.max(F.when(paid, F.col(f"conv_{name}"))), F.lit(0)).cast("long").alias(f"c_{name}"),
-            F.coalesce(F.max(F.when(paid, spend)), F.lit(0.0)).alias(f"s_{name}"),
-            # rows seen while some budget was left before the row
-            F.count_if(spend - F.when(win == 1, F.col(f"bid_{name}")).otherwise(F.lit(0.0)) < limit).alias(f"b_{name}"),
+        before = spend - F.when(win == 1, F.col(f"bid_{name}")).otherwise(F.lit(0.0))
+        out += [
+            F.max(F.when(paid, F.col(f"wins_{name}"))).cast("long").alias(f"w_{name}"),
+            F.max(F.when(paid, F.col(f"conv_{name}"))).cast("long").alias(f"c_{name}"),
+            F.max(F.when(paid, spend)).alias(f"s_{name}"),
+            F.count_if(before < limit).alias(f"b_{name}"),
         ]
-    sums = ledger.agg(F.count("*").alias("rows"), *aggregates)
+    return out
+
+
+def _outcomes(sums: DataFrame, policies: Sequence[str], budget: float) -> DataFrame:
+    """One row per policy from the one row of tallies."""
+    limit, cells = F.lit(float(budget)), []
     for name in policies:
-        wins, conv, spend = F.col(f"w_{name}"), F.col(f"c_{name}"), F.col(f"s_{name}")
+        wins = F.coalesce(f"w_{name}", F.lit(0).cast("long"))
+        conv = F.coalesce(f"c_{name}", F.lit(0).cast("long"))
+        spend = F.coalesce(f"s_{name}", F.lit(0.0))
         bids = F.when(spend >= limit, F.col(f"b_{name}")).otherwise(F.col("rows"))
         cells.append(
             F.struct(
@@ -123,22 +136,21 @@ def policy_history(ledger: DataFrame, policies: Sequence[str], budget: float, ev
     limit = F.lit(float(budget))
     # a report closes the rows after the previous report up to itself
     report = F.floor((F.col("row_number") + (every - 2)) / every).cast("long")
-    rows = ledger.withColumn("report", report)
-    aggregates = [F.max("row_number").alias("row_number"), F.max("second").alias("second")]
-    for name in policies:
-        spend = F.col(f"spend_{name}")
-        paid = spend <= limit
-        aggregates += [
-            F.max(F.when(paid, F.col(f"wins_{name}"))).alias(f"w_{name}"),
-            F.max(F.when(paid, F.col(f"conv_{name}"))).alias(f"c_{name}"),
-            F.max(F.when(paid, spend)).alias(f"s_{name}"),
-            F.avg(f"bid_{name}").alias(f"a_{name}"),
-        ]
-    per_report = rows.groupBy("report").agg(*aggregates)
+    tallies = [F.max("row_number").alias("row_number"), F.max("second").alias("second"), *_tallies(policies, budget)]
+    means = [F.avg(f"bid_{name}").alias(f"a_{name}") for name in policies]
+    # one short row per report, written once: the reports and the final outcome are both read from it
+    per_report = cut_lineage(ledger.groupBy(report.alias("report")).agg(*tallies, *means))
     whole = per_report.where(F.pmod(F.col("row_number") - 1, F.lit(every)) == 0)
     # once the budget is short, the last paid totals of the log are the state of every later report
-    final = evaluate_policies(ledger, policies, budget).select(
-        F.map_from_entries(F.collect_list(F.struct("policy", F.struct("win_count", "conversion_count", "total_spend", "bids_placed")))).alias("f")
+    total = per_report.agg(
+        F.sum("rows").alias("rows"),
+        *[F.max(f"{c}_{name}").alias(f"{c}_{name}") for c in "wcs" for name in policies],
+        *[F.sum(f"b_{name}").alias(f"b_{name}") for name in policies],
+    )
+    final = _outcomes(total, policies, budget).select(
+        F.map_from_entries(
+            F.collect_list(F.struct("policy", F.struct("win_count", "conversion_count", "total_spend", "bids_placed")))
+        ).alias("f")
     )
     whole = whole.withColumn("_f", final.scalar())
     cells = []
@@ -148,8 +160,8 @@ def policy_history(ledger: DataFrame, policies: Sequence[str], budget: float, ev
             F.struct(
                 F.lit(name).alias("policy"),
                 last["bids_placed"].alias("bids_placed"),
-                F.coalesce(F.col(f"w_{name}").cast("long"), last["win_count"]).alias("win_count"),
-                F.coalesce(F.col(f"c_{name}").cast("long"), last["conversion_count"]).alias("conversion_count"),
+                F.coalesce(F.col(f"w_{name}"), last["win_count"]).alias("win_count"),
+                F.coalesce(F.col(f"c_{name}"), last["conversion_count"]).alias("conversion_count"),
                 F.coalesce(F.col(f"s_{name}"), last["total_spend"]).alias("total_spend"),
                 F.col(f"a_{name}").alias("avg_bid_price"),
             )

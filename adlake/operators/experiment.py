@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from adlake.functions.scalar import ColumnLike, as_column, feature_key, ratio_or_zero
 from adlake.operators.running import HOT_ROWS, cumulative_share, score_shares
+from adlake.session import cut_lineage
 
 PER_BILLION = 1e9
 MIN_INCREASE = 1e-3
@@ -217,8 +218,8 @@ def cap_curves(results: Mapping[str, DataFrame], account: str) -> DataFrame:
     """Uplift curves of several result sets, with a zero baseline at cap 1.0 for every account."""
     frames = []
     for source, frame in results.items():
-        curve = frame.select(account, "cap", "unr_uplift")
-        start = frame.select(account).distinct().select(account, F.lit(1.0).alias("cap"), F.lit(0.0).alias("unr_uplift"))
+        curve = cut_lineage(frame.select(account, "cap", "unr_uplift"))  # a few caps per account, read twice
+        start = curve.select(account).distinct().select(account, F.lit(1.0).alias("cap"), F.lit(0.0).alias("unr_uplift"))
         frames.append(start.unionByName(curve).withColumn("source", F.lit(source)))
     return reduce(lambda a, b: a.unionByName(b), frames)
 

@@ -2,7 +2,8 @@
 
 A window puts a whole group into one task. That is fine while every group is small, so group sizes are checked first;
 beyond the bound the rows are range-partitioned on (group, order), each range is summed on its own, and the few range
-totals carry the sums across. Both ways give the same result.
+totals carry the sums across. Both ways give the same result. The rows are written once before they are measured, so the
+plan that makes them runs once.
 """
 
 from __future__ import annotations
@@ -52,18 +53,21 @@ def running_sums(
     order: Sequence[Column],
     sums: Mapping[str, str],
     hot_rows: int = HOT_ROWS,
+    written: bool = False,
 ) -> DataFrame:
     """Add running sums ``{output: input}`` in ``order`` within ``keys``, the current row included.
 
-    ``order`` must be total within a group. Without keys the order is global and always split into ranges.
+    ``order`` must be total within a group. Without keys the order is global and the whole table is the group.
+    ``written`` says that ``df`` is already a plain read of a table.
     """
     keys = list(keys)
-    if keys and not has_hot_group(df, keys, hot_rows):
+    base = df if written else cut_lineage(df)
+    if not has_hot_group(base, keys, hot_rows):
         frame = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.select("*", *[F.sum(c).over(frame).alias(out) for out, c in sums.items()])
+        return base.select("*", *[F.sum(c).over(frame).alias(out) for out, c in sums.items()])
 
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(partitions, *keys, *order).withColumn("_range", F.spark_partition_id())
+    ranged = base.repartitionByRange(partitions, *keys, *order).withColumn("_range", F.spark_partition_id())
     # Range bounds come from a sample; the written copy keeps both readers below on the same bounds.
     ranged = cut_lineage(ranged)
     parts = [*keys, "_range"]
@@ -90,12 +94,13 @@ def cumulative_share(
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Share of the group's weight held by rows with this score or a higher one. Equal scores share one value."""
-    if not has_hot_group(df, keys, hot_rows):
+    base = cut_lineage(df)
+    if not has_hot_group(base, keys, hot_rows):
         whole = Window.partitionBy(*keys)
         ranked = whole.orderBy(F.desc(score))  # default RANGE frame: peers are summed together
-        return df.withColumn(output, F.sum(weight).over(ranked) / F.sum(weight).over(whole))
-    shares = score_shares(df, keys, score, weight, output, hot_rows)
-    return attach(df, shares, [*keys, score])
+        return base.withColumn(output, F.sum(weight).over(ranked) / F.sum(weight).over(whole))
+    shares = score_shares(base, keys, score, weight, output, hot_rows)
+    return attach(base, shares, [*keys, score])
 
 
 def score_shares(
@@ -107,9 +112,9 @@ def score_shares(
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """One row per (group, score) with the cumulative share of :func:`cumulative_share`."""
-    by_score = df.groupBy(*keys, score).agg(F.sum(weight).alias("_weight"))
-    running = running_sums(by_score, keys, [F.desc(score)], {"_cumulative": "_weight"}, hot_rows)
-    totals = df.groupBy(*keys).agg(F.sum(weight).alias("_total"))
+    by_score = cut_lineage(df.groupBy(*keys, score).agg(F.sum(weight).alias("_weight")))
+    running = running_sums(by_score, keys, [F.desc(score)], {"_cumulative": "_weight"}, hot_rows, written=True)
+    totals = by_score.groupBy(*keys).agg(F.sum("_weight").alias("_total"))
     return attach(running, totals, keys).select(
         *keys, score, (F.col("_cumulative") / F.col("_total")).alias(output)
     )
@@ -144,7 +149,7 @@ def exact_percentiles(
     """
     keys = list(keys)
     counts = df if counted else value_counts(df, keys, value)
-    running = running_sums(counts, keys, [F.asc(value)], {"_upto": "_n"}, hot_rows)
+    running = running_sums(counts, keys, [F.asc(value)], {"_upto": "_n"}, hot_rows, written=True)
     sizes = counts.groupBy(*keys).agg(F.sum("_n").alias("_size"))
     if keys:
         ranked = attach(running, sizes, keys)

@@ -136,16 +136,19 @@ def mean_by_gap(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("metric", "gap").agg(F.avg("cosine").alias("mean_cosine"), F.count("*").alias("pairs"))
 
 
-def full_matrix(pairs: DataFrame, daily: DataFrame, period: str) -> DataFrame:
+def full_matrix(pairs: DataFrame, daily: DataFrame, period: str, metrics: Sequence[str]) -> DataFrame:
     """Both triangles and a diagonal of 1.0."""
-    upper = pairs.select("metric", "period_1", "period_2", "cosine")
-    lower = upper.select("metric", F.col("period_2").alias("period_1"), F.col("period_1").alias("period_2"), "cosine")
-    names = pairs.agg(F.collect_set("metric").alias("m")).scalar()
+    p1, p2 = F.col("period_1"), F.col("period_2")
+    sides = F.array(F.struct(p1.alias("x"), p2.alias("y")), F.struct(p2.alias("x"), p1.alias("y")))
+    both = pairs.select("metric", F.explode(sides).alias("_p"), "cosine").select(
+        "metric", F.col("_p.x").alias("period_1"), F.col("_p.y").alias("period_2"), "cosine"
+    )
     days = daily.select(F.col(period).alias("period_1")).distinct()
+    names = F.array(*[F.lit(m) for m in metrics])
     diagonal = days.select(
         F.explode(names).alias("metric"), "period_1", F.col("period_1").alias("period_2"), F.lit(1.0).alias("cosine")
     )
-    return upper.unionByName(lower).unionByName(diagonal)
+    return both.unionByName(diagonal)
 
 
 def implied_decay(by_gap: DataFrame) -> DataFrame:

@@ -1,8 +1,9 @@
-"""Session settings and reliable checkpoints."""
+"""Session settings and intermediate tables in a shared folder."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,6 +32,7 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, name: str = "adla
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     for key, value in RUNTIME_CONF.items():
@@ -60,10 +62,11 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back, so that a lost executor costs no
-    recomputation and every later read sees the same rows in the same partitions."""
-    spark = df.sparkSession
-    folder = shared_folder(spark)
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as a table in the shared folder and read it back.
+
+    Used where a result is read more than once. It is computed once, a lost executor costs no recomputation of what
+    came before, every later read sees the same rows, and the reader knows the true size of the table.
+    """
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -43,7 +43,7 @@ def main() -> None:
     if wanted == ("all",):
         names = list(QUERIES)
     else:
-        names = [n for n in HEADLINE if not wanted or n.startswith(wanted)]
+        names = [n for n in QUERIES if n.startswith(wanted)] if wanted else HEADLINE
     spark = local_session(cpus, shuffle_partitions=cpus)
     verbose = bool(os.environ.get("BENCH_VERBOSE"))
     seconds = {}
