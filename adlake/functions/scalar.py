@@ -199,7 +199,7 @@ def net_requests(total: ColumnLike, multiplied: ColumnLike) -> Column:
 def ratio_or_zero(numerator: ColumnLike, denominator: ColumnLike) -> Column:
     """0.0 unless the denominator is positive."""
     below = as_column(denominator)
-    return F.when(below > 0, as_column(numerator) / below).otherwise(F.lit(0.0))
+    return F.when(below > 0, F.try_divide(as_column(numerator), below)).otherwise(F.lit(0.0))
 
 
 # Contract rules ------------------------------------------------------------------------------

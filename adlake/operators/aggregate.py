@@ -102,7 +102,7 @@ def daily_metrics(df: DataFrame, entity: str, date: str, requests: str, revenue:
         date,
         entity,
         (F.col("_req") * scale).alias("total_requests_scaled"),
-        F.when(F.col("_req") > 0, F.col("_rev") / F.col("_req") * 1e9).otherwise(F.lit(0.0)).alias("nr_per_billion"),
+        F.when(F.col("_req") > 0, F.try_divide(F.col("_rev"), F.col("_req")) * 1e9).otherwise(F.lit(0.0)).alias("nr_per_billion"),
     )
 
 

@@ -120,12 +120,12 @@ def _outcomes(sums: DataFrame, policies: Sequence[str], budget: float) -> DataFr
                 F.lit(name).alias("policy"),
                 wins.alias("win_count"),
                 bids.alias("bids_placed"),
-                F.when(bids > 0, wins / bids).otherwise(F.lit(0.0)).alias("win_rate"),
+                F.when(bids > 0, F.try_divide(wins, bids)).otherwise(F.lit(0.0)).alias("win_rate"),
                 conv.alias("conversion_count"),
                 spend.alias("total_spend"),
                 (limit - spend).alias("remaining_budget"),
-                F.when(wins > 0, spend * 1000 / wins).otherwise(F.lit(0.0)).alias("avg_cpm"),
-                F.when(conv > 0, spend / conv).otherwise(F.lit(0.0)).alias("avg_cpa"),
+                F.when(wins > 0, F.try_divide(spend * 1000, wins)).otherwise(F.lit(0.0)).alias("avg_cpm"),
+                F.when(conv > 0, F.try_divide(spend, conv)).otherwise(F.lit(0.0)).alias("avg_cpa"),
             )
         )
     return sums.select(F.explode(F.array(*cells)).alias("r")).select("r.*")
@@ -189,7 +189,7 @@ def latency_summary(
     """Mean, p99 (sorted[floor(0.99·n)]) and samples per second for every configuration."""
     means = timings.groupBy(*config).agg(
         F.avg(latency).alias("mean_latency"),
-        (F.count("*") / elapsed * F.max(batch)).alias("throughput"),
+        (F.try_divide(F.count("*"), elapsed) * F.max(batch)).alias("throughput"),
         F.count("*").alias("calls"),
     )
     tail = exact_percentiles(timings, config, latency, {"p99_latency": 0.99}, method="index", hot_rows=hot_rows).drop("n")

@@ -28,7 +28,7 @@ def compare_outputs(new: DataFrame, old: DataFrame, keys: Sequence[str], metrics
         was = F.coalesce(f"old_{m}", F.lit(0))
         now = F.coalesce(f"new_{m}", F.lit(0)) if how != "inner" else F.col(f"new_{m}")
         diff = now - was
-        pct = F.when(was != 0, F.abs(diff) / F.abs(was) * 100).when(now != 0, F.lit(100.0)).otherwise(F.lit(0.0))
+        pct = F.when(was != 0, F.try_divide(F.abs(diff), F.abs(was)) * 100).when(now != 0, F.lit(100.0)).otherwise(F.lit(0.0))
         out += [F.col(f"new_{m}"), F.col(f"old_{m}"), diff.alias(f"diff_{m}"), pct.alias(f"pct_diff_{m}")]
     return _join_on(a, b, keys, how).select(*out)
 

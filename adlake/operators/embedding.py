@@ -208,7 +208,7 @@ def normalised_weights(df: DataFrame, batch: Sequence[str], weight: str, default
     w = F.col(weight).cast("double")
     filled = df.withColumn("_w", F.when(w.isNull() | F.isnan(w), F.lit(float(default))).otherwise(w))
     totals = with_group_totals(filled, batch, {"_sum": F.sum("_w"), "_rows": F.count("*")})
-    value = F.when(F.col("_sum") > 0, F.col("_w") / F.col("_sum") * F.col("_rows")).otherwise(F.col("_w"))
+    value = F.when(F.col("_sum") > 0, F.try_divide(F.col("_w"), F.col("_sum")) * F.col("_rows")).otherwise(F.col("_w"))
     return totals.withColumn(output, value).drop("_w", "_sum", "_rows")
 
 

@@ -95,7 +95,7 @@ def uplift_ratio(
     """(Σexplore − Σcontrol) / Σcontrol per feature combination; 0.0 where control is NULL or 0."""
     c = F.sum(F.when(F.col(bucket) == control, F.col(metric)))
     e = F.coalesce(F.sum(F.when(F.col(bucket).isin(*explore), F.col(metric))), F.lit(0))
-    ratio = F.when(c.isNull() | (c == 0), F.lit(0.0)).otherwise((e - c) / c)
+    ratio = F.when(c.isNull() | (c == 0), F.lit(0.0)).otherwise(F.try_divide(e - c, c))
     rows = df.where(F.col(bucket).isin(control, *explore))
     return rows.groupBy(*features).agg(ratio.alias(f"{metric}_uplift_ratio"))
 

@@ -17,7 +17,7 @@ APPROX_ACCURACY = 10_000
 def weighted_threshold(df: DataFrame, column: str, weight: str) -> DataFrame:
     """Σ(x·w)/Σw as one row, 0 without weight."""
     total = F.sum(weight)
-    mean = F.coalesce(F.sum(F.col(column) * F.col(weight)), F.lit(0.0)) / total
+    mean = F.try_divide(F.coalesce(F.sum(F.col(column) * F.col(weight)), F.lit(0.0)), total)
     return df.agg(F.when(total > 0, mean).otherwise(F.lit(0.0)).alias("threshold"))
 
 

@@ -98,7 +98,7 @@ def cumulative_share(
     if not has_hot_group(base, keys, hot_rows):
         whole = Window.partitionBy(*keys)
         ranked = whole.orderBy(F.desc(score))  # default RANGE frame: peers are summed together
-        return base.withColumn(output, F.sum(weight).over(ranked) / F.sum(weight).over(whole))
+        return base.withColumn(output, F.try_divide(F.sum(weight).over(ranked), F.sum(weight).over(whole)))
     shares = score_shares(base, keys, score, weight, output, hot_rows)
     return attach(base, shares, [*keys, score])
 
@@ -116,7 +116,7 @@ def score_shares(
     running = running_sums(by_score, keys, [F.desc(score)], {"_cumulative": "_weight"}, hot_rows, written=True)
     totals = by_score.groupBy(*keys).agg(F.sum("_weight").alias("_total"))
     return attach(running, totals, keys).select(
-        *keys, score, (F.col("_cumulative") / F.col("_total")).alias(output)
+        *keys, score, F.try_divide(F.col("_cumulative"), F.col("_total")).alias(output)
     )
 
 

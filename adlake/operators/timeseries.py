@@ -63,7 +63,7 @@ def _cosine_rows(sums: DataFrame, keep: Sequence[str], metrics: Sequence[str]) -
     cells = []
     for m in metrics:
         norm = F.sqrt(F.col(f"_aa_{m}")) * F.sqrt(F.col(f"_bb_{m}"))
-        cosine = F.when(norm > 0, F.col(f"_dot_{m}") / norm).otherwise(F.lit(0.0))
+        cosine = F.when(norm > 0, F.try_divide(F.col(f"_dot_{m}"), norm)).otherwise(F.lit(0.0))
         cells.append(
             F.struct(F.lit(m).alias("metric"), cosine.alias("cosine"), F.col(f"_n_{m}").alias("matched"))
         )
@@ -247,7 +247,10 @@ def known_values(series: Column, field: str) -> Column:
 
 
 def _by_length(values: Column, several: Column) -> Column:
-    """0.0 for an empty array, the value for a single one, else ``several``."""
+    """0.0 for an empty array, the value for a single one, else ``several``.
+
+    Spark may compute ``several`` ahead of the test, so it must not fail on short arrays.
+    """
     n = F.size(values)
     return F.when(n == 0, F.lit(0.0)).when(n == 1, F.try_element_at(values, F.lit(1))).otherwise(several)
 
@@ -275,7 +278,7 @@ def decay_mean_forecast(values: Column, rate: float) -> Column:
             (state["s"] * F.lit(float(rate)) + x).alias("s"), (state["w"] * F.lit(float(rate)) + F.lit(1.0)).alias("w")
         )
 
-    return _by_length(values, F.aggregate(values, zero, step, lambda s: s["s"] / s["w"]))
+    return _by_length(values, F.aggregate(values, zero, step, lambda s: F.try_divide(s["s"], s["w"])))
 
 
 def last_value_forecast(values: Column) -> Column:
@@ -284,7 +287,7 @@ def last_value_forecast(values: Column) -> Column:
 
 def mean_forecast(values: Column) -> Column:
     total = F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
-    return _by_length(values, total / F.size(values))
+    return _by_length(values, F.try_divide(total, F.size(values)))
 
 
 def _line_sums(values: Column) -> Column:
@@ -308,9 +311,9 @@ def _line(sums: Column) -> tuple[Column, Column, Column, Column]:
     t_sum, tt = n * (n - 1) / 2, n * (n - 1) * (2 * n - 1) / 6
     return (
         n,
-        tt - t_sum * t_sum / n,
-        sums["ty"] - t_sum * sums["y"] / n,
-        sums["yy"] - sums["y"] * sums["y"] / n,
+        tt - F.try_divide(t_sum * t_sum, n),
+        sums["ty"] - F.try_divide(t_sum * sums["y"], n),
+        sums["yy"] - F.try_divide(sums["y"] * sums["y"], n),
     )
 
 
@@ -318,8 +321,8 @@ def linear_forecast(values: Column) -> Column:
     """Least-squares line over the index, read one step past the end."""
     sums = _line_sums(values)
     n, var_t, cov, _ = _line(sums)
-    mean = sums["y"] / n
-    slope = cov / var_t
+    mean = F.try_divide(sums["y"], n)
+    slope = F.try_divide(cov, var_t)
     return _by_length(values, mean + slope * (n - (n - 1) / 2))
 
 
@@ -383,7 +386,7 @@ def forecast_errors(
         usable = actual.isNotNull() & ~F.isnan(actual) & (actual != 0) & (F.size(values) > 0)
         cells.append(F.when(usable, results).otherwise(F.slice(results, 1, 0)))
     rows = prepared.select(key, F.explode(F.concat(*cells)).alias("_r")).select(key, "_r.*")
-    return rows.withColumn("ape", F.abs(F.col("prediction") - F.col("actual")) / F.abs("actual"))
+    return rows.withColumn("ape", F.try_divide(F.abs(F.col("prediction") - F.col("actual")), F.abs("actual")))
 
 
 def backtest(errors: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:

@@ -187,7 +187,7 @@ def file_inventory(df: DataFrame) -> DataFrame:
 def estimate_rows(inventory: DataFrame, all_bytes: int) -> DataFrame:
     """Rows behind ``all_bytes`` from known rows per byte, else one row per 100 bytes."""
     known = inventory.agg(F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes"))
-    per_byte = F.when(F.col("bytes") > 0, F.col("rows") / F.col("bytes"))
+    per_byte = F.when(F.col("bytes") > 0, F.try_divide(F.col("rows"), F.col("bytes")))
     return known.select((F.coalesce(per_byte, F.lit(0.01)) * F.lit(all_bytes)).cast("long").alias("estimated_rows"))
 
 
