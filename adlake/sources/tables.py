@@ -150,10 +150,12 @@ def missing_days(present: DataFrame, date_column: str, first: str, end: str) ->
 
 
 def days_marked(spark: SparkSession, base: str, partition: str = "dt", marker: str = "_SUCCESS") -> DataFrame:
-    """Days whose folder holds the success marker. Only file names are read."""
-    # the marker is named in the path: directory listings skip names that start with an underscore
-    listed = spark.read.format("binaryFile").load(f"{base}/{partition}=*/{marker}")
-    return listed.select(F.regexp_extract("path", f"{partition}=([^/]+)", 1).alias("day")).distinct()
+    """Days whose folder holds the success marker. Readers hide such names, so the folder is listed; it has one entry
+    per day."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/{partition}=*/{marker}")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    days = [(status.getPath().getParent().getName().split("=", 1)[1],) for status in found or ()]
+    return spark.createDataFrame(days, "day string")
 
 
 def require_days(present: DataFrame, date_column: str, first: str, end: str) -> None:

@@ -20,9 +20,8 @@ class VersionedTable:
         self.spark, self.root, self.shards = spark, root.rstrip("/"), shards
 
     def _fs(self, path: str):
-        jvm = self.spark.sparkContext._jvm
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        return where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), where
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return where.getFileSystem(self.spark._jsc.hadoopConfiguration()), where
 
     def path(self, version: int, part: str = "data") -> str:
         return f"{self.root}/v={version}/{part}"
