@@ -120,11 +120,16 @@ def _(spark, sf_dir):
     return out.withColumn("x_normalized", F.round("x_normalized", 6))
 
 
-@query("robust_stats_sketch")
+@query(
+    "robust_stats_sketch",
+    f"""WITH {_ROBUST} SELECT l_suppkey, n AS x_norm_count, round(q2, 8) AS x_log_median,
+  round(CASE WHEN q3 - q1 < 0.001 THEN 0.001 ELSE q3 - q1 END, 8) AS x_log_iqr FROM s""",
+)
 def _(spark, sf_dir):
-    """The sketch form, for groups of any size."""
+    """The sketch form, for groups of any size; it is exact while a group is smaller than the sketch."""
     rows = table(spark, sf_dir, "lineitem").select("l_suppkey", F.expr(_POSITIVE).alias("x"))
-    return normalize.robust_stats(rows, "x", ["l_suppkey"])
+    stats = normalize.robust_stats(rows, "x", ["l_suppkey"])
+    return stats.withColumns({c: F.round(c, 8) for c in ("x_log_median", "x_log_iqr")})
 
 
 _CUBE = f"""s AS (SELECT l_suppkey, quantile_disc(x, 1.0 / 64) AS t1, quantile_disc(x, 8.0 / 64) AS t2, quantile_disc(x, 27.0 / 64) AS t3

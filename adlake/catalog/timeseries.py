@@ -402,10 +402,29 @@ def _(spark, sf_dir):
     return out.withColumns({"mape_pct": F.round("mape_pct", 4), "median_ape_pct": F.round("median_ape_pct", 4)})
 
 
-@query("backtest_grid")
+_GRID_ROWS = ", ".join(f"('{a}', '{b}')" for a in ts.HOLT_ALPHAS for b in ts.HOLT_BETAS)
+_GRID = f"""{_PRED}, grid AS (SELECT x AS al, y AS be, x::DOUBLE AS a, y::DOUBLE AS b FROM (VALUES {_GRID_ROWS}) AS g(x, y)),
+recur AS (SELECT key, metric, al, be, a, b, i, n, v AS level, lead_v - v AS trend FROM (SELECT *, lead(v) OVER (PARTITION BY key, metric ORDER BY i) AS lead_v
+    FROM pt) q, grid WHERE i = 1
+  UNION ALL SELECT r.key, r.metric, r.al, r.be, r.a, r.b, p.i, p.n, r.a * p.v + (1 - r.a) * (r.level + r.trend),
+    r.b * (r.a * p.v + (1 - r.a) * (r.level + r.trend) - r.level) + (1 - r.b) * r.trend
+  FROM recur r JOIN pt p ON p.key = r.key AND p.metric = r.metric AND p.i = r.i + 1),
+herr AS (SELECT metric, al, be, abs(CASE WHEN n = 1 THEN level ELSE level + trend END - actual) / abs(actual) AS ape FROM recur JOIN act USING (key, metric)
+  WHERE i = n AND actual <> 0),
+every AS (SELECT * FROM scores UNION ALL SELECT metric, 'holt_a' || al || '_b' || be, avg(ape) * 100, quantile_cont(ape, 0.5) * 100, count(*) FROM herr GROUP BY ALL)"""
+
+
+@query(
+    "backtest_grid",
+    f"""{_SERIES}{_GRID} SELECT metric, method, round(mape_pct, 4) AS mape_pct, round(median_ape_pct, 4) AS median_ape_pct, n,
+  CAST(row_number() OVER (PARTITION BY metric ORDER BY mape_pct, method) AS INTEGER) AS place FROM every""",
+    views=("project_report",),
+    recursive=True,
+)
 def _(spark, sf_dir):
-    """All 19 methods, ranked; the smoothing grid is checked against a Python loop in the tests."""
-    return ts.ranked_methods(_scores(spark, sf_dir, ts.forecast_methods()))
+    """All 19 methods, ranked."""
+    out = ts.ranked_methods(_scores(spark, sf_dir, ts.forecast_methods()))
+    return out.withColumns({"mape_pct": F.round("mape_pct", 4), "median_ape_pct": F.round("median_ape_pct", 4)})
 
 
 @query(
@@ -419,6 +438,15 @@ def _(spark, sf_dir):
     return out.withColumn("mape_pct", F.round("mape_pct", 4))
 
 
-@query("holt_grid")
+_BETA_CELLS = ", ".join(f"""round(avg(ape) FILTER (WHERE be = '{b}') * 100, 4) AS "beta_{b}\"""" for b in ts.HOLT_BETAS)
+
+
+@query(
+    "holt_grid",
+    f"{_SERIES}{_GRID} SELECT metric, al::DOUBLE AS alpha, {_BETA_CELLS} FROM herr GROUP BY metric, al",
+    views=("project_report",),
+    recursive=True,
+)
 def _(spark, sf_dir):
-    return ts.holt_grid(_scores(spark, sf_dir, ts.forecast_methods(rates=())))
+    out = ts.holt_grid(_scores(spark, sf_dir, ts.forecast_methods(rates=())))
+    return out.withColumns({f"beta_{b}": F.round(f"`beta_{b}`", 4) for b in ts.HOLT_BETAS})
