@@ -11,7 +11,7 @@ from adlake.functions.scalar import token_id
 from adlake.operators import embedding as em
 from adlake.operators import optimizers as opt
 from adlake.operators import training as tr
-from adlake.session import shared_folder
+from adlake.session import intermediate_folder
 from adlake.sources.versions import VersionedTable
 
 DIM = 64
@@ -214,7 +214,7 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     """Save two versions, delete the first, load the latest."""
-    store = VersionedTable(spark, f"{shared_folder(spark)}/emb-{uuid.uuid4().hex}", shards=4)
+    store = VersionedTable(spark, f"{intermediate_folder(spark)}/emb-{uuid.uuid4().hex}", shards=4)
     rows = view(spark, sf_dir, "embedding_store")
     store.save(rows, 1, {"day": "2024-01-01"})
     store.save(store.load(1).where("update_count < 8"), 2, {"day": "2024-01-02"})
@@ -225,28 +225,34 @@ def _(spark, sf_dir):
 
 
 # Samples -------------------------------------------------------------------------------------
-# An order is a sample; its line items' parts and suppliers are multi-valued sparse features.
+# An order is a sample; its line items' parts and suppliers are multi-valued sparse features, one token per row.
 
 _TOKENS = """tok AS (SELECT l_orderkey AS sample, 'part' AS feature, l_partkey % 500 AS token_id FROM lineitem
   UNION ALL SELECT l_orderkey, 'supp', l_suppkey % 500 FROM lineitem)"""
 
 
-def _samples(spark, sf_dir):
-    """Orders with the token lists of their line items (a handful per order)."""
-    return table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("sample")).agg(
-        F.collect_list(F.col("l_partkey") % 500).alias("part"),
-        F.collect_list(F.col("l_suppkey") % 500).alias("supp"),
-        F.max("l_quantity").alias("quantity"),
-    )
-
-
 def _tokens(spark, sf_dir):
-    return em.sample_tokens(_samples(spark, sf_dir), "sample", {"part": F.col("part"), "supp": F.col("supp")})
+    rows = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("sample"),
+        (F.col("l_partkey") % 500).alias("part"),
+        (F.col("l_suppkey") % 500).alias("supp"),
+    )
+    return rows.unpivot(["sample"], ["part", "supp"], "feature", "token_id")
 
 
-@query("sample_tokens", f"WITH {_TOKENS} SELECT feature, token_id, count(*) AS n FROM tok GROUP BY 1, 2")
+@query(
+    "sample_tokens",
+    """WITH tok AS (SELECT 'word_length' AS feature, unnest(list_transform(string_split(text, ' '), lambda w: length(w))) AS token_id FROM documents
+  UNION ALL SELECT 'length', n_chars FROM documents)
+SELECT feature, CAST(token_id AS BIGINT) AS token_id, count(*) AS n FROM tok GROUP BY 1, 2""",
+)
 def _(spark, sf_dir):
-    return _tokens(spark, sf_dir).groupBy("feature", "token_id").agg(F.count("*").alias("n"))
+    """One list-valued and one single-valued feature of whole documents."""
+    lengths = F.transform(F.split("text", " "), lambda w: F.length(w).cast("bigint"))
+    tokens = em.sample_tokens(
+        table(spark, sf_dir, "documents"), "doc_id", {"word_length": lengths, "length": F.col("n_chars")}
+    )
+    return tokens.groupBy("feature", "token_id").agg(F.count("*").alias("n"))
 
 
 @query(
@@ -282,7 +288,10 @@ JOIN pool a ON a.sample = q.sample AND a.feature = 'part' JOIN pool b ON b.sampl
 def _(spark, sf_dir):
     store = view(spark, sf_dir, "embedding_store").withColumn("embedding", F.slice("embedding", 1, 8))
     pooled = em.mean_pool(_tokens(spark, sf_dir), store, "sample", 8)
-    out = em.assemble(pooled, _samples(spark, sf_dir).select("sample", "quantity"), "sample", ["supp", "part"], ["quantity"], 8)
+    samples = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("sample")).agg(
+        F.max("l_quantity").alias("quantity")
+    )
+    out = em.assemble(pooled, samples, "sample", ["supp", "part"], ["quantity"], 8)
     x = F.col("inputs")
     return out.select(
         "sample", F.size(x).alias("width"), F.round(x[0], 5).alias("part_e0"), F.round(x[8], 5).alias("supp_e0"), x[16].alias("quantity")
@@ -305,11 +314,12 @@ def _(spark, sf_dir):
 @query(
     "shuffled_batches",
     """WITH k AS (SELECT o_orderkey, md5(CAST(o_orderkey AS VARCHAR) || '5') AS h FROM orders),
-b AS (SELECT o_orderkey, h, CAST(CAST('0x' || substr(h, 1, 8) AS BIGINT) % 16 AS INTEGER) AS bucket FROM k)
+b AS (SELECT o_orderkey, h, CAST(CAST('0x' || substr(h, 1, 8) AS BIGINT) % (SELECT CAST(ceil(count(*) / 1000.0) AS BIGINT) FROM orders) AS INTEGER) AS bucket
+  FROM k)
 SELECT o_orderkey, bucket, CAST((row_number() OVER (PARTITION BY bucket ORDER BY h, o_orderkey) - 1) // 256 AS INTEGER) AS batch FROM b""",
 )
 def _(spark, sf_dir):
-    return em.shuffled_batches(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey", 256, 16, 5, "md5")
+    return em.shuffled_batches(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey", 256, 1000, 5, "md5")
 
 
 @query(
@@ -374,8 +384,8 @@ def _(spark, sf_dir):
     """Three days of incremental training on labelled documents; one result row per day."""
     rows = view(spark, sf_dir, "training_rows").withColumn("size", F.log1p("n_chars") / 10)
     days = [(f"2024-01-0{d + 1}", rows.where(F.col("doc_id") % 3 == d)) for d in range(3)]
-    store = VersionedTable(spark, f"{shared_folder(spark)}/train-{uuid.uuid4().hex}", shards=4)
-    results = tr.train_days(days, _model(), store, steps_per_day=2, decay=0.99)
+    store = VersionedTable(spark, f"{intermediate_folder(spark)}/train-{uuid.uuid4().hex}", shards=4)
+    results = tr.train_days(days, _model(), store, decay=0.99)
     schema = "day string, samples bigint, batches bigint, weighted_samples double, loss double"
     return spark.createDataFrame(results, schema)
 

@@ -179,3 +179,17 @@ WHERE pct <= 0.4""",
 def _(spark, sf_dir):
     segment = ["geo", "platform", "placement_type", "supply_name"]
     return experiment.premium_segments(scored(spark, sf_dir), ACCOUNT, ["rtb_id"], segment, 0.4)
+
+
+@query(
+    "premium_by_account_cap",
+    f"""WITH {_TRAIN_SQL}, {_CUM}, c AS (SELECT * FROM (VALUES ('acc_0', 0.2), ('acc_1', 1.0), ('acc_4', 0.05)) AS t({ACCOUNT}, target))
+SELECT DISTINCT {ACCOUNT}, rtb_id, concat_ws('||', geo, platform, placement_type, supply_name) AS segment FROM cum JOIN c USING ({ACCOUNT}) WHERE pct <= target""",
+    views=("project_report",),
+)
+def _(spark, sf_dir):
+    """Each account has a cap, and so a target share, of its own."""
+    caps = spark.createDataFrame([("acc_0", "1.4"), ("acc_1", "9"), ("acc_4", "1.1")], f"{ACCOUNT} string, cap string")
+    targets = experiment.account_caps(view(spark, sf_dir, "project_report"), caps, ACCOUNT, MULTIPLIER)
+    segment = ["geo", "platform", "placement_type", "supply_name"]
+    return experiment.premium_segments(scored(spark, sf_dir), ACCOUNT, [ACCOUNT, "rtb_id"], segment, targets)

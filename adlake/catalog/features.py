@@ -144,7 +144,7 @@ def _(spark, sf_dir):
 
 @query(
     "device_features",
-    """SELECT p_partkey, CASE WHEN lower(p_name) IN ('apple', 'samsung', 'google', 'sony') THEN lower(p_name) ELSE 'others' END AS make,
+    """SELECT p_partkey, CASE WHEN lower(m) IN (MODELS) THEN lower(m) ELSE 'others' END AS model, CASE WHEN lower(p_name) IN ('apple', 'samsung', 'google', 'sony') THEN lower(p_name) ELSE 'others' END AS make,
   CASE WHEN v = '' OR v IS NULL THEN '-1' ELSE string_split_regex(v, '[. ]')[1] END AS major_version,
   CASE WHEN c <> 'US' OR a <> 'video' THEN 'all' WHEN price > 10 THEN 'high' WHEN price > 0 THEN 'low' ELSE 'unknown' END AS value_group,
   CASE p_type WHEN 'rewarded' THEN p_retailprice WHEN 'banner' THEN p_size * 1.0 ELSE 0.0 END AS unified
@@ -152,7 +152,8 @@ FROM (SELECT *, CASE p_partkey % 3 WHEN 0 THEN 'US' WHEN 1 THEN 'IN' END AS c,
     CASE WHEN p_partkey % 2 = 0 THEN 'video' ELSE 'banner' END AS a,
     CASE WHEN p_partkey % 5 <> 0 THEN (p_partkey % 30) - 4 END AS price,
     CASE p_partkey % 4 WHEN 0 THEN concat(CAST(p_size AS VARCHAR), '.1.2') WHEN 1 THEN concat(CAST(p_size AS VARCHAR), ' beta')
-      WHEN 2 THEN '' END AS v FROM part) t""",
+      WHEN 2 THEN '' END AS v, concat('iPhone', CAST(10 + p_partkey % 8 AS VARCHAR), ',', CAST(1 + p_partkey % 6 AS VARCHAR)) AS m
+  FROM part) t""".replace("MODELS", ", ".join(f"'{m}'" for m in vocab.TOP_MODELS)),
 )
 def _(spark, sf_dir):
     k = F.col("p_partkey")
@@ -172,6 +173,7 @@ def _(spark, sf_dir):
     return parts.select(
         "p_partkey",
         scalar.top_make("p_name").alias("make"),
+        scalar.top_model(F.concat(F.lit("iPhone"), (10 + k % 8).cast("string"), F.lit(","), (1 + k % 6).cast("string"))).alias("model"),
         scalar.major_version("v").alias("major_version"),
         scalar.device_value_group("c", "a", "price").alias("value_group"),
         scalar.pick_by("p_type", chosen, parts.columns).alias("unified"),

@@ -11,6 +11,7 @@ from adlake.operators import aggregate, compare, enrich
 from adlake.operators.enrich import FeatureJoin
 from adlake.operators.running import attach
 from adlake.plans.jobs import enrichment
+from adlake.session import cut_lineage
 from adlake.sources.ranges import TimeRange, within
 
 _FEATURE_SQL = """f AS (SELECT strftime(auction_timestamp, '%Y-%m-%d') AS date, strftime(auction_timestamp, '%H') AS hour, {dim},
@@ -112,18 +113,23 @@ _FIVE = {
     views=("auction_logs",),
 )
 def _(spark, sf_dir):
-    """Five dimensions with plain equality; each feature table is aggregated before it is joined."""
+    """Five dimensions with plain equality. Wins are summed once to the finest grain; the five feature tables roll that
+    short table up before they are joined."""
     logs = enrich.with_time_columns(view(spark, sf_dir, "auction_logs"), "auction_timestamp").withColumns(
         {
             "country": translate_code("req_country", {"USA": "US", "IND": "IN", "BRA": "BR"}),
             "os": F.lower("req_os"),
         }
     )
+    finest = cut_lineage(
+        logs.where("is_tpd_winner")
+        .groupBy("date", "hour", "rtb_id", *_FIVE.values())
+        .agg(F.sum(F.coalesce("auction_winner_price", F.lit(0.0))).alias("p"), F.count("*").alias("n"))
+    )
     joins = []
     for name, column in _FIVE.items():
-        features = logs.where("is_tpd_winner").groupBy("date", "hour", "rtb_id", column).agg(
-            F.round(F.sum(F.coalesce("auction_winner_price", F.lit(0.0))), 4).alias("win_price"),
-            F.count("*").alias("win_count"),
+        features = finest.groupBy("date", "hour", "rtb_id", column).agg(
+            F.round(F.sum("p"), 4).alias("win_price"), F.sum("n").alias("win_count")
         )
         keys = {k: k for k in ("date", "hour", "rtb_id", column)}
         rename = {"win_price": f"win_price_{name}", "win_count": f"win_count_{name}"}

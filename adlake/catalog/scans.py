@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import functions as F
@@ -9,10 +10,11 @@ from pyspark.sql import functions as F
 from adlake.catalog.registry import query, table, view
 from adlake.functions.scalar import date_text
 from adlake.operators.aggregate import Aggregation
-from adlake.session import shared_folder
+from adlake.session import intermediate_folder
 from adlake.sources import ranges, tables
 from adlake.sources.ranges import TimeRange
 from adlake.sources.tables import Source
+from adlake.streaming.hourly import stream_aggregate
 
 
 def _events(sf_dir):
@@ -73,9 +75,7 @@ WHERE ts >= TIMESTAMP '2024-01-04 22:00:00' AND ts < TIMESTAMP '2024-01-09' GROU
 )
 def _(spark, sf_dir):
     """Write by day, read the days of a widened range back with pruned partitions."""
-    path = f"{shared_folder(spark)}/events-{uuid.uuid4().hex}"
-    tables.write_table(table(spark, sf_dir, "events").withColumn("dt", date_text("ts")), path, partition_by=["dt"])
-    source = Source(path=path, partition_cols=("dt",), time_column="ts")
+    source = Source(path=_by_day(spark, sf_dir), partition_cols=("dt",), time_column="ts")
     rows = tables.read_source(spark, source, TimeRange("2024-01-05", "2024-01-08"), lookback_hours=2)
     day = F.col("dt").cast("string").alias("dt")
     return rows.groupBy(day, "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
@@ -89,7 +89,7 @@ FROM customer, (VALUES ('parquet'), ('csv'), ('json'), ('orc')) AS f(format) GRO
 def _(spark, sf_dir):
     """Write in every format and read each back by its file ending."""
     source = table(spark, sf_dir, "customer")
-    root = f"{shared_folder(spark)}/customer-{uuid.uuid4().hex}"
+    root = f"{intermediate_folder(spark)}/customer-{uuid.uuid4().hex}"
     out = None
     for kind in ("parquet", "csv", "json", "orc"):
         tables.write_table(source, f"{root}.{kind}", kind)
@@ -128,6 +128,93 @@ def _(spark, sf_dir):
     return table(spark, sf_dir, "events").groupBy(F.hour("ts").alias("hour")).agg(F.count("*").alias("n"))
 
 
+def _by_day(spark, sf_dir):
+    """Events written by day; returns the folder."""
+    path = f"{intermediate_folder(spark)}/events-{uuid.uuid4().hex}"
+    tables.write_table(table(spark, sf_dir, "events").withColumn("dt", date_text("ts")), path, partition_by=["dt"])
+    return path
+
+
+@query(
+    "read_days",
+    """SELECT strftime(ts, '%Y-%m-%d') AS dt, count(*) AS n, round(sum(value), 4) AS total FROM events
+WHERE CAST(ts AS DATE) IN (DATE '2024-01-05', DATE '2024-01-09') GROUP BY 1""",
+)
+def _(spark, sf_dir):
+    """Two day folders of one table, with a renamed column."""
+    path = _by_day(spark, sf_dir)
+    days = tables.read_days(spark, path, [f"{path}/dt=2024-01-05", f"{path}/dt=2024-01-09"], {"value": "price"})
+    day = F.col("dt").cast("string").alias("dt")
+    return days.groupBy(day).agg(F.count("*").alias("n"), F.round(F.sum("price"), 4).alias("total"))
+
+
+@query("path_dates", "SELECT CAST(ts AS DATE) AS date, count(*) AS n FROM events GROUP BY 1")
+def _(spark, sf_dir):
+    """Dates that are only in the file paths."""
+    files = spark.read.option("recursiveFileLookup", True).parquet(_by_day(spark, sf_dir))
+    return tables.with_path_date(files).groupBy("date").agg(F.count("*").alias("n"))
+
+
+@query(
+    "catalog_partitions",
+    """SELECT strftime(ts, '%Y-%m-%d') AS dt, count(*) AS n FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-06' GROUP BY 1""",
+)
+def _(spark, sf_dir):
+    """A catalog table: its first partition column is looked up and pruned by the days of the range."""
+    name, path = f"events_{uuid.uuid4().hex}", f"{intermediate_folder(spark)}/events-{uuid.uuid4().hex}"
+    by_day = table(spark, sf_dir, "events").withColumn("dt", date_text("ts"))
+    by_day.hint("rebalance", "dt").write.partitionBy("dt").option("path", path).saveAsTable(name)
+    rows = tables.read_source(spark, Source(path=name, format="table"), TimeRange("2024-01-05", "2024-01-06"))
+    return rows.groupBy("dt").agg(F.count("*").alias("n"))
+
+
+@query(
+    "merged_schema",
+    """SELECT CASE WHEN event_id % 2 = 0 THEN event_type END AS event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1""",
+)
+def _(spark, sf_dir):
+    """Files with and without a column under one declared schema."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    root = f"{intermediate_folder(spark)}/merge-{uuid.uuid4().hex}"
+    events.where("event_id % 2 = 0").write.parquet(f"{root}/part=0")
+    events.where("event_id % 2 <> 0").drop("event_type").write.parquet(f"{root}/part=1")
+    rows = tables.read_declared(spark, root, "event_id bigint, event_type string, value double")
+    return rows.groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
+
+
+@query("newest_file", "SELECT c_mktsegment, count(*) AS n FROM customer WHERE c_custkey % 2 = 1 GROUP BY 1")
+def _(spark, sf_dir):
+    """Of two saved lists the one changed last is read."""
+    root = f"{intermediate_folder(spark)}/lists-{uuid.uuid4().hex}"
+    customers = table(spark, sf_dir, "customer")
+    for part in (0, 1):
+        customers.where(F.col("c_custkey") % 2 == part).coalesce(1).write.csv(f"{root}/list_{part}", header=True)
+        time.sleep(0.01)
+    newest = tables.newest_file(spark, f"{root}/list_*/*.csv")
+    rows = tables.read_by_extension(spark, newest, customers.schema)
+    return rows.groupBy("c_mktsegment").agg(F.count("*").alias("n"))
+
+
+@query(
+    "stream_hourly",
+    """WITH h AS (SELECT date_trunc('hour', ts) AS time_bucket, event_type, round(sum(value), 4) AS total, count(*) AS n FROM events GROUP BY 1, 2)
+SELECT * FROM h WHERE time_bucket + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""",
+)
+def _(spark, sf_dir):
+    """The hourly sums as a stream that stops at the end of its input; hours the watermark has passed are final."""
+    root = f"{intermediate_folder(spark)}/stream-{uuid.uuid4().hex}"
+    schema = table(spark, sf_dir, "events").schema
+    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*")
+    sums = [Aggregation("value", "sum", "total"), Aggregation("*", "count", "n")]
+    hourly = stream_aggregate(stream, ["event_type"], sums, "ts", "hour", "1 hour")
+    running = (
+        hourly.writeStream.outputMode("append").format("parquet").option("path", f"{root}/out")
+        .option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start()
+    )
+    running.awaitTermination()
+    return spark.read.schema(hourly.schema).parquet(f"{root}/out").withColumn("total", F.round("total", 4))
+
+
 @query("file_inventory")
 def _(spark, sf_dir):
     return tables.file_inventory(table(spark, sf_dir, "lineitem"))

@@ -212,12 +212,20 @@ def normalised_weights(df: DataFrame, batch: Sequence[str], weight: str, default
     return totals.withColumn(output, value).drop("_w", "_sum", "_rows")
 
 
-def shuffled_batches(df: DataFrame, id_column: str, batch_size: int, buckets: int, seed: int = 0, hash_with: str = "xxhash64") -> DataFrame:
+def shuffled_batches(
+    df: DataFrame,
+    id_column: str,
+    batch_size: int,
+    bucket_rows: int = HOT_ROWS,
+    seed: int = 0,
+    hash_with: str = "xxhash64",
+) -> DataFrame:
     """Deterministic shuffle: rows fall into hash buckets, and batches are cut inside a bucket in hash order.
 
-    Adds ``bucket`` and ``batch``. Buckets are even because ids are hashed; choose their number so that one fits a task.
-    The last batch of each bucket may be short.
+    Adds ``bucket`` and ``batch``. The number of buckets follows from the number of rows, and buckets are even because
+    unique ids are hashed, so one bucket fits a task at any size. The last batch of each bucket may be short.
     """
+    buckets = max(1, -(-df.count() // bucket_rows))
     if hash_with == "md5":
         key = F.md5(F.concat(F.col(id_column).cast("string"), F.lit(str(seed))))
         bucket = F.conv(F.substring(key, 1, 8), 16, 10).cast("bigint") % buckets

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from adlake.functions.scalar import date_hour, feature_key, ratio_or_zero
 from adlake.operators.running import HOT_ROWS, exact_percentiles, value_counts
+from adlake.session import cut_lineage
 
 
 # Decay ---------------------------------------------------------------------------------------
@@ -105,8 +106,9 @@ def period_pairs(
     """Cosine of every pair of periods ``gap`` apart (all pairs if no gaps are given): one self join on the key.
 
     ``daily`` has one row per (key, period), so a key meets itself at most once per pair of periods. Gaps are counted
-    in available periods, or in days with ``calendar``.
+    in available periods, or in days with ``calendar``. The table is read three times here, so it is written once.
     """
+    daily = cut_lineage(daily.select(key, period, *metrics))
     known = daily.agg(F.array_sort(F.collect_set(period)).alias("p")).scalar()  # as long as the list of periods
     if calendar:
         index = F.datediff(F.col(period), F.element_at(known, 1))

@@ -13,7 +13,7 @@ from typing import Any
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import FMClassifier, GBTClassifier, LogisticRegression
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import FeatureHasher, VectorAssembler
 from pyspark.ml.regression import FMRegressor, GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -301,6 +301,7 @@ class TrainingTask:
     hyperparameters: Mapping[str, Any] = field(default_factory=dict)
     validation_split: float = 0.2
     seed: int = 0
+    hash_features: int = 4096
 
 
 def split_by_hash(df: DataFrame, id_column: str, share: float, seed: int = 0) -> tuple[DataFrame, DataFrame]:
@@ -315,11 +316,18 @@ def fit_task(df: DataFrame, task: TrainingTask, id_column: str) -> tuple[Pipelin
     if task.learner not in LEARNERS:
         raise ValueError(f"unknown learner {task.learner!r}")
     train, held_out = split_by_hash(df, id_column, task.validation_split, task.seed)
-    indexed = [f"{c}_index" for c in task.categorical]
     stages: list = []
-    if indexed:
-        stages.append(StringIndexer(inputCols=list(task.categorical), outputCols=indexed, handleInvalid="keep"))
-    stages.append(VectorAssembler(inputCols=[*task.numeric, *indexed], outputCol="features", handleInvalid="skip"))
+    inputs = list(task.numeric)
+    if task.categorical:
+        # hashing needs no list of categories, which could outgrow the driver
+        stages.append(
+            FeatureHasher(
+                inputCols=list(task.categorical), categoricalCols=list(task.categorical), outputCol="hashed",
+                numFeatures=task.hash_features,
+            )
+        )
+        inputs.append("hashed")
+    stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="skip"))
     stages.append(LEARNERS[task.learner](featuresCol="features", labelCol=task.target, **task.hyperparameters))
     model = Pipeline(stages=stages).fit(train)
     return model, model.transform(held_out)

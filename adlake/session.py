@@ -67,6 +67,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     Used where a result is read more than once. It is computed once, a lost executor costs no recomputation of what
     came before, every later read sees the same rows, and the reader knows the true size of the table.
     """
-    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    path = f"{intermediate_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def intermediate_folder(spark: SparkSession) -> str:
+    """Where this application keeps its intermediate tables."""
+    return f"{shared_folder(spark)}/adlake-{spark.sparkContext.applicationId}"
+
+
+def drop_intermediate(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables, once no result that reads them is needed any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(intermediate_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -106,9 +106,9 @@ def test_weights_sum_to_batch_size(spark):
 
 def test_batches_are_repeatable(spark, rows):
     df = spark.range(1000)
-    a = em.shuffled_batches(df, "id", 32, 4, seed=1)
-    assert rows(a) == rows(em.shuffled_batches(df.repartition(5), "id", 32, 4, seed=1))
-    assert rows(a) != rows(em.shuffled_batches(df, "id", 32, 4, seed=2))
+    a = em.shuffled_batches(df, "id", 32, 250, seed=1)
+    assert rows(a) == rows(em.shuffled_batches(df.repartition(5), "id", 32, 250, seed=1))
+    assert rows(a) != rows(em.shuffled_batches(df, "id", 32, 250, seed=2))
     sizes = a.groupBy("bucket", "batch").count()
     assert sizes.agg(F.max("count")).first()[0] == 32 and sizes.agg(F.sum("count")).first()[0] == 1000
 

@@ -11,7 +11,7 @@ from adlake.catalog.aggregates import METRICS, flagship, rounded
 from adlake.catalog.registry import view
 from adlake.operators.aggregate import Aggregation, bucket_aggregate
 from adlake.plans import jobs
-from adlake.session import cut_lineage, shared_folder
+from adlake.session import cut_lineage, drop_intermediate, intermediate_folder, shared_folder
 from adlake.sources import ranges, tables
 from adlake.sources.ranges import TimeRange
 from adlake.sources.tables import ColumnSpec, Source
@@ -118,6 +118,19 @@ def test_cut_lineage_keeps_rows_and_types(spark):
     assert cut_lineage(df).collect() == df.collect() and cut_lineage(df).dtypes == df.dtypes
 
 
+def test_shared_folder_follows_the_setting(spark, tmp_path):
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+    try:
+        assert shared_folder(spark) == str(tmp_path)
+        assert cut_lineage(spark.range(3)).count() == 3
+        assert os.path.isdir(intermediate_folder(spark)) and str(tmp_path) in intermediate_folder(spark)
+        drop_intermediate(spark)
+        assert not os.path.exists(intermediate_folder(spark))
+    finally:
+        spark.conf.unset("spark.checkpoint.dir") if before is None else spark.conf.set("spark.checkpoint.dir", before)
+
+
 SPEC = {
     "sources": {
         "logs": {
