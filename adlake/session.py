@@ -42,14 +42,17 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, name: str = "adla
     return prepare_session(spark)
 
 
+def configured_folder(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder for checkpoints and intermediate tables that every executor can reach.
 
     The cluster names it in ``spark.checkpoint.dir``. Only a local master may go without:
     there a temporary folder is shared by definition.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
+    if configured := configured_folder(spark):
         return configured
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():

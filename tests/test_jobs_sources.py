@@ -20,7 +20,7 @@ from adlake.streaming.hourly import stream_aggregate
 SF = "/root/testdata/sf0.001"
 
 
-def test_range_bounds():
+def test_range_bounds(spark):
     r = TimeRange("2024-01-05", "2024-01-07")
     assert r.lower(3) == dt.datetime(2024, 1, 4, 21) and r.upper() == dt.datetime(2024, 1, 8)
     assert r.days(3) == ["2024-01-04", "2024-01-05", "2024-01-06", "2024-01-07"]
@@ -118,17 +118,13 @@ def test_cut_lineage_keeps_rows_and_types(spark):
     assert cut_lineage(df).collect() == df.collect() and cut_lineage(df).dtypes == df.dtypes
 
 
-def test_shared_folder_follows_the_setting(spark, tmp_path):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        assert shared_folder(spark) == str(tmp_path)
-        assert cut_lineage(spark.range(3)).count() == 3
-        assert os.path.isdir(intermediate_folder(spark)) and str(tmp_path) in intermediate_folder(spark)
-        drop_intermediate(spark)
-        assert not os.path.exists(intermediate_folder(spark))
-    finally:
-        spark.conf.unset("spark.checkpoint.dir") if before is None else spark.conf.set("spark.checkpoint.dir", before)
+def test_shared_folder_follows_the_setting(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("adlake.session.configured_folder", lambda _: str(tmp_path))
+    assert shared_folder(spark) == str(tmp_path)
+    assert cut_lineage(spark.range(3)).count() == 3
+    assert os.path.isdir(intermediate_folder(spark)) and str(tmp_path) in intermediate_folder(spark)
+    drop_intermediate(spark)
+    assert not os.path.exists(intermediate_folder(spark))
 
 
 SPEC = {
