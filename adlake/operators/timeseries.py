@@ -103,10 +103,11 @@ def period_pairs(
     gaps: Sequence[int] | None = None,
     calendar: bool = False,
 ) -> DataFrame:
-    """Cosine of every pair of periods ``gap`` apart (all pairs if no gaps are given): one self join on the key.
+    """Cosine of every pair of periods ``gap`` apart (all pairs if no gaps are given), in one job.
 
-    ``daily`` has one row per (key, period), so a key meets itself at most once per pair of periods. Gaps are counted
-    in available periods, or in days with ``calendar``. The table is read three times here, so it is written once.
+    ``daily`` has one row per (key, period). With gaps, a row is repeated once per gap and joined on (key, period
+    number), so the work grows with periods × gaps and a key with very many periods is spread over tasks. Gaps are
+    counted in available periods, or in days with ``calendar``. The table is read three times, so it is written once.
     """
     daily = cut_lineage(daily.select(key, period, *metrics))
     known = daily.agg(F.array_sort(F.collect_set(period)).alias("p")).scalar()  # as long as the list of periods
@@ -121,12 +122,16 @@ def period_pairs(
         F.col(key).alias("_key"), F.col(period).alias("period_2"), index.alias("j"),
         *[F.col(m).alias(f"b_{m}") for m in metrics],
     )
-    apart = F.col("j") - F.col("i")
-    wanted = apart.isin(list(gaps)) if gaps is not None else apart > 0
-    pairs = left.join(right, (F.col(key) == F.col("_key")) & wanted)
+    if gaps is not None:
+        steps = F.array(*[F.lit(int(g)) for g in gaps])
+        ahead = left.withColumn("gap", F.explode(steps))
+        pairs = ahead.join(right, (F.col(key) == F.col("_key")) & (F.col("i") + F.col("gap") == F.col("j")))
+    else:
+        pairs = left.join(right, (F.col(key) == F.col("_key")) & (F.col("i") < F.col("j")))
+        pairs = pairs.withColumn("gap", F.col("j") - F.col("i"))
     sums = [c for m in metrics for c in _cosine_sums(f"a_{m}", f"b_{m}", m)]
     keep = ["period_1", "period_2", "gap"]
-    return _cosine_rows(pairs.groupBy("period_1", "period_2", apart.alias("gap")).agg(*sums), keep, metrics)
+    return _cosine_rows(pairs.groupBy(*keep).agg(*sums), keep, metrics)
 
 
 def consecutive_similarity(daily: DataFrame, key: str, period: str, metrics: Sequence[str]) -> DataFrame:
