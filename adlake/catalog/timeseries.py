@@ -188,7 +188,7 @@ _PAIRS = (
 
 
 def _pairs(spark, sf_dir, gaps=None):
-    return ts.period_pairs(daily(spark, sf_dir), "key", "dt", METRICS, gaps)
+    return _r6(ts.period_pairs(daily(spark, sf_dir), "key", "dt", METRICS, gaps))
 
 
 @query(
@@ -249,12 +249,12 @@ def _hourly(spark, sf_dir):
 
 
 def _hour_pairs(spark, sf_dir):
-    return ts.hourly_pairs(_hourly(spark, sf_dir), "key", "hour_ts", ["total"])
+    return _r6(ts.hourly_pairs(_hourly(spark, sf_dir), "key", "hour_ts", ["total"]))
 
 
 @query("hour_to_hour", f"{_HPAIRS} SELECT * FROM hp")
 def _(spark, sf_dir):
-    return _r6(_hour_pairs(spark, sf_dir))
+    return _hour_pairs(spark, sf_dir)
 
 
 @query(
@@ -288,7 +288,7 @@ SELECT 'total' AS metric, round(max(c) FILTER (WHERE gap = 1), 4) AS sim_1h, rou
 )
 def _(spark, sf_dir):
     pairs = ts.period_pairs(_hourly(spark, sf_dir), "key", "hour_ts", ["total"], gaps=[1, 24])
-    out = ts.hourly_vs_daily(ts.mean_by_gap(pairs))
+    out = ts.hourly_vs_daily(ts.mean_by_gap(_r6(pairs)))
     return out.withColumns({c: F.round(c, 4) for c in ("sim_1h", "sim_24h", "drop")} | {"drop_per_hour": F.round("drop_per_hour", 5)})
 
 
