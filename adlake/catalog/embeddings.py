@@ -115,7 +115,7 @@ def _(spark, sf_dir):
 
 @query(
     "ftrl_step",
-    """WITH x AS (SELECT l_partkey AS feature, (avg(l_discount) - 0.05) * 0.9371357 AS g1, (avg(l_tax) - 0.04) * 0.8713579 AS g2 FROM lineitem GROUP BY 1),
+    """WITH x AS (SELECT l_partkey AS feature, (avg(l_discount) - 0.05) * sqrt(0.9::DOUBLE) AS g1, (avg(l_tax) - 0.04) * sqrt(0.8::DOUBLE) AS g2 FROM lineitem GROUP BY 1),
 s1 AS (SELECT feature, g1 * g1 AS n, g1 AS z, g2 FROM x),
 w1 AS (SELECT feature, n, z, g2, CASE WHEN abs(z) <= 0.002 THEN 0.0 ELSE -(z - sign(z) * 0.002) / (0.1 + (1.0 + sqrt(n)) / 0.05) END AS w FROM s1),
 s2 AS (SELECT feature, n + g2 * g2 AS n, z + g2 - (sqrt(n + g2 * g2) - sqrt(n)) / 0.05 * w AS z FROM w1)
@@ -126,7 +126,8 @@ def _(spark, sf_dir):
     """Two steps on scalar weights, one row per part."""
     ftrl = opt.FTRL(alpha=0.05, beta=1.0, l1=0.002, l2=0.1)
     rows = table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("feature")).agg(
-        ((F.avg("l_discount") - 0.05) * 0.9371357).alias("g1"), ((F.avg("l_tax") - 0.04) * 0.8713579).alias("g2")
+        ((F.avg("l_discount") - 0.05) * F.sqrt(F.lit(0.9))).alias("g1"),
+        ((F.avg("l_tax") - 0.04) * F.sqrt(F.lit(0.8))).alias("g2"),
     )
     zero = F.lit(0.0)
     start = rows.withColumns({"w": zero, "z": zero, "n": zero})

@@ -294,21 +294,24 @@ def _(spark, sf_dir):
 
 # Forecasts -----------------------------------------------------------------------------------
 
-_SERIES = f"""WITH {_DAILY}, {_SPLIT}, long AS (SELECT key, dt, 'requests' AS metric, CAST(requests AS DOUBLE) AS v FROM daily
-  UNION ALL SELECT key, dt, 'revenue', revenue FROM daily),
-act AS (SELECT key, 'requests' AS metric, CAST(requests AS DOUBLE) AS actual FROM test UNION ALL SELECT key, 'revenue', revenue FROM test),
+# Both metrics are scaled by an irrational number, so that no result lies on a rounding tie, where engines differ.
+_SERIES = f"""WITH {_DAILY}, {_SPLIT}, long AS (SELECT key, dt, 'requests' AS metric, requests * sqrt(2::DOUBLE) AS v FROM daily
+  UNION ALL SELECT key, dt, 'revenue', revenue * sqrt(2::DOUBLE) FROM daily),
+act AS (SELECT key, 'requests' AS metric, requests * sqrt(2::DOUBLE) AS actual FROM test
+  UNION ALL SELECT key, 'revenue', revenue * sqrt(2::DOUBLE) FROM test),
 pt AS (SELECT key, metric, v, row_number() OVER (PARTITION BY key, metric ORDER BY dt) AS i, count(*) OVER (PARTITION BY key, metric) AS n
   FROM long WHERE dt < DATE '2025-11-27')"""
 
 def _history(spark, sf_dir):
     days, before, test = _split(spark, sf_dir)
-    history = aggregate.history_per_key(before, ["key"], "dt", ["requests", "revenue"])
-    return history, test
+    scaled = {m: F.col(m) * F.sqrt(F.lit(2.0)) for m in ("requests", "revenue")}
+    history = aggregate.history_per_key(before.withColumns(scaled), ["key"], "dt", ["requests", "revenue"])
+    return history, test.withColumns(scaled)
 
 
 @query(
     "simple_forecasts",
-    f"""{_SERIES} SELECT key, metric, round(avg(v), 4) AS mean, arg_max(v, i) AS last_value,
+    f"""{_SERIES} SELECT key, metric, round(avg(v), 4) AS mean, round(arg_max(v, i), 4) AS last_value,
   round(CASE WHEN count(*) = 1 THEN max(v) ELSE regr_intercept(v, i - 1) + regr_slope(v, i - 1) * count(*) END, 4) AS linear_trend,
   round(sum(v * pow(0.9, n - i)) / sum(pow(0.9, n - i)), 4) AS decay_mean FROM pt GROUP BY key, metric""",
     views=("project_report",),
@@ -322,7 +325,7 @@ def _(spark, sf_dir):
             F.struct(
                 F.lit(m).alias("metric"),
                 F.round(ts.mean_forecast(v), 4).alias("mean"),
-                ts.last_value_forecast(v).alias("last_value"),
+                F.round(ts.last_value_forecast(v), 4).alias("last_value"),
                 F.round(ts.linear_forecast(v), 4).alias("linear_trend"),
                 F.round(ts.decay_mean_forecast(v, 0.9), 4).alias("decay_mean"),
             )
