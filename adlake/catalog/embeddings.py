@@ -325,7 +325,7 @@ def _(spark, sf_dir):
 
 @query(
     "training_metrics",
-    """WITH b AS (SELECT CAST(ts AS DATE) AS day, row_number() OVER (PARTITION BY CAST(ts AS DATE) ORDER BY event_id) AS i, value AS loss, user_id % 30 + 1 AS size FROM events),
+    """WITH b AS (SELECT CAST(ts AS DATE) AS day, row_number() OVER (PARTITION BY CAST(ts AS DATE) ORDER BY event_id) AS i, value * sqrt(2::DOUBLE) AS loss, user_id % 30 + 1 AS size FROM events),
 m AS (SELECT *, max(i) OVER (PARTITION BY day) AS n FROM b)
 SELECT day, CAST(sum(size) AS BIGINT) AS total_samples, count(*) AS batch_count, CAST(sum(size) AS DOUBLE) AS weighted_samples,
   round(sum(loss * size) / sum(size), 6) AS avg_loss,
@@ -337,7 +337,7 @@ def _(spark, sf_dir):
     from adlake.operators.running import running_sums
 
     rows = table(spark, sf_dir, "events").select(
-        F.col("ts").cast("date").alias("day"), "event_id", F.col("value").alias("loss"), (F.col("user_id") % 30 + 1).alias("size"), F.lit(1).alias("one")
+        F.col("ts").cast("date").alias("day"), "event_id", (F.col("value") * F.sqrt(F.lit(2.0))).alias("loss"), (F.col("user_id") % 30 + 1).alias("size"), F.lit(1).alias("one")
     )
     numbered = running_sums(rows, ["day"], [F.asc("event_id")], {"number": "one"})
     out = tr.training_metrics(numbered, "day", "number", "loss", "size")
