@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adlake.llm import quality_rules
+from adlake.llm import exact_dedup, quality_rules
 from adlake.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,3 +28,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of the quality rules for every document."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_rules.judge(docs).drop("text")
+
+
+@query(exact_dedup.ORACLE)
+def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which copy of every text stays."""
+    return exact_dedup.deduplicate(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
