@@ -136,3 +136,27 @@ def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     change[lasts] = inside[lasts]
     ends = np.flatnonzero(change) + 1
     return starts, ends, np.searchsorted(starts, offsets, "left")
+
+
+def byte_grams(
+    data: np.ndarray, offsets: np.ndarray, sizes: tuple[int, ...], powers: Powers, codes: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the byte n-grams inside words, and the byte where each starts.
+
+    A word has a blank on either side, also at the ends of a row, so its first and last letters make grams of their own.
+    Places count in the bytes of the rows with two blanks added to each: byte p of row r is at p + 2 r + 1.
+    """
+    rows = len(offsets) - 1
+    padded = np.full(len(data) + 2 * rows, 32, np.uint8)
+    row_of = np.repeat(np.arange(rows), np.diff(offsets))
+    padded[np.arange(len(data)) + 2 * row_of + 1] = np.where((data >= 9) & (data <= 13), 32, data)
+    blank = padded == 32
+    before = np.concatenate([[0], np.cumsum(blank)])
+    hashes, places = [], []
+    rolling = Rolling(padded, powers, codes)
+    for n in sizes:
+        at = np.arange(max(0, len(padded) - n + 1))
+        at = at[before[at + n - 1] - before[at + 1] == 0]  # no blank but at its ends
+        hashes.append(rolling(at, at + n))
+        places.append(at)
+    return np.concatenate(hashes), np.concatenate(places)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adlake.llm import exact_dedup, quality_rules
+from adlake.llm import exact_dedup, mixing, quality_pu, quality_rules, toxicity
 from adlake.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,3 +34,23 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which copy of every text stays."""
     return exact_dedup.deduplicate(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query()
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document the mix takes."""
+    return mixing.mix(read_table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+
+
+@query()
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.classify(docs, read_table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+
+
+@query()
+def op8_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_pu.classify(docs, read_table(spark, sf_dir, "labels").select("doc_id", "quality"))
