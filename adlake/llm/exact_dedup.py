@@ -100,6 +100,8 @@ def groups(table: DataFrame, repeats: RepeatFilter) -> tuple[DataFrame, DataFram
     best = suspects.groupBy("_sha").agg(
         F.max(F.struct("_chars", (-F.col("doc_id")).alias("minus"))).alias("_best"), F.count("*").alias("group_size")
     )
+    # Written, so that both sides of the join are shuffled anew and a hot hash can be split.
+    best = cut_lineage(best)
     joined = suspects.join(best.withColumnRenamed("_sha", "_of"), F.col("_sha") == F.col("_of"))
     return marked.where(~F.col("_may")), joined.withColumn("keep_id", -F.col("_best.minus")).drop("_of", "_best")
 
