@@ -6,9 +6,9 @@ This works on the counts of pieces per length, at most ``capacity`` numbers what
 few steps per length. Spark counts the lengths, and ranks the pieces of each length (in salted groups, since one length
 may hold a third of all rows); a piece's rank says which combination and place is its own.
 
-Tokens: a text is split at white space, and the ids of each word come from the tokenizer, remembered per worker, which is
-the same as encoding the whole text because this vocabulary never joins characters across white space. Texts with the
-tokenizer's own control strings or with separators that Python and the tokenizer class differently are encoded whole.
+Tokens: a text is normalised and split into chunks as the vocabulary prescribes; the tokenizer's ids of each chunk are
+remembered per worker. Texts with the tokenizer's own control strings, or with separators that Python and the tokenizer
+class differently, are encoded whole. Both ways give the ids of the whole text.
 
 Defined cases: NULL and empty texts hold the closing id alone; repeated rows are packed each; extra columns are ignored;
 an empty table gives an empty result.
@@ -17,11 +17,13 @@ an empty table gives an empty result.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,10 +35,11 @@ END_ID = 1
 VOCABULARY = "word_bpe_49k.json"
 SALTS = 64  # least number of rank groups of a length
 ROWS_PER_SALT = 1_000_000
-REMEMBERED = 300_000  # words a worker remembers before it starts afresh
+REMEMBERED = 600_000  # chunks a worker remembers before it starts afresh
 
-WHOLE = re.compile("<\\||[\x1c-\x1f]")  # such texts are encoded whole
-CHUNK = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")  # the splitter on lower-case ASCII words
+ODD_SPACE = re.compile("[\x1c-\x1f]")  # white space to Python only
+# The vocabulary's own splitter, on normalised text.
+CHUNK = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 
 
 def vocabulary_path() -> str:
@@ -45,38 +48,41 @@ def vocabulary_path() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
-class WordIds(dict):
-    """Ids of a word as little-endian 32-bit numbers; words are looked up as they stand, chunks of them in lower case."""
+def byte_letters() -> dict[int, int]:
+    """The letter that stands for each byte in byte-level vocabularies: itself if it prints, else one from 256 on."""
+    prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in prints]
+    return {b: 256 + n for n, b in enumerate(others)}
+
+
+class ChunkIds(dict):
+    """Ids of a chunk of normalised text as little-endian 32-bit numbers."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.tokenizer, self.chunks = Tokenizer.from_file(path), {}
+        self.tokenizer, self.letters = Tokenizer.from_file(path), byte_letters()
 
-    def encode(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    @staticmethod
+    def pack(ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
 
-    def __missing__(self, word: str) -> bytes:
+    def __missing__(self, chunk: str) -> bytes:
         if len(self) > REMEMBERED:
             self.clear()
-            self.chunks.clear()
-        if word.isascii():
-            got = b"".join(map(self.chunk, CHUNK.findall(word.lower())))
-        else:
-            got = self.encode(word)
-        self[word] = got
+        letters = chunk if chunk.isascii() and chunk.isprintable() else chunk.encode().decode("latin-1").translate(self.letters)
+        got = self[chunk] = self.pack([t.id for t in self.tokenizer.model.tokenize(letters)])
         return got
 
-    def chunk(self, text: str) -> bytes:
-        if (got := self.chunks.get(text)) is None:
-            got = self.chunks[text] = self.encode(text)
-        return got
+    def whole(self, text: str) -> bytes:
+        return self.pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def text(self, text: str) -> bytes:
-        if WHOLE.search(text):
-            return self.encode(text)
-        return b"".join(map(self.__getitem__, text.split()))
+        if "<|" in text or ODD_SPACE.search(text):
+            return self.whole(text)
+        plain = text.lower() if text.isascii() else self.tokenizer.normalizer.normalize_str(text)
+        return b"".join(map(self.__getitem__, CHUNK.findall(plain)))
 
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None, end_id: int = END_ID) -> DataFrame:
@@ -84,12 +90,12 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None, e
     path, closing = path or vocabulary_path(), np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(path)
+        known = ChunkIds(path)
         for whole in batches:
             for batch in slices(whole, "text"):
                 out = []
                 for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                    ids = words.text(text or "") + closing
+                    ids = known.text(text or "") + closing
                     for number, at in enumerate(range(0, len(ids), 4 * capacity)):
                         part = ids[at : at + 4 * capacity]
                         out.append((doc, number, at // 4, len(part) // 4, zlib.crc32(part)))

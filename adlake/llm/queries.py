@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adlake.llm import exact_dedup, mixing, quality_pu, quality_rules, toxicity, url_filter
+from adlake.llm import exact_dedup, mixing, packing, quality_pu, quality_rules, toxicity, url_filter
 from adlake.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +60,9 @@ def op8_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on the URL of every page."""
     return url_filter.judge(read_table(spark, sf_dir, "pages").select("page_id", "url"))
+
+
+@query()
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every piece of every document in sequences of 4096 tokens."""
+    return packing.pack(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
