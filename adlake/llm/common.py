@@ -6,6 +6,7 @@ import sys
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,13 +46,15 @@ def row_count_partitions(rows: int, per_partition: int, least: int = 1) -> int:
     return max(least, -(-rows // per_partition))
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut ``batch`` into runs of rows with at most ``limit`` bytes of text each, one row at least."""
+def slices(
+    batch: pa.RecordBatch, column: str, limit: int = BLOCK_BYTES, most_rows: int = 4096
+) -> Iterator[pa.RecordBatch]:
+    """Cut ``batch`` into runs of at most ``most_rows`` rows with at most ``limit`` bytes of text, one row at least."""
     _, offsets = flat_bytes(batch.column(column))
     row, rows = 0, batch.num_rows
     while row < rows:
         end = int(np.searchsorted(offsets, offsets[row] + limit, "right")) - 1
-        end = min(max(end, row + 1), rows)
+        end = min(max(end, row + 1), row + most_rows, rows)
         yield batch.slice(row, end - row)
         row = end
 
@@ -160,3 +163,43 @@ def byte_grams(
         hashes.append(rolling(at, at + n))
         places.append(at)
     return np.concatenate(hashes), np.concatenate(places)
+
+
+class IdFilter:
+    """A Bloom filter of ids, at most ``most`` bits: rows that it lets through may be wanted, all others are not.
+
+    It spares the shuffle of texts that a join would drop. Where ids outgrow it, more rows shuffle; results are the same.
+    """
+
+    WIDTH = 32768  # bits of one of Spark's bitmaps
+
+    def __init__(self, ids: DataFrame, column: str, most: int = 1 << 28):
+        spark, self.rows = ids.sparkSession, ids.count()
+        self.size = min(most, max(self.WIDTH, 1 << (16 * max(1, self.rows) - 1).bit_length()))
+        slots = ids.select(F.explode(F.array(*self.slots(F.col(column)))).alias("s")).select((F.col("s") + 1).alias("s"))
+        parts = slots.groupBy(F.bitmap_bucket_number("s").alias("part")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("bits")
+        )
+        bits = np.zeros(self.size // 8, np.uint8)
+        for row in parts.toLocalIterator():
+            bits[(row.part - 1) * self.WIDTH // 8 : row.part * self.WIDTH // 8] = np.frombuffer(row.bits, np.uint8)
+        self.shared = spark.sparkContext.broadcast(bits)
+
+    def slots(self, key: Column) -> list[Column]:
+        h = F.xxhash64(key)
+        return [h.bitwiseAND(F.lit(self.size - 1)), F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(self.size - 1))]
+
+    def may_hold(self, key: Column) -> Column:
+        return bit_probe(self.shared)(*self.slots(key))
+
+
+def bit_probe(shared):
+    """Whether both slots of a row are set in the broadcast bitmap."""
+
+    @F.pandas_udf("boolean")
+    def probe(a: pd.Series, b: pd.Series) -> pd.Series:
+        bits = shared.value
+        hits = [(bits[x >> 3] >> (x & 7)) & 1 for x in (a.to_numpy(), b.to_numpy())]
+        return pd.Series((hits[0] & hits[1]).astype(bool))
+
+    return probe

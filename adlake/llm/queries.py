@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adlake.llm import exact_dedup, mixing, packing, quality_pu, quality_rules, toxicity, url_filter
+from adlake.llm import exact_dedup, jaccard_join, mixing, packing, quality_pu, quality_rules, toxicity, url_filter
 from adlake.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +66,9 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The place of every piece of every document in sequences of 4096 tokens."""
     return packing.pack(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query()
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document by Jaccard links of its word shingles."""
+    return jaccard_join.join(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
