@@ -1,11 +1,10 @@
-"""Bid-log statistics, policies and serving logs."""
+"""Bid-log statistics, best rounds and serving logs."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from adlake.catalog.registry import query, table, view
-from adlake.functions.scalar import epoch_seconds
 from adlake.operators import bids
 
 _DECILES = ", ".join(f"round(quantile_cont(winner_price, {p / 100}), 6) AS p{p}" for p in range(10, 100, 10))
@@ -38,69 +37,6 @@ def _(spark, sf_dir):
     return _round(bids.conversion_rate(_log(spark, sf_dir), "is_conversion", ["segment_id"]), 8)
 
 
-# A third of what the dearest policy would spend, so that budgets bind.
-BUDGET = 50_000.0
-
-_LEDGER = f"""q AS (SELECT quantile_cont(winner_price, 0.9) AS p90, quantile_cont(winner_price, 0.5) AS p50, avg(is_conversion) AS cr,
-  min(CAST(floor(epoch(ts)) AS BIGINT)) AS t0, max(CAST(floor(epoch(ts)) AS BIGINT)) AS t1 FROM bid_log),
-b AS (SELECT ts, event_id, winner_price, is_conversion, CAST(floor(epoch(ts)) AS BIGINT) AS second,
-  greatest(0.0, p90 * 1.1 * CASE WHEN 1.0 - (CAST(floor(epoch(ts)) AS BIGINT) - t0) / greatest(t1 - t0, 1) < 0.2 THEN 1.5 ELSE 1.0 END) AS aggressive,
-  CASE WHEN cr < 0.01 THEN 0.0 ELSE greatest(0.0, p50 * 0.8) END AS conservative, greatest(0.1, p50) AS median FROM bid_log, q),
-l AS (SELECT row_number() OVER (ORDER BY ts, event_id) AS rn, policy, ts, event_id, second, bid, winner_price, is_conversion FROM b
-  UNPIVOT (bid FOR policy IN (aggressive, conservative, median)) ORDER BY 1),
-c AS (SELECT *, bid >= winner_price AS win, sum(CASE WHEN bid >= winner_price THEN bid ELSE 0.0 END) OVER w AS cum,
-  row_number() OVER w AS row_number FROM l WINDOW w AS (PARTITION BY policy ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING))"""
-
-
-def _ledger(spark, sf_dir):
-    rows = _log(spark, sf_dir)
-    return bids.policy_ledger(
-        rows, bids.POLICIES, epoch_seconds("ts"), ["ts", "event_id"], "winner_price", "is_conversion"
-    )
-
-
-@query(
-    "bid_policy_eval",
-    f"""WITH {_LEDGER}, r AS (SELECT policy, count(*) FILTER (WHERE win AND cum <= {BUDGET}) AS wins, count(*) AS n,
-  CAST(coalesce(sum(is_conversion) FILTER (WHERE win AND cum <= {BUDGET}), 0) AS BIGINT) AS conv,
-  coalesce(max(cum) FILTER (WHERE cum <= {BUDGET}), 0.0) AS spend FROM c GROUP BY 1)
-SELECT policy, wins AS win_count, n AS bids_placed, round(wins / n, 4) AS win_rate, conv AS conversion_count, round(spend, 4) AS total_spend,
-  round({BUDGET} - spend, 4) AS remaining_budget, round(CASE WHEN wins > 0 THEN spend * 1000 / wins ELSE 0.0 END, 4) AS avg_cpm,
-  round(CASE WHEN conv > 0 THEN spend / conv ELSE 0.0 END, 4) AS avg_cpa FROM r""",
-    views=("bid_log",),
-)
-def _(spark, sf_dir):
-    return _round(bids.evaluate_policies(_ledger(spark, sf_dir), list(bids.POLICIES), BUDGET), 4)
-
-
-@query(
-    "bid_policy_history",
-    f"""WITH {_LEDGER}, s AS (SELECT policy, row_number, second, bid, (row_number + 48) // 50 AS report,
-  count(*) FILTER (WHERE win AND cum <= {BUDGET}) OVER w AS wins, sum(CASE WHEN win AND cum <= {BUDGET} THEN is_conversion ELSE 0 END) OVER w AS conv,
-  sum(CASE WHEN win AND cum <= {BUDGET} THEN bid ELSE 0.0 END) OVER w AS spend FROM c
-  WINDOW w AS (PARTITION BY policy ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)),
-a AS (SELECT policy, report, avg(bid) AS avg_bid_price FROM s GROUP BY 1, 2)
-SELECT report, row_number, second, policy, wins AS win_count, CAST(conv AS BIGINT) AS conversion_count, round(spend, 4) AS total_spend,
-  round(avg_bid_price, 3) AS avg_bid_price, round({BUDGET} - spend, 4) AS remaining_budget FROM s JOIN a USING (policy, report)
-WHERE (row_number - 1) % 50 = 0""",
-    views=("bid_log",),
-)
-def _(spark, sf_dir):
-    out = bids.policy_history(_ledger(spark, sf_dir), list(bids.POLICIES), BUDGET)
-    return _round(out.withColumn("avg_bid_price", F.round("avg_bid_price", 3)), 4)
-
-
-@query(
-    "bid_leaderboard",
-    f"""WITH {_LEDGER} SELECT policy, CAST(coalesce(sum(is_conversion) FILTER (WHERE win AND cum <= {BUDGET}), 0) AS BIGINT) AS conversion_count
-FROM c GROUP BY 1 ORDER BY 2 DESC, 1""",
-    views=("bid_log",),
-)
-def _(spark, sf_dir):
-    results = bids.evaluate_policies(_ledger(spark, sf_dir), list(bids.POLICIES), BUDGET)
-    return bids.leaderboard(results.select("policy", "conversion_count"))
-
-
 @query(
     "best_round",
     """WITH r AS (SELECT segment_id, CAST(day(ts) AS INT) AS round, sum(is_conversion) AS conversions FROM bid_log GROUP BY 1, 2)

@@ -1,21 +1,20 @@
-"""Bid-log statistics, bid policies and serving logs."""
+"""Bid-log statistics, best rounds and serving logs."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adlake.operators.running import HOT_ROWS, attach, exact_percentiles, running_sums
-from adlake.session import cut_lineage
+from adlake.operators.running import attach, exact_percentiles
 
 DECILES = {f"p{p}": p / 100 for p in range(10, 100, 10)}
 
 
-def price_percentiles(df: DataFrame, price: str, by: Sequence[str] = (), hot_rows: int = HOT_ROWS) -> DataFrame:
+def price_percentiles(df: DataFrame, price: str, by: Sequence[str] = ()) -> DataFrame:
     """p10 … p90 with linear interpolation; one row of 0.0 for an empty log without groups."""
-    found = exact_percentiles(df, by, price, DECILES, hot_rows=hot_rows).drop("n")
+    found = exact_percentiles(df, by, price, DECILES).drop("n")
     return found if by else found.fillna(0.0)
 
 
@@ -23,159 +22,6 @@ def conversion_rate(df: DataFrame, conversion: str, by: Sequence[str] = ()) -> D
     return df.groupBy(*by).agg(F.avg(conversion).alias("conversion_rate"), F.count("*").alias("rows"))
 
 
-def bid_context(df: DataFrame, time: Column, price: str, conversion: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """One row that policies may look at: price deciles, conversion rate, first and last second of the log."""
-    deciles = price_percentiles(df, price, hot_rows=hot_rows)
-    facts = df.agg(
-        F.coalesce(F.avg(conversion), F.lit(0.0)).alias("conversion_rate"),
-        F.min(time).alias("start"),
-        F.max(time).alias("end"),
-    )
-    return facts.select("*", deciles.select(F.struct("*")).scalar().alias("p"))
-
-
-# Example policies. A policy maps (context, elapsed share) to a bid and never sees the remaining budget.
-POLICIES = {
-    "aggressive": lambda c, elapsed: F.greatest(
-        F.lit(0.0), c["p"]["p90"] * 1.1 * F.when(F.lit(1.0) - elapsed < 0.2, 1.5).otherwise(1.0)
-    ),
-    "conservative": lambda c, elapsed: F.when(c["conversion_rate"] < 0.01, F.lit(0.0)).otherwise(
-        F.greatest(F.lit(0.0), c["p"]["p50"] * 0.8)
-    ),
-    "median": lambda c, elapsed: F.greatest(F.lit(0.1), c["p"]["p50"]),
-}
-
-
-def policy_ledger(
-    df: DataFrame,
-    policies: Mapping,
-    time: Column,
-    order: Sequence[str],
-    price: str,
-    conversion: str,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """The log in time order with, per policy, the bid (``bid_x``) and running wins, conversions and spend.
-
-    All policies ride on the same rows as extra columns, so the log is ordered once. The order is global; a long log is
-    split into ranges (see ``running_sums``) and never gathered in one task. ``row_number`` counts from 1.
-    """
-    context = bid_context(df, time, price, conversion, hot_rows).select(F.struct("*")).scalar()
-    rows = df.select(
-        *order, F.col(price).alias("price"), F.col(conversion).alias("conversion"), time.alias("second"), context.alias("_c")
-    )
-    length = F.greatest(F.col("_c")["end"] - F.col("_c")["start"], F.lit(1))
-    elapsed = (F.col("second") - F.col("_c")["start"]) / length
-    rows = rows.withColumns({f"bid_{name}": policy(F.col("_c"), elapsed) for name, policy in policies.items()}).drop("_c")
-    sums, inputs = {"row_number": "_one"}, {"_one": F.lit(1)}
-    for name in policies:
-        bid = F.col(f"bid_{name}")
-        win = bid >= F.col("price")
-        inputs[f"_win_{name}"] = win.cast("int")
-        inputs[f"_spend_{name}"] = F.when(win, bid).otherwise(F.lit(0.0))
-        inputs[f"_conv_{name}"] = F.when(win, F.col("conversion")).otherwise(F.lit(0))
-        sums.update(
-            {f"wins_{name}": f"_win_{name}", f"spend_{name}": f"_spend_{name}", f"conv_{name}": f"_conv_{name}"}
-        )
-    summed = running_sums(rows.withColumns(inputs), [], [F.col(c) for c in order], sums, hot_rows)
-    return summed.drop(*[c for c in inputs if not c.startswith("_win_") and not c.startswith("_spend_")])
-
-
-def evaluate_policies(ledger: DataFrame, policies: Sequence[str], budget: float) -> DataFrame:
-    """Outcome per policy under a budget: a win pays its bid, and the first win that cannot be paid ends the spending.
-
-    For a bid that never falls over time this is exact: once a win is too dear, so are all later ones. Bids are counted
-    until the budget is used up to the last cent.
-    """
-    return _outcomes(ledger.agg(*_tallies(policies, budget)), policies, budget)
-
-
-def _tallies(policies: Sequence[str], budget: float) -> list[Column]:
-    """Paid wins, conversions and spend, and bids made with money left, per policy; can be combined from parts."""
-    limit = F.lit(float(budget))
-    out = [F.count("*").alias("rows")]
-    for name in policies:
-        spend, win = F.col(f"spend_{name}"), F.col(f"_win_{name}")
-        paid = spend <= limit
-        before = spend - F.when(win == 1, F.col(f"bid_{name}")).otherwise(F.lit(0.0))
-        out += [
-            F.max(F.when(paid, F.col(f"wins_{name}"))).cast("long").alias(f"w_{name}"),
-            F.max(F.when(paid, F.col(f"conv_{name}"))).cast("long").alias(f"c_{name}"),
-            F.max(F.when(paid, spend)).alias(f"s_{name}"),
-            F.count_if(before < limit).alias(f"b_{name}"),
-        ]
-    return out
-
-
-def _outcomes(sums: DataFrame, policies: Sequence[str], budget: float) -> DataFrame:
-    """One row per policy from the one row of tallies."""
-    limit, cells = F.lit(float(budget)), []
-    for name in policies:
-        wins = F.coalesce(f"w_{name}", F.lit(0).cast("long"))
-        conv = F.coalesce(f"c_{name}", F.lit(0).cast("long"))
-        spend = F.coalesce(f"s_{name}", F.lit(0.0))
-        bids = F.when(spend >= limit, F.col(f"b_{name}")).otherwise(F.col("rows"))
-        cells.append(
-            F.struct(
-                F.lit(name).alias("policy"),
-                wins.alias("win_count"),
-                bids.alias("bids_placed"),
-                F.when(bids > 0, F.try_divide(wins, bids)).otherwise(F.lit(0.0)).alias("win_rate"),
-                conv.alias("conversion_count"),
-                spend.alias("total_spend"),
-                (limit - spend).alias("remaining_budget"),
-                F.when(wins > 0, F.try_divide(spend * 1000, wins)).otherwise(F.lit(0.0)).alias("avg_cpm"),
-                F.when(conv > 0, F.try_divide(spend, conv)).otherwise(F.lit(0.0)).alias("avg_cpa"),
-            )
-        )
-    return sums.select(F.explode(F.array(*cells)).alias("r")).select("r.*")
-
-
-def policy_history(ledger: DataFrame, policies: Sequence[str], budget: float, every: int = 50) -> DataFrame:
-    """State at rows 1, 51, 101 …: wins, conversions and spend so far, and the mean bid since the last report."""
-    limit = F.lit(float(budget))
-    # a report closes the rows after the previous report up to itself
-    report = F.floor((F.col("row_number") + (every - 2)) / every).cast("long")
-    tallies = [F.max("row_number").alias("row_number"), F.max("second").alias("second"), *_tallies(policies, budget)]
-    means = [F.avg(f"bid_{name}").alias(f"a_{name}") for name in policies]
-    # one short row per report, written once: the reports and the final outcome are both read from it
-    per_report = cut_lineage(ledger.groupBy(report.alias("report")).agg(*tallies, *means))
-    whole = per_report.where(F.pmod(F.col("row_number") - 1, F.lit(every)) == 0)
-    # once the budget is short, the last paid totals of the log are the state of every later report
-    total = per_report.agg(
-        F.sum("rows").alias("rows"),
-        *[F.max(f"{c}_{name}").alias(f"{c}_{name}") for c in "wcs" for name in policies],
-        *[F.sum(f"b_{name}").alias(f"b_{name}") for name in policies],
-    )
-    final = _outcomes(total, policies, budget).select(
-        F.map_from_entries(
-            F.collect_list(F.struct("policy", F.struct("win_count", "conversion_count", "total_spend", "bids_placed")))
-        ).alias("f")
-    )
-    whole = whole.withColumn("_f", final.scalar())
-    cells = []
-    for name in policies:
-        last = F.col("_f")[name]
-        cells.append(
-            F.struct(
-                F.lit(name).alias("policy"),
-                last["bids_placed"].alias("bids_placed"),
-                F.coalesce(F.col(f"w_{name}"), last["win_count"]).alias("win_count"),
-                F.coalesce(F.col(f"c_{name}"), last["conversion_count"]).alias("conversion_count"),
-                F.coalesce(F.col(f"s_{name}"), last["total_spend"]).alias("total_spend"),
-                F.col(f"a_{name}").alias("avg_bid_price"),
-            )
-        )
-    long = whole.select("report", "row_number", "second", F.explode(F.array(*cells)).alias("r"))
-    out = long.select("report", "row_number", "second", "r.*")
-    out = out.where(F.col("row_number") <= F.col("bids_placed")).drop("bids_placed")
-    return out.withColumn("remaining_budget", limit - F.col("total_spend"))
-
-
-def leaderboard(results: DataFrame, score: str = "conversion_count", name: str = "policy") -> DataFrame:
-    return results.orderBy(F.desc(score), name)
-
-
 def best_round(results: DataFrame, lineage: str, round_column: str, score: str) -> DataFrame:
     """Best earlier round of each lineage; the earlier round wins a tie."""
     pick = F.max(F.struct(F.col(score).alias("s"), (-F.col(round_column)).alias("r")))
@@ -183,16 +29,14 @@ def best_round(results: DataFrame, lineage: str, round_column: str, score: str)
     return best.select(lineage, (-F.col("_b.r")).alias("best_round"), F.col("_b.s").alias(score))
 
 
-def latency_summary(
-    timings: DataFrame, config: Sequence[str], latency: str, batch: str, elapsed: Column, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def latency_summary(timings: DataFrame, config: Sequence[str], latency: str, batch: str, elapsed: Column) -> DataFrame:
     """Mean, p99 (sorted[floor(0.99·n)]) and samples per second for every configuration."""
     means = timings.groupBy(*config).agg(
         F.avg(latency).alias("mean_latency"),
         (F.try_divide(F.count("*"), elapsed) * F.max(batch)).alias("throughput"),
         F.count("*").alias("calls"),
     )
-    tail = exact_percentiles(timings, config, latency, {"p99_latency": 0.99}, method="index", hot_rows=hot_rows).drop("n")
+    tail = exact_percentiles(timings, config, latency, {"p99_latency": 0.99}, method="index").drop("n")
     return attach(means, tail, list(config))
 
 

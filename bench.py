@@ -24,7 +24,7 @@ output_groupings pivot_trend distribution_shift top_k_other enrich_one enrich_fi
 histogram_log density_histograms uplift_dataset uplift_ratio cumulative_share cap_sweep premium_segments decayed_ratio
 each_day_vs_test gap_similarity day_matrix implied_decay hourly_vs_daily holt_forecast backtest_mape preference_cosine
 supplier_part_cosine overlap_coefficient daily_stability compare_outputs snapshot_diff emb_lookup gradient_sum
-adagrad_step ftrl_step mean_pooling weight_norm shuffled_batches training_metrics price_percentiles bid_policy_eval
+adagrad_step ftrl_step mean_pooling weight_norm shuffled_batches training_metrics price_percentiles
 latency_summary
 """.split()
 

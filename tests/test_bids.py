@@ -1,57 +1,8 @@
-import random
-
-import pytest
 from pyspark.sql import functions as F
 
 from adlake.operators import bids
 
 
-def replay(log, policy, budget, every=50):
-    """Row by row, as an auction loop would."""
-    left, wins, conv, spent, placed, history, since = budget, 0, 0, 0.0, 0, [], []
-    for i, (t, _, price, c) in enumerate(log):
-        if left <= 0:
-            break
-        bid = policy(t)
-        placed += 1
-        since.append(bid)
-        if bid >= price and left >= bid:
-            left, wins, conv, spent = left - bid, wins + 1, conv + c, spent + bid
-        if i % every == 0:
-            history.append((i + 1, wins, conv, spent, sum(since) / len(since)))
-            since = []
-    return wins, placed, conv, spent, history
-
-
-@pytest.fixture(scope="module")
-def log():
-    rng = random.Random(2)
-    return sorted((rng.randint(0, 5000), i, float(rng.randint(1, 20)), int(rng.random() < 0.2)) for i in range(700))
-
-
-@pytest.mark.parametrize("budget", [160.0, 163.0, 1e9, 0.0])
-@pytest.mark.parametrize("hot", [50, 1_000_000])
-def test_policies_equal_replay(spark, log, budget, hot):
-    df = spark.createDataFrame(log, "t long, id long, price double, conv int")
-    start, end = log[0][0], log[-1][0]
-    policies = {
-        "fixed": lambda c, e: F.lit(8.0),
-        "rising": lambda c, e: F.when(e >= 0.8, 12.0).otherwise(4.0),
-        "never": lambda c, e: F.lit(0.0),
-    }
-    plain = {"fixed": lambda t: 8.0, "rising": lambda t: 12.0 if (t - start) / (end - start) >= 0.8 else 4.0, "never": lambda t: 0.0}
-    ledger = bids.policy_ledger(df, policies, F.col("t"), ["t", "id"], "price", "conv", hot_rows=hot)
-    got = {r["policy"]: r for r in bids.evaluate_policies(ledger, list(policies), budget).collect()}
-    reports = {}
-    for r in bids.policy_history(ledger, list(policies), budget).collect():
-        reports.setdefault(r["policy"], []).append((r["row_number"], r["win_count"], r["conversion_count"], r["total_spend"], r["avg_bid_price"]))
-    for name, policy in plain.items():
-        wins, placed, conv, spent, history = replay(log, policy, budget)
-        r = got[name]
-        assert (r["win_count"], r["bids_placed"], r["conversion_count"], r["total_spend"]) == (wins, placed, conv, spent), name
-        assert sorted(reports.get(name, [])) == [pytest.approx(h) for h in history]
-
-
 def test_empty_log_percentiles(spark):
     out = bids.price_percentiles(spark.createDataFrame([], "p double"), "p").first()
     assert set(out.asDict().values()) == {0.0}
