@@ -262,7 +262,7 @@ def _(spark, sf_dir):
     views=("project_report",),
 )
 def _(spark, sf_dir):
-    return rounded(aggregate.trend_table(_control_daily(spark, sf_dir), "rtb_id", "dt", DAYS), 0)
+    return rounded(aggregate.trend_table(_control_daily(spark, sf_dir), "rtb_id", "dt"), 0)
 
 
 FEATURES = ["geo", "platform", "placement_type", "supply_name"]
@@ -291,7 +291,7 @@ def _(spark, sf_dir):
     views=("project_report",),
 )
 def _(spark, sf_dir):
-    return aggregate.distribution_shift(view(spark, sf_dir, "project_report"), FEATURES, "dt", DAYS)
+    return aggregate.distribution_shift(view(spark, sf_dir, "project_report"), FEATURES, "dt")
 
 
 _TOP = """top AS (SELECT pub_app_object_id, sum(unr) AS total FROM project_report WHERE exp_bucket = 'project_v1_control'

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from adlake.catalog.registry import query, table, view
 from adlake.functions.scalar import date_text
 from adlake.operators.aggregate import Aggregation
-from adlake.session import intermediate_folder
+from adlake.session import cut_lineage, intermediate_folder
 from adlake.sources import ranges, tables
 from adlake.sources.ranges import TimeRange
 from adlake.sources.tables import Source
@@ -165,7 +165,9 @@ def _(spark, sf_dir):
     by_day = table(spark, sf_dir, "events").withColumn("dt", date_text("ts"))
     by_day.hint("rebalance", "dt").write.partitionBy("dt").option("path", path).saveAsTable(name)
     rows = tables.read_source(spark, Source(path=name, format="table"), TimeRange("2024-01-05", "2024-01-06"))
-    return rows.groupBy("dt").agg(F.count("*").alias("n"))
+    counts = cut_lineage(rows.groupBy("dt").agg(F.count("*").alias("n")))
+    spark.sql(f"DROP TABLE {name}")  # its files stay in the shared folder until that is dropped
+    return counts
 
 
 @query(
@@ -188,7 +190,7 @@ def _(spark, sf_dir):
     root = f"{intermediate_folder(spark)}/lists-{uuid.uuid4().hex}"
     customers = table(spark, sf_dir, "customer")
     for part in (0, 1):
-        customers.where(F.col("c_custkey") % 2 == part).coalesce(1).write.csv(f"{root}/list_{part}", header=True)
+        customers.where(F.col("c_custkey") % 2 == part).write.csv(f"{root}/list_{part}", header=True)
         time.sleep(0.01)
     newest = tables.newest_file(spark, f"{root}/list_*/*.csv")
     rows = tables.read_by_extension(spark, newest, customers.schema)

@@ -128,8 +128,15 @@ def pivot_wide(
     return out if fill is None else out.fillna(fill, subset=[c for c in out.columns if c not in keys])
 
 
-def trend_table(daily: DataFrame, entity: str, date: str, dates: Sequence[str]) -> DataFrame:
-    """Two metrics by day in one pivot, gaps 0, largest total first."""
+def days_in(df: DataFrame, date: str) -> list[str]:
+    """Every day that occurs, in order: one short list, as long as the calendar."""
+    days = df.select(F.col(date).cast("string").alias("d")).where("d IS NOT NULL").distinct()
+    return sorted(r["d"] for r in days.collect())
+
+
+def trend_table(daily: DataFrame, entity: str, date: str, dates: Sequence[str] | None = None) -> DataFrame:
+    """Two metrics by day in one pivot, gaps 0, largest total first. Without ``dates``, all days that occur."""
+    dates = days_in(daily, date) if dates is None else dates
     wide = pivot_wide(
         daily.withColumn("_day", F.col(date).cast("string")),
         [entity],
@@ -153,8 +160,9 @@ def token_counts(df: DataFrame, features: Sequence[str], by: Sequence[str] = ())
     )
 
 
-def distribution_shift(df: DataFrame, features: Sequence[str], date: str, dates: Sequence[str]) -> DataFrame:
-    """(feature, token) × date counts with gaps 0."""
+def distribution_shift(df: DataFrame, features: Sequence[str], date: str, dates: Sequence[str] | None = None) -> DataFrame:
+    """(feature, token) × date counts with gaps 0. Without ``dates``, all days that occur."""
+    dates = days_in(df, date) if dates is None else dates
     counts = token_counts(df.withColumn("_day", F.col(date).cast("string")), features, ["_day"])
     cases = [F.coalesce(F.sum(F.when(F.col("_day") == d, F.col("count"))), F.lit(0)).alias(d) for d in dates]
     return counts.groupBy("feature", "token").agg(*cases)
@@ -225,10 +233,6 @@ def chunked_sum_of_squares(df: DataFrame, id_column: str, value: str, chunk: int
     return chunks.agg(F.sum("chunk_sum").alias("total"), F.count("*").alias("chunks"))
 
 
-def guarded_rate(df: DataFrame, numerator: str, denominator: str, output: str) -> DataFrame:
-    return df.withColumn(output, ratio_or_zero(numerator, denominator))
-
-
 def totals_by(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in columns])
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adlake.operators.optimizers import Optimizer, step_arrays
-from adlake.operators.running import HOT_ROWS, exact_percentiles, with_group_totals
+from adlake.operators.running import RANGE_ROWS, exact_percentiles, with_group_totals
 
 _TWO_53 = float(1 << 53)
 
@@ -141,7 +141,7 @@ def most_updated(table: DataFrame, k: int) -> DataFrame:
     return table.select("token_id", "update_count").orderBy(F.desc("update_count"), "token_id").limit(k)
 
 
-def count_stats(table: DataFrame, dim: int, hot_rows: int = HOT_ROWS) -> DataFrame:
+def count_stats(table: DataFrame, dim: int) -> DataFrame:
     """Spread of update counts and the size of the table in bytes (4 per embedding value)."""
     c = F.col("update_count")
     stats = table.agg(
@@ -152,7 +152,7 @@ def count_stats(table: DataFrame, dim: int, hot_rows: int = HOT_ROWS) -> DataFra
         F.stddev_pop(c).alias("std_count"),
         (F.count("*") * dim * 4).alias("bytes"),
     )
-    median = exact_percentiles(table, [], "update_count", {"m": 0.5}, hot_rows=hot_rows).select("m")
+    median = exact_percentiles(table, [], "update_count", {"m": 0.5}).select("m")
     return stats.withColumn("median_count", median.scalar())
 
 
@@ -174,8 +174,11 @@ def sample_tokens(samples: DataFrame, sample_id: str, features: Mapping[str, Col
 
 
 def labelled_tokens(tokens: Column, feature: str, *extra: Column) -> Column:
-    """Array of (feature, token_id, extra…) structs."""
-    return F.transform(tokens, lambda t: F.struct(F.lit(feature).alias("feature"), t.alias("token_id"), *extra))
+    """Array of (feature, token_id, extra…) structs. A NULL token is token 0; a NULL list has no tokens."""
+    filled = F.coalesce(tokens, F.array().cast("array<bigint>"))
+    return F.transform(
+        filled, lambda t: F.struct(F.lit(feature).alias("feature"), F.coalesce(t, F.lit(0)).cast("bigint").alias("token_id"), *extra)
+    )
 
 
 def unique_tokens(tokens: DataFrame, per_feature: bool = False) -> DataFrame:
@@ -189,14 +192,16 @@ def mean_pool(tokens: DataFrame, table: DataFrame, sample_id: str, dim: int, **i
     return pooled.withColumnRenamed("contributions", "tokens")
 
 
-def assemble(pooled: DataFrame, samples: DataFrame, sample_id: str, features: Sequence[str], dense: Sequence[str], dim: int) -> DataFrame:
+def assemble(
+    pooled: DataFrame, samples: DataFrame, sample_id: str, features: Sequence[str], dense: Sequence[str], dim: int, fill: float = 0.0
+) -> DataFrame:
     """Add ``inputs``: pooled embeddings in feature-name order, zeros where a sample has no token, then dense columns in
-    name order. A sample has one pooled row per feature, so the grouping is small whatever the data."""
+    name order, ``fill`` where they are NULL or NaN. A sample has one pooled row per feature, so the grouping is small whatever the data."""
     zeros = F.array_repeat(F.lit(0.0), dim)
     slots = [F.first(F.when(F.col("feature") == f, F.col("embedding")), ignorenulls=True).alias(f"_{f}") for f in sorted(features)]
     wide = pooled.groupBy(F.col(sample_id).alias("_sample")).agg(*slots)
     joined = samples.join(wide, samples[sample_id] == F.col("_sample"), "left")
-    numbers = [F.col(d).cast("double") for d in sorted(dense)]
+    numbers = [F.coalesce(F.nanvl(F.col(d).cast("double"), F.lit(None)), F.lit(float(fill))) for d in sorted(dense)]
     parts = [F.coalesce(F.col(f"_{f}"), zeros) for f in sorted(features)]
     if numbers:
         parts.append(F.array(*numbers))
@@ -216,7 +221,7 @@ def shuffled_batches(
     df: DataFrame,
     id_column: str,
     batch_size: int,
-    bucket_rows: int = HOT_ROWS,
+    bucket_rows: int = RANGE_ROWS,
     seed: int = 0,
     hash_with: str = "xxhash64",
 ) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adlake.functions.scalar import ColumnLike, as_column, feature_key, ratio_or_zero
-from adlake.operators.running import HOT_ROWS, cumulative_share, score_shares
+from adlake.operators.running import cumulative_share, score_shares
 from adlake.session import cut_lineage
 
 PER_BILLION = 1e9
@@ -128,13 +128,12 @@ def cap_thresholds(
     multiplier: float,
     score: str = "y",
     weight: str = "weight",
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Per account and cap (columns ``t0``, ``t1`` …): the lowest score whose cumulative share is within the target.
 
     All caps come out of one aggregation; nothing is repeated per cap.
     """
-    shares = score_shares(scored, [account], score, weight, hot_rows=hot_rows)
+    shares = score_shares(scored, [account], score, weight)
     cells = []
     for i, cap in enumerate(caps):
         inside = F.col("percentile") <= cap_target(F.lit(float(cap)), multiplier)
@@ -198,14 +197,13 @@ def premium_segments(
     targets: float | DataFrame,
     score: str = "y",
     weight: str = "weight",
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Distinct (entity, segment) rows of the rows within the account's target share.
 
     ``targets`` is one share for all accounts or a frame (account, target_pct). Sets stay in long form: an entity with
     very many segments is spread over tasks.
     """
-    ranked = cumulative_share(scored, [account], score, weight, hot_rows=hot_rows)
+    ranked = cumulative_share(scored, [account], score, weight)
     if isinstance(targets, DataFrame):
         ranked = ranked.join(targets.select(account, "target_pct"), account)
         inside = ranked.where(F.col("percentile") <= F.col("target_pct"))
@@ -222,9 +220,3 @@ def cap_curves(results: Mapping[str, DataFrame], account: str) -> DataFrame:
         start = curve.select(account).distinct().select(account, F.lit(1.0).alias("cap"), F.lit(0.0).alias("unr_uplift"))
         frames.append(start.unionByName(curve).withColumn("source", F.lit(source)))
     return reduce(lambda a, b: a.unionByName(b), frames)
-
-
-def cap_grid(accounts: DataFrame, account: str, caps: Sequence[float], multiplier: float) -> DataFrame:
-    """(account, cap, target_pct) for the caps that raise traffic."""
-    grid = accounts.select(account, F.explode(F.array(*[F.lit(float(c)) for c in caps])).alias("cap"))
-    return grid.withColumn("target_pct", cap_target("cap", multiplier)).where(F.col("target_pct").isNotNull())

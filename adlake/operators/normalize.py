@@ -37,7 +37,7 @@ def _quantiles(df: DataFrame, groups: Sequence[str], column: str, probs: Sequenc
     return grouped.select(*groups, *[F.col("_q")[i].alias(f"q{i}") for i in range(len(probs))], "n")
 
 
-def robust_stats(df: DataFrame, column: str, groups: Sequence[str], exact: bool = False) -> DataFrame:
+def robust_stats(df: DataFrame, column: str, groups: Sequence[str], exact: bool = True) -> DataFrame:
     """Median and IQR of log1p(x) over positive x, by group. The IQR is at least 0.001."""
     logs = df.where(F.col(column) > 0).select(*groups, F.log1p(column).alias("_log"))
     q = _quantiles(logs, groups, "_log", [0.25, 0.5, 0.75], exact)
@@ -64,7 +64,7 @@ def robust_normalise(
 
 
 def quantile_thresholds(
-    df: DataFrame, column: str, groups: Sequence[str], n_buckets: int = 3, skew: float = 3.0, exact: bool = False
+    df: DataFrame, column: str, groups: Sequence[str], n_buckets: int = 3, skew: float = 3.0, exact: bool = True
 ) -> DataFrame:
     """Thresholds at (i/n)^skew over positive x, by group."""
     probs = [(i / n_buckets) ** skew for i in range(1, n_buckets)]

@@ -1,9 +1,8 @@
 """Running sums, group totals, cumulative shares and exact percentiles that survive hot groups.
 
-A window puts a whole group into one task. That is fine while every group is small, so group sizes are checked first;
-beyond the bound the rows are range-partitioned on (group, order), each range is summed on its own, and the few range
-totals carry the sums across. Both ways give the same result. The rows are written once before they are measured, so the
-plan that makes them runs once.
+A window puts a whole group into one task. Here rows are range-partitioned on (group, order) instead, each range is summed
+on its own, and the few range totals carry the sums across: the same steps at every size, with ranges of a bounded number
+of rows. The rows are written once before they are counted, so the plan that makes them runs once.
 """
 
 from __future__ import annotations
@@ -16,8 +15,8 @@ from pyspark.sql import functions as F
 
 from adlake.session import cut_lineage
 
-# Largest group that one window task may hold.
-HOT_ROWS = 1_000_000
+# Rows that one range, and so one window task, holds.
+RANGE_ROWS = 250_000
 
 
 def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str) -> Column:
@@ -36,11 +35,6 @@ def attach(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "i
     return left.join(renamed, same_keys(left, renamed, keys, "__"), how).drop(*[f"__{k}" for k in keys])
 
 
-def has_hot_group(df: DataFrame, keys: Sequence[str], limit: int = HOT_ROWS) -> bool:
-    """Whether some group holds more rows than ``limit``. Counts are combined before the shuffle."""
-    return not df.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > limit).isEmpty()
-
-
 def with_group_totals(df: DataFrame, keys: Sequence[str], totals: Mapping[str, Column]) -> DataFrame:
     """Add aggregates of the row's group: one partial aggregation and a join, never a whole group in a window."""
     sums = df.groupBy(*keys).agg(*[agg.alias(name) for name, agg in totals.items()])
@@ -52,22 +46,18 @@ def running_sums(
     keys: Sequence[str],
     order: Sequence[Column],
     sums: Mapping[str, str],
-    hot_rows: int = HOT_ROWS,
     written: bool = False,
+    range_rows: int | None = None,
 ) -> DataFrame:
     """Add running sums ``{output: input}`` in ``order`` within ``keys``, the current row included.
 
-    ``order`` must be total within a group. Without keys the order is global and the whole table is the group.
-    ``written`` says that ``df`` is already a plain read of a table.
+    ``order`` must be total within a group. Without keys the order is global and the whole table is the group. As in SQL,
+    NULL adds nothing, and a sum is NULL until the first value. ``written`` says that ``df`` is a plain read of a table.
     """
     keys = list(keys)
     base = df if written else cut_lineage(df)
-    if not has_hot_group(base, keys, hot_rows):
-        frame = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return base.select("*", *[F.sum(c).over(frame).alias(out) for out, c in sums.items()])
-
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = base.repartitionByRange(partitions, *keys, *order).withColumn("_range", F.spark_partition_id())
+    ranges = max(1, -(-base.count() // (range_rows or RANGE_ROWS)))
+    ranged = base.repartitionByRange(ranges, *keys, *order).withColumn("_range", F.spark_partition_id())
     # Range bounds come from a sample; the written copy keeps both readers below on the same bounds.
     ranged = cut_lineage(ranged)
     parts = [*keys, "_range"]
@@ -79,41 +69,28 @@ def running_sums(
     inside = Window.partitionBy(*parts).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = ranged.select("*", *[F.sum(c).over(inside).alias(f"_inside_{out}") for out, c in sums.items()])
     joined = attach(local, offsets, parts)
-    return joined.select(
-        *df.columns,
-        *[(F.col(f"_inside_{out}") + F.coalesce(F.col(f"_before_{out}"), F.lit(0))).alias(out) for out in sums],
-    )
+
+    def carried(out: str) -> Column:
+        here, before = F.col(f"_inside_{out}"), F.col(f"_before_{out}")
+        return F.coalesce(here + before, here, before).alias(out)
+
+    return joined.select(*df.columns, *[carried(out) for out in sums])
 
 
 def cumulative_share(
-    df: DataFrame,
-    keys: Sequence[str],
-    score: str,
-    weight: str,
-    output: str = "percentile",
-    hot_rows: int = HOT_ROWS,
+    df: DataFrame, keys: Sequence[str], score: str, weight: str, output: str = "percentile", range_rows: int | None = None
 ) -> DataFrame:
     """Share of the group's weight held by rows with this score or a higher one. Equal scores share one value."""
     base = cut_lineage(df)
-    if not has_hot_group(base, keys, hot_rows):
-        whole = Window.partitionBy(*keys)
-        ranked = whole.orderBy(F.desc(score))  # default RANGE frame: peers are summed together
-        return base.withColumn(output, F.try_divide(F.sum(weight).over(ranked), F.sum(weight).over(whole)))
-    shares = score_shares(base, keys, score, weight, output, hot_rows)
-    return attach(base, shares, [*keys, score])
+    return attach(base, score_shares(base, keys, score, weight, output, range_rows), [*keys, score])
 
 
 def score_shares(
-    df: DataFrame,
-    keys: Sequence[str],
-    score: str,
-    weight: str,
-    output: str = "percentile",
-    hot_rows: int = HOT_ROWS,
+    df: DataFrame, keys: Sequence[str], score: str, weight: str, output: str = "percentile", range_rows: int | None = None
 ) -> DataFrame:
     """One row per (group, score) with the cumulative share of :func:`cumulative_share`."""
     by_score = cut_lineage(df.groupBy(*keys, score).agg(F.sum(weight).alias("_weight")))
-    running = running_sums(by_score, keys, [F.desc(score)], {"_cumulative": "_weight"}, hot_rows, written=True)
+    running = running_sums(by_score, keys, [F.desc(score)], {"_cumulative": "_weight"}, True, range_rows)
     totals = by_score.groupBy(*keys).agg(F.sum("_weight").alias("_total"))
     return attach(running, totals, keys).select(
         *keys, score, F.try_divide(F.col("_cumulative"), F.col("_total")).alias(output)
@@ -137,8 +114,8 @@ def exact_percentiles(
     value: str,
     probabilities: Mapping[str, float],
     method: str = "linear",
-    hot_rows: int = HOT_ROWS,
     counted: bool = False,
+    range_rows: int | None = None,
 ) -> DataFrame:
     """Exact percentiles per group without holding a group in memory.
 
@@ -149,7 +126,7 @@ def exact_percentiles(
     """
     keys = list(keys)
     counts = df if counted else value_counts(df, keys, value)
-    running = running_sums(counts, keys, [F.asc(value)], {"_upto": "_n"}, hot_rows, written=True)
+    running = running_sums(counts, keys, [F.asc(value)], {"_upto": "_n"}, True, range_rows)
     sizes = counts.groupBy(*keys).agg(F.sum("_n").alias("_size"))
     if keys:
         ranked = attach(running, sizes, keys)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adlake.functions.scalar import date_hour, feature_key, ratio_or_zero
-from adlake.operators.running import HOT_ROWS, exact_percentiles, value_counts
+from adlake.operators.running import exact_percentiles, value_counts
 from adlake.session import cut_lineage
 
 
@@ -396,7 +396,7 @@ def forecast_errors(
     return rows.withColumn("ape", F.try_divide(F.abs(F.col("prediction") - F.col("actual")), F.abs("actual")))
 
 
-def backtest(errors: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def backtest(errors: DataFrame) -> DataFrame:
     """MAPE and median APE in percent per (metric, method), both exact."""
     keys = ["metric", "method"]
     counts = value_counts(errors, keys, "ape")  # the forecasts are computed once, for both results
@@ -404,7 +404,7 @@ def backtest(errors: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     means = counts.groupBy(*keys).agg(
         (F.sum(F.col("ape") * F.col("_n")) / total * 100).alias("mape_pct"), total.alias("n")
     )
-    medians = exact_percentiles(counts, keys, "ape", {"_median": 0.5}, hot_rows=hot_rows, counted=True)
+    medians = exact_percentiles(counts, keys, "ape", {"_median": 0.5}, counted=True)
     medians = medians.select(*keys, (F.col("_median") * 100).alias("median_ape_pct"))
     return means.join(medians, keys).select(*keys, "mape_pct", "median_ape_pct", "n")
 

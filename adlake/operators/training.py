@@ -13,7 +13,7 @@ from typing import Any
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import FMClassifier, GBTClassifier, LogisticRegression
-from pyspark.ml.feature import FeatureHasher, VectorAssembler
+from pyspark.ml.feature import FeatureHasher, Imputer, SQLTransformer, VectorAssembler
 from pyspark.ml.regression import FMRegressor, GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -76,12 +76,6 @@ def loss_column(task: str, prediction: Column, target: Column) -> Column:
     raise ValueError(f"unknown task {task!r}")
 
 
-def weighted_loss(df: DataFrame, loss: Column, weight: Column | None = None, by: Sequence[str] = ()) -> DataFrame:
-    """Mean over samples of loss · weight."""
-    value = loss if weight is None else loss * weight
-    return df.groupBy(*by).agg(F.avg(value).alias("loss"), F.count("*").alias("samples"))
-
-
 def training_metrics(batches: DataFrame, day: str, number: str, loss: str, size: str, weighted: str | None = None, alpha: float = 0.01, recent: int = 100) -> DataFrame:
     """Per day: samples, batches, weighted samples, sample-weighted mean loss, EMA and mean of the last batches.
 
@@ -105,6 +99,8 @@ def training_metrics(batches: DataFrame, day: str, number: str, loss: str, size:
 
 # Embedding model ------------------------------------------------------------------------------
 
+TRAINED_TASKS = ("binary_classification", "regression")
+
 
 @dataclass(frozen=True)
 class EmbeddingModel:
@@ -127,6 +123,10 @@ class EmbeddingModel:
     scale: float = 0.1
     seed: int = 0
 
+    def __post_init__(self):
+        if self.task not in TRAINED_TASKS:
+            raise ValueError(f"task {self.task!r} cannot be trained; only {TRAINED_TASKS} have one output")
+
     @property
     def inputs(self) -> int:
         return len(self.sparse) * self.dim + len(self.dense)
@@ -183,8 +183,8 @@ def train_step(samples: DataFrame, table: DataFrame, model: EmbeddingModel, weig
     facts = needed.agg(
         *sums,
         F.sum("_error").alias("bias"),
-        F.count("*").alias("n"),
-        F.coalesce(F.sum("_w"), F.lit(0.0)).alias("w"),
+        F.count("_error").alias("n"),  # a sample without a label teaches nothing
+        F.coalesce(F.sum(F.when(F.col("_error").isNotNull(), F.col("_w"))), F.lit(0.0)).alias("w"),
         F.coalesce(F.avg("_loss"), F.lit(0.0)).alias("loss"),
     ).first()
     n = facts["n"]
@@ -208,7 +208,7 @@ def token_gradients(needed: DataFrame, model: EmbeddingModel, weights: Sequence[
     for f in features:
         c = F.col(f"_s_{f}")
         tokens = c if needed.schema[f"_s_{f}"].dataType.typeName() == "array" else F.array(c)
-        part = F.col("_error") / F.size(tokens) / F.lit(float(n))
+        part = F.coalesce(F.col("_error"), F.lit(0.0)) / F.size(tokens) / F.lit(float(n))
         cells.append(labelled_tokens(tokens, f, part.alias("part")))
     rows = needed.select(F.explode(F.concat(*cells)).alias("_t")).select("_t.*")
     parts = [F.coalesce(F.sum(F.when(F.col("feature") == f, F.col("part"))), F.lit(0.0)).alias(f"_p_{f}") for f in features]
@@ -301,7 +301,7 @@ class TrainingTask:
     hyperparameters: Mapping[str, Any] = field(default_factory=dict)
     validation_split: float = 0.2
     seed: int = 0
-    hash_features: int = 4096
+    hash_features: int = 1 << 18
 
 
 def split_by_hash(df: DataFrame, id_column: str, share: float, seed: int = 0) -> tuple[DataFrame, DataFrame]:
@@ -312,12 +312,18 @@ def split_by_hash(df: DataFrame, id_column: str, share: float, seed: int = 0) ->
 
 
 def fit_task(df: DataFrame, task: TrainingTask, id_column: str) -> tuple[PipelineModel, DataFrame]:
-    """Fit on the training rows; returns the model and the scored validation rows."""
+    """Fit on the training rows with a label; returns the model and the scored validation rows.
+
+    Missing numbers become the mean of the training rows, in fitting and in scoring, so no row is lost.
+    """
     if task.learner not in LEARNERS:
         raise ValueError(f"unknown learner {task.learner!r}")
     train, held_out = split_by_hash(df, id_column, task.validation_split, task.seed)
     stages: list = []
-    inputs = list(task.numeric)
+    inputs = [f"_filled_{c}" for c in task.numeric]
+    if inputs:
+        stages.append(SQLTransformer(statement=f"SELECT *, {', '.join(f'CAST(`{c}` AS DOUBLE) AS `_number_{c}`' for c in task.numeric)} FROM __THIS__"))
+        stages.append(Imputer(inputCols=[f"_number_{c}" for c in task.numeric], outputCols=inputs))
     if task.categorical:
         # hashing needs no list of categories, which could outgrow the driver
         stages.append(
@@ -327,9 +333,9 @@ def fit_task(df: DataFrame, task: TrainingTask, id_column: str) -> tuple[Pipelin
             )
         )
         inputs.append("hashed")
-    stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="skip"))
+    stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="error"))
     stages.append(LEARNERS[task.learner](featuresCol="features", labelCol=task.target, **task.hyperparameters))
-    model = Pipeline(stages=stages).fit(train)
+    model = Pipeline(stages=stages).fit(train.where(F.col(task.target).isNotNull()))
     return model, model.transform(held_out)
 
 

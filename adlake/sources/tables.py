@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,6 +13,7 @@ from adlake.sources.ranges import TimeRange, date_spine, within
 
 READ_FORMATS = ("table", "parquet", "csv", "json", "orc", "delta")
 WRITE_FORMATS = ("parquet", "delta", "csv", "json", "orc")
+DAY_NAMES = ("dt", "ds", "day", "date")
 WRITE_MODES = ("overwrite", "append", "error", "ignore")
 EXTENSION_FORMATS = {"parquet": "parquet", "csv": "csv", "json": "json", "jsonl": "json", "orc": "orc"}
 
@@ -36,6 +37,7 @@ class Source:
     columns: Mapping[str, ColumnSpec] = field(default_factory=dict)
     partition_cols: tuple[str, ...] = ()
     time_column: str | None = None
+    day_column: str | None = None  # partition column that holds the day, if its type and name do not tell
 
     def features(self) -> dict[str, list[str]]:
         """Feature -> columns that can provide it."""
@@ -64,14 +66,14 @@ def read_source(
 ) -> DataFrame:
     """Scan with the time range widened by ``lookback_hours``.
 
-    The first partition column is pruned by the list of days the range touches: Spark cannot know that ``dt`` is the
-    date of the time column, so the list is spelled out.
+    A partition column that holds days is pruned by the list of days the range touches: Spark cannot know that ``dt`` is
+    the date of the time column, so the list is spelled out. Other partition columns are left alone.
     """
     if source.format not in READ_FORMATS:
         raise ValueError(f"unknown source format {source.format!r}")
     if source.format == "table":
         df = spark.table(source.path)
-        first = first_partition_column(spark, source.path)
+        partitions = partition_columns(spark, source.path)
     else:
         reader = spark.read.format(source.format)
         if source.format == "csv":
@@ -81,10 +83,11 @@ def read_source(
         elif source.format == "csv":
             reader = reader.option("inferSchema", True)
         df = reader.load(source.path)
-        first = source.partition_cols[0] if source.partition_cols else None
+        partitions = list(source.partition_cols)
     if time_range is not None:
-        if first is not None and time_range.start and time_range.end:
-            df = df.where(F.col(first).cast("string").isin(time_range.days(lookback_hours)))
+        day = source.day_column or day_partition(df, partitions)
+        if day is not None and time_range.start and time_range.end:
+            df = df.where(F.col(day).cast("string").isin(time_range.days(lookback_hours)))
         if source.time_column:
             df = within(df, source.time_column, time_range, lookback_hours)
     if filter_expr:
@@ -106,10 +109,16 @@ def required_columns(
     return unique if available is None else [c for c in unique if c in available]
 
 
-def first_partition_column(spark: SparkSession, name: str) -> str | None:
-    for column in spark.catalog.listColumns(name):
-        if column.isPartition:
-            return column.name
+def partition_columns(spark: SparkSession, name: str) -> list[str]:
+    return [column.name for column in spark.catalog.listColumns(name) if column.isPartition]
+
+
+def day_partition(df: DataFrame, partitions: Sequence[str]) -> str | None:
+    """The first partition column that is a date, or text with a name that says so."""
+    for name in partitions:
+        kind = df.schema[name].dataType
+        if isinstance(kind, T.DateType) or (isinstance(kind, T.StringType) and name.lower() in DAY_NAMES):
+            return name
     return None
 
 
@@ -159,10 +168,13 @@ def days_marked(spark: SparkSession, base: str, partition: str = "dt", marker: s
 
 
 def require_days(present: DataFrame, date_column: str, first: str, end: str) -> None:
-    """Raise unless every day of [first, end) is there."""
-    lost = [str(r["day"]) for r in missing_days(present, date_column, first, end).orderBy("day").take(20)]
-    if lost:
-        raise FileNotFoundError(f"no complete data for {', '.join(lost)}")
+    """Raise unless every day of [first, end) is there. The message has all missing days, as ranges."""
+    place = F.row_number().over(Window.orderBy("day"))
+    lost = missing_days(present, date_column, first, end).withColumn("run", F.date_sub("day", place))
+    runs = lost.groupBy("run").agg(F.min("day").alias("a"), F.max("day").alias("b"), F.count("*").alias("n")).orderBy("a").collect()
+    if runs:
+        spans = [str(r["a"]) if r["n"] == 1 else f"{r['a']} to {r['b']}" for r in runs]
+        raise FileNotFoundError(f"no complete data for {sum(r['n'] for r in runs)} days: {', '.join(spans)}")
 
 
 def newest_file(spark: SparkSession, pattern: str) -> str:

@@ -27,9 +27,14 @@ class VersionedTable:
         return f"{self.root}/v={version}/{part}"
 
     def save(self, table: DataFrame, version: int, info: Mapping | None = None) -> None:
-        """Write data by shard, then metadata."""
+        """Write data by shard, then metadata. The mark of an earlier save goes first, so no torn version looks saved.
+
+        A rebalance gives each shard as many tasks as its size needs, not one.
+        """
+        fs, meta_path = self._fs(self.path(version, "meta"))
+        fs.delete(meta_path, True)
         shard = F.pmod(F.xxhash64("token_id"), F.lit(self.shards)).cast("int")
-        data = table.withColumn("shard", shard).repartition(self.shards, "shard")
+        data = table.withColumn("shard", shard).hint("rebalance", "shard")
         data.write.mode("overwrite").partitionBy("shard").parquet(self.path(version))
         meta = self.spark.range(1).select(
             F.lit(version).alias("version"),

@@ -179,6 +179,31 @@ def test_days_learn_resume_and_skip_empty(spark, samples):
 def test_mllib_task(spark, samples):
     task = tr.TrainingTask("logistic_regression", "label", ["x"], ["site"], {"maxIter": 5}, 0.25, 3)
     fitted, scored = tr.fit_task(samples, task, "sid")
-    assert 10 < scored.count() < 60 and "prediction" in scored.columns and len(fitted.stages) == 3
+    assert 10 < scored.count() < 60 and "prediction" in scored.columns and fitted.stages[-1].getLabelCol() == "label"
     with pytest.raises(ValueError):
         tr.fit_task(samples, tr.TrainingTask("tarot", "label", ["x"]), "sid")
+
+
+def test_null_lists_and_tokens_lose_nothing(spark):
+    from adlake.operators import embedding
+
+    df = spark.createDataFrame([(1, [3, None], 5), (2, None, 6), (3, [4], None)], "id long, a array<long>, b long")
+    got = embedding.sample_tokens(df, "id", {"a": F.col("a"), "b": F.col("b")})
+    assert sorted(map(tuple, got.collect())) == [(1, "a", 0), (1, "a", 3), (1, "b", 5), (2, "b", 6), (3, "a", 4), (3, "b", 0)]
+
+
+def test_missing_numbers_lose_no_rows(spark):
+    from adlake.operators import training
+
+    df = spark.range(200).select("id", F.when(F.col("id") % 5 != 0, F.col("id") * 1.0).alias("x"), (F.col("id") % 2).alias("y"))
+    task = training.TrainingTask("logistic_regression", "y", ["x"])
+    _, held_out = training.split_by_hash(df, "id", task.validation_split, task.seed)
+    _, scored = training.fit_task(df, task, "id")
+    assert scored.count() == held_out.count() and scored.where("prediction IS NULL").count() == 0
+
+
+def test_tasks_without_an_output_are_refused(spark):
+    from adlake.operators import training
+
+    with pytest.raises(ValueError, match="multiclass"):
+        training.EmbeddingModel("id", {}, [], "y", task="multiclass")

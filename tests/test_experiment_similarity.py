@@ -36,11 +36,12 @@ def test_paired_rates_equal_join_of_arms(report):
         assert (r["control_rate"], r["explore_rate"], r["explore_requests"]) == pytest.approx(joined[tuple(r[:3])])
 
 
-def test_cap_sweep_equals_one_cap_at_a_time(report):
+def test_cap_sweep_equals_one_cap_at_a_time(report, monkeypatch):
     paired = experiment.paired_rates(report, FEATURES, "ctl", ["48", "49"])
     scored = experiment.uplift_dataset(paired, FEATURES)
-    for hot in (2, 10_000):
-        thresholds = experiment.cap_thresholds(scored, "acc", CAPS, 3.0, hot_rows=hot)
+    for size in (2, 10_000):
+        monkeypatch.setattr("adlake.operators.running.RANGE_ROWS", size)
+        thresholds = experiment.cap_thresholds(scored, "acc", CAPS, 3.0)
         got = {(r["acc"], r["cap"]): r for r in experiment.evaluate_caps(paired, thresholds, "acc", CAPS, 3.0).collect()}
         rows = paired.collect()
         want = {}
@@ -56,10 +57,12 @@ def test_cap_sweep_equals_one_cap_at_a_time(report):
         assert {k: r["total_br_treated"] for k, r in got.items()} == want
 
 
-def test_premium_segments_hot_equals_plain(report, rows):
+def test_premium_segments_hot_equals_plain(report, rows, monkeypatch):
     scored = experiment.uplift_dataset(experiment.paired_rates(report, FEATURES, "ctl", ["48", "49"]), FEATURES)
     plain = experiment.premium_segments(scored, "acc", ["acc"], ["geo", "seg"], 0.3)
-    assert rows(plain) == rows(experiment.premium_segments(scored, "acc", ["acc"], ["geo", "seg"], 0.3, hot_rows=3))
+    plain = rows(plain)
+    monkeypatch.setattr("adlake.operators.running.RANGE_ROWS", 3)
+    assert plain == rows(experiment.premium_segments(scored, "acc", ["acc"], ["geo", "seg"], 0.3))
 
 
 def test_uplift_ratio_zero_control(spark, rows):

@@ -56,7 +56,7 @@ def test_catalog_table_partitions(spark):
     path = f"{shared_folder(spark)}/{name}"
     spark.range(4).withColumn("dt", F.lit("2024-01-01")).write.partitionBy("dt").option("path", path).saveAsTable(name)
     try:
-        assert tables.first_partition_column(spark, name) == "dt"
+        assert tables.partition_columns(spark, name) == ["dt"]
         got = tables.read_source(spark, Source(path=name, format="table"), TimeRange("2024-01-02", "2024-01-03"))
         assert got.count() == 0
     finally:
@@ -250,3 +250,23 @@ def test_stream_equals_batch(spark, tmp_path, rows):
     assert got.agg(F.sum("total")).first()[0] == pytest.approx(batch.agg(F.sum("total")).first()[0])
     with pytest.raises(ValueError):
         stream_aggregate(stream, [], [Aggregation("value", "count_distinct", "d")], "ts")
+
+
+def test_only_day_partitions_are_pruned(spark, tmp_path):
+    """A table partitioned by something else first keeps all its rows."""
+    rows = spark.range(80).select(
+        "id", F.lit("click").alias("event_type"), F.lit("2024-01-02").alias("dt"), F.expr("timestamp_ntz'2024-01-02 03:00:00'").alias("ts")
+    )
+    path = str(tmp_path / "t")
+    rows.write.partitionBy("event_type", "dt").parquet(path)
+    source = tables.Source(path=path, partition_cols=("event_type", "dt"), time_column="ts")
+    assert tables.read_source(spark, source, TimeRange("2024-01-01", "2024-01-03")).count() == 80
+    assert tables.read_source(spark, source, TimeRange("2024-01-03", "2024-01-04")).count() == 0
+    bare = tables.Source(path=path, partition_cols=("event_type",), time_column="ts")
+    assert tables.read_source(spark, bare, TimeRange("2024-01-01", "2024-01-03")).count() == 80
+
+
+def test_missing_days_are_all_named(spark):
+    have = spark.createDataFrame([("2024-01-05",)], "d string")
+    with pytest.raises(FileNotFoundError, match="35 days: 2024-01-01 to 2024-01-04, 2024-01-06 to 2024-02-05"):
+        tables.require_days(have, "d", "2024-01-01", "2024-02-06")

@@ -94,7 +94,7 @@ def test_thresholds_without_weight_and_constant_histogram(spark):
 def test_sketch_equals_exact_on_small_groups(spark):
     df = spark.range(500).select((F.col("id") % 3).alias("g"), (F.col("id") + 1).cast("double").alias("x"))
     exact = normalize.robust_stats(df, "x", ["g"], exact=True).orderBy("g").collect()
-    assert exact == normalize.robust_stats(df, "x", ["g"]).orderBy("g").collect()
+    assert exact == normalize.robust_stats(df, "x", ["g"], exact=False).orderBy("g").collect()
 
 
 def test_compare_and_diff(spark, rows):

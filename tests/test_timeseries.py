@@ -40,14 +40,15 @@ def test_forecasts_equal_python(spark):
         assert r["d"] == pytest.approx(sum(w * x for w, x in zip(weights, s)) / sum(weights) if s else 0.0)
 
 
-def test_backtest_grid_equals_python(spark):
+def test_backtest_grid_equals_python(spark, monkeypatch):
     series = {"a": [1.0, 2.0, 4.0], "b": [3.0, 1.0, 2.0], "c": [5.0, None, 6.0], "gone": [1.0, 1.0, 1.0], "zero": [1.0, 1.0, 2.0]}
     actual = {"a": 5.0, "b": 2.0, "c": 4.0, "zero": 0.0}
     history = spark.createDataFrame([(k, [(str(i), x) for i, x in enumerate(v)]) for k, v in series.items()], "key string, series array<struct<date:string,x:double>>")
     actuals = spark.createDataFrame(list(actual.items()), "key string, x double")
     errors = ts.forecast_errors(history, actuals, "key", ["x"], ts.forecast_methods())
-    for hot in (1, 1000):
-        scores = {r["method"]: r for r in ts.backtest(errors, hot_rows=hot).collect()}
+    for size in (1, 1000):
+        monkeypatch.setattr("adlake.operators.running.RANGE_ROWS", size)
+        scores = {r["method"]: r for r in ts.backtest(errors).collect()}
         assert len(scores) == 19
         for a, b in itertools.product(ts.HOLT_ALPHAS, ts.HOLT_BETAS):
             apes = [abs(holt([x for x in series[k] if x is not None], a, b) - actual[k]) / actual[k] for k in "abc"]
