@@ -173,8 +173,9 @@ class IdFilter:
 
     WIDTH = 32768  # bits of one of Spark's bitmaps
 
-    def __init__(self, ids: DataFrame, column: str, most: int = 1 << 28):
-        spark, self.rows = ids.sparkSession, ids.count()
+    def __init__(self, ids: DataFrame, column: str, most: int = 1 << 28, hashed: bool = False):
+        """``hashed`` says that the column holds 64-bit hashes, which are used as they are."""
+        spark, self.rows, self.hashed = ids.sparkSession, ids.count(), hashed
         self.size = min(most, max(self.WIDTH, 1 << (16 * max(1, self.rows) - 1).bit_length()))
         slots = ids.select(F.explode(F.array(*self.slots(F.col(column)))).alias("s")).select((F.col("s") + 1).alias("s"))
         parts = slots.groupBy(F.bitmap_bucket_number("s").alias("part")).agg(
@@ -186,7 +187,7 @@ class IdFilter:
         self.shared = spark.sparkContext.broadcast(bits)
 
     def slots(self, key: Column) -> list[Column]:
-        h = F.xxhash64(key)
+        h = key if self.hashed else F.xxhash64(key)
         return [h.bitwiseAND(F.lit(self.size - 1)), F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(self.size - 1))]
 
     def may_hold(self, key: Column) -> Column:

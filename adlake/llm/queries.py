@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adlake.llm import exact_dedup, jaccard_join, line_dedup, mixing, packing, quality_pu, quality_rules, toxicity, url_filter
+from adlake.llm import exact_dedup, jaccard_join, line_dedup, mixing, packing, quality_pu, quality_rules, suffix_dedup, toxicity, url_filter
 from adlake.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,9 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which lines of every document repeat an earlier line, or nearly so."""
     return line_dedup.deduplicate(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query()
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every document without the strings of 100 bytes that start earlier elsewhere."""
+    return suffix_dedup.deduplicate(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
