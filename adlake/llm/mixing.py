@@ -79,9 +79,7 @@ def newton(cells: DataFrame, wanted: DataFrame) -> DataFrame:
         dual = cut_lineage(
             stepped.select("source", "source_size", "target", (F.col("lam") + F.col("_step")).alias("lam"), "_step")
         )
-        if dual.agg(F.max(F.abs("_step"))).first()[0] in (None, 0.0) or dual.where(
-            F.abs("_step") > TOLERANCE
-        ).isEmpty():
+        if dual.where(F.abs("_step") > TOLERANCE).isEmpty():
             break
     rate = F.when(F.col("target") > 0, F.least(F.lit(float(CAP)), F.round(F.exp("lam"), 9))).otherwise(0.0)
     return dual.select("source", "source_size", "target", rate.alias("rate"))
@@ -156,10 +154,12 @@ def deal(sized: DataFrame, copies: DataFrame, salts: int) -> DataFrame:
     )
 
 
-def keep(docs: DataFrame, text: str = "text", key: str = "doc_id", columns: Sequence[str] = ()) -> DataFrame:
-    """``docs`` with as many rows of each document as the mix takes copies."""
-    columns = list(columns) or docs.columns
-    copies = mix(docs, text, key).where("copies > 0").select(F.col("doc_id").alias("_id"), "copies")
-    joined = docs.join(copies, docs[key] == F.col("_id"))
-    repeated = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    return repeated.select(*columns)
+def keep(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """``docs`` with as many rows of each document as the mix takes copies.
+
+    Rows that repeat an id all take the larger number of copies among them.
+    """
+    taken = mix(docs, text, key).groupBy("doc_id").agg(F.max("copies").alias("_copies")).where("_copies > 0")
+    joined = docs.join(taken.withColumnRenamed("doc_id", "_id"), docs[key].eqNullSafe(F.col("_id")))
+    copies = F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))
+    return joined.select(*docs.columns, copies.alias("_copy")).select(*docs.columns)
