@@ -30,7 +30,7 @@ DIM = 8
 GRAMS = (3, 4, 5)
 WINDOW = 8
 FEWEST = 80  # a window with fewer subwords is filled up with empty ones
-PER_CLASS = 1500
+PER_CLASS = 800
 WHOLE_EPOCHS = 4
 EPOCHS = 8
 BATCHES = 24
