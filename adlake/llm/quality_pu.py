@@ -146,7 +146,8 @@ def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
 
     Every row is ranked by a first model that was trained on the other half of the rows.
     """
-    ratios = []
+    draw, ratios = np.random.default_rng(SEED), []
+    positive, unlabelled = (x[draw.permutation(len(x))] for x in (positive, unlabelled))
     for half in (0, 1):
         first = fit_pu(positive[half::2], unlabelled[half::2], 0.5, STEPS // 5)
         p, u = (np.sort(first.logits(x[1 - half :: 2])) for x in (positive, unlabelled))

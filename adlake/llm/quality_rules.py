@@ -9,6 +9,7 @@ name but those of the counts, which are replaced; repeated rows are judged alike
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -44,7 +45,7 @@ BASE_RULES = "n_words < 20 OR 100 * n_repeat_words > 30 * n_words"
 # Thresholds, checked against labelled documents: clean ones stay far inside each of them.
 RULES = (
     Rule("mean word length", "word_chars", "n_words", 2, 14),
-    Rule("symbols per word", "n_symbols", "n_words", None, 0.5),
+    Rule("symbols per word", "n_symbols", "n_words", None, 0.25),
     Rule("exclamation marks per word", "n_bangs", "n_words", None, 0.5),
     Rule("stop words", "n_stop_words", "n_words", 0.02, None),
     Rule("duplicate lines", "n_dup_lines", "n_lines", None, 0.5),
@@ -174,16 +175,10 @@ def keep(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text") ->
     names = {n: f"_q._words.{n}" for n in ("n_words", "n_stop_words", "n_repeat_words")}
     names |= {n: f"_q._lines.{n}" for n in ("n_lines", "n_dup_lines", "n_cut_lines")}
     names |= {n: f"_q.{n}" for n in ("word_chars", "n_symbols", "n_bangs")}
-    passes = f"NOT ({BASE_RULES}) AND {rule_sql(rules)}"
-    for name, place in names.items():
-        passes = _word_replace(passes, name, place)
+    passes = re.sub(r"\b[a-z_]+\b", lambda m: names.get(m[0], m[0]), f"NOT ({BASE_RULES}) AND {rule_sql(rules)}")
     return docs.withColumn("_q", struct).where(F.expr(passes)).select(*docs.columns)
 
 
-def _word_replace(sql: str, name: str, by: str) -> str:
-    return " ".join(by if token == name else token for token in sql.split(" "))
-
-
 def oracle(rules: Sequence[Rule] = RULES) -> str:
     stop = ", ".join(f"'{w}'" for w in dict.fromkeys(STOP_WORDS))
     space = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"

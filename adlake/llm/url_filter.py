@@ -24,10 +24,11 @@ from adlake.llm.toxicity import sigmoid
 
 BITS = 14
 GRAMS = (3, 4, 5)
-STEPS = 400
+STEPS = 1000
 RATE = 4.0
-DECAY = 1e-4
+DECAY = 1e-5
 MOST_LABELLED = 100_000
+INTERCEPT = -1.0  # an URL of unknown parts is allowed
 
 # (host, path, verdict); a rule fits its host and all hosts below it.
 RULES = (
@@ -131,17 +132,16 @@ def features(hosts: list[str], paths: list[str], powers: Powers, codes: np.ndarr
     return tuple(np.concatenate(p) for p in zip(*parts, strict=True))
 
 
-def fit(hosts: list[str], paths: list[str], labels: Sequence[int]) -> tuple[np.ndarray, float]:
-    """Weights and intercept by gradient steps on the penalised logistic loss."""
+def fit(hosts: list[str], paths: list[str], labels: Sequence[int]) -> np.ndarray:
+    """Weights by gradient steps on the penalised logistic loss."""
     if len(hosts) > MOST_LABELLED:
         raise ValueError(f"more than {MOST_LABELLED} labelled rows")
     row, bucket, value = features(hosts, paths, Powers(), byte_codes())
-    y, weights, bias = np.asarray(labels, float), np.zeros(1 << BITS), 0.0
+    y, weights = np.asarray(labels, float), np.zeros(1 << BITS)
     for _ in range(STEPS if len(y) else 0):
-        error = (sigmoid(np.bincount(row, weights[bucket] * value, len(y)) + bias) - y) / len(y)
+        error = (sigmoid(np.bincount(row, weights[bucket] * value, len(y)) + INTERCEPT) - y) / len(y)
         weights -= RATE * (np.bincount(bucket, error[row] * value, 1 << BITS) + DECAY * weights)
-        bias -= RATE * error.sum()
-    return weights, float(bias)
+    return weights
 
 
 def judge(
@@ -156,7 +156,7 @@ def judge(
     table = labelled if labelled is not None else spark.createDataFrame(LABELLED, "url string, label int")
     split = table.select(*host_and_path(F.col("url")), "label").toDF("host", "path", "label")
     known = sorted(tuple(r) for r in split.limit(MOST_LABELLED + 1).collect())
-    weights, bias = fit([r[0] for r in known], [r[1] for r in known], [r[2] for r in known])
+    weights = fit([r[0] for r in known], [r[1] for r in known], [r[2] for r in known])
     shared = spark.sparkContext.broadcast(weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,7 +165,7 @@ def judge(
             for batch in slices(whole, "path"):
                 columns = [batch.column(c) for c in (key, "host", "path", "rule", "ruled")]
                 row, bucket, value = features(columns[1].to_pylist(), columns[2].to_pylist(), powers, codes)
-                p = sigmoid(np.bincount(row, shared.value[bucket] * value, batch.num_rows) + bias)
+                p = sigmoid(np.bincount(row, shared.value[bucket] * value, batch.num_rows) + INTERCEPT)
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(p)], [key, "host", "path", "rule", "ruled", "score"])
 
     host, path = host_and_path(F.col(url))
