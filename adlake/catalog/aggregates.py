@@ -371,12 +371,11 @@ def _(spark, sf_dir):
 
 @query(
     "entity_tokens",
-    """SELECT DISTINCT rtb_id, concat_ws('||', geo, platform, coalesce(placement_type, '__NULL__')) AS token FROM project_report
-WHERE unr > 80""",
+    """SELECT DISTINCT rtb_id, concat_ws('||', geo, platform, coalesce(placement_type, '__NULL__')) AS token FROM project_report""",
     views=("project_report",),
 )
 def _(spark, sf_dir):
-    rows = view(spark, sf_dir, "project_report").where("unr > 80")
+    rows = view(spark, sf_dir, "project_report")
     return aggregate.entity_tokens(rows, ["rtb_id"], scalar.feature_key(["geo", "platform", "placement_type"]))
 
 

@@ -113,6 +113,77 @@ def _(spark, sf_dir):
     return _cells(_step(spark, sf_dir, opt.Adam(lr=0.01, weight_decay=0.02)), "embedding")
 
 
+# Several steps, one row per part: states, bias correction and decay only show from the second step on.
+_STEPS = """x AS (SELECT l_partkey AS feature, avg(l_discount) - 0.05 AS g1, avg(l_tax) - 0.04 AS g2, avg(l_quantity) / 1000 - 0.025 AS g3
+  FROM lineitem GROUP BY 1)"""
+
+
+def _steps(spark, sf_dir, optimizer, n):
+    rows = table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("feature")).agg(
+        (F.avg("l_discount") - 0.05).alias("g1"),
+        (F.avg("l_tax") - 0.04).alias("g2"),
+        (F.avg("l_quantity") / 1000 - 0.025).alias("g3"),
+    )
+    state = rows.withColumns({"w": F.lit(1.0), **{k: F.lit(v) for k, v in optimizer.states.items()}})
+    for k in range(1, n + 1):
+        state = opt.step_scalars(state.withColumn("steps", F.lit(k)), optimizer, grad=f"g{k}")
+    return state.select("feature", F.round("w", 7).alias("w"))
+
+
+@query(
+    "sgd_momentum",
+    f"""WITH {_STEPS}, c AS (SELECT feature, g2, g3, 0.8 * (g1 + 0.1) AS v1 FROM x), d AS (SELECT *, 1.0 - 0.05 * v1 AS w1 FROM c),
+e AS (SELECT *, 0.9 * v1 + 0.8 * (g2 + 0.1 * w1) AS v2 FROM d), f AS (SELECT *, w1 - 0.05 * v2 AS w2 FROM e)
+SELECT feature, round(w2 - 0.05 * (0.9 * v2 + 0.8 * (g3 + 0.1 * w2)), 7) AS w FROM f""",
+)
+def _(spark, sf_dir):
+    return _steps(spark, sf_dir, opt.SGD(lr=0.05, momentum=0.9, dampening=0.2, weight_decay=0.1), 3)
+
+
+@query(
+    "sgd_nesterov",
+    f"""WITH {_STEPS}, a AS (SELECT feature, g2, g1 AS v1, 1.0 - 0.05 * (g1 + 0.9 * g1) AS w1 FROM x), b AS (SELECT *, 0.9 * v1 + g2 AS v2 FROM a)
+SELECT feature, round(w1 - 0.05 * (g2 + 0.9 * v2), 7) AS w FROM b""",
+)
+def _(spark, sf_dir):
+    return _steps(spark, sf_dir, opt.SGD(lr=0.05, momentum=0.9, nesterov=True), 2)
+
+
+_ADAM = f"""WITH {_STEPS}, a AS (SELECT *, 0.1 * g1 AS m1, 0.01 * g1 * g1 AS v1 FROM x),
+b AS (SELECT *, 0.9 * m1 + 0.1 * g2 AS m2, 0.99 * v1 + 0.01 * g2 * g2 AS v2 FROM a),
+c AS (SELECT *, 0.9 * m2 + 0.1 * g3 AS m3, 0.99 * v2 + 0.01 * g3 * g3 AS v3 FROM b),
+h AS (SELECT feature, m1 / (1 - 0.9) AS p1, v1 / (1 - 0.99) AS q1, m2 / (1 - pow(0.9, 2)) AS p2, v2 / (1 - pow(0.99, 2)) AS q2,
+  m3 / (1 - pow(0.9, 3)) AS p3, v3 / (1 - pow(0.99, 3)) AS q3 FROM c)"""
+
+
+@query(
+    "adam_three_steps",
+    f"""{_ADAM}, w1 AS (SELECT *, 1.0 - 0.01 * p1 / (sqrt(q1) + 0.001) - 0.0002 AS w FROM h),
+w2 AS (SELECT * REPLACE (w - 0.01 * p2 / (sqrt(q2) + 0.001) - 0.0002 * w AS w) FROM w1)
+SELECT feature, round(w - 0.01 * p3 / (sqrt(q3) + 0.001) - 0.0002 * w, 7) AS w FROM w2""",
+)
+def _(spark, sf_dir):
+    return _steps(spark, sf_dir, opt.Adam(lr=0.01, beta2=0.99, eps=0.001, weight_decay=0.02), 3)
+
+
+@query(
+    "adam_amsgrad",
+    f"""{_ADAM} SELECT feature, round(1.0 - 0.01 * (p1 / (sqrt(q1) + 0.001) + p2 / (sqrt(greatest(q1, q2)) + 0.001)
+  + p3 / (sqrt(greatest(q1, q2, q3)) + 0.001)), 7) AS w FROM h""",
+)
+def _(spark, sf_dir):
+    return _steps(spark, sf_dir, opt.Adam(lr=0.01, beta2=0.99, eps=0.001, amsgrad=True), 3)
+
+
+@query(
+    "adagrad_decayed",
+    f"""WITH {_STEPS}, a AS (SELECT *, g1 + 0.1 AS d1 FROM x), b AS (SELECT *, 0.1 + d1 * d1 AS n1 FROM a), c AS (SELECT *, 1.0 - 0.05 * d1 / (sqrt(n1) + 1e-10) AS w1 FROM b),
+d AS (SELECT *, g2 + 0.1 * w1 AS d2 FROM c) SELECT feature, round(w1 - 0.05 * d2 / (sqrt(n1 + d2 * d2) + 1e-10), 7) AS w FROM d""",
+)
+def _(spark, sf_dir):
+    return _steps(spark, sf_dir, opt.Adagrad(lr=0.05, weight_decay=0.1), 2)
+
+
 @query(
     "ftrl_step",
     """WITH x AS (SELECT l_partkey AS feature, (avg(l_discount) - 0.05) * sqrt(0.9::DOUBLE) AS g1, (avg(l_tax) - 0.04) * sqrt(0.8::DOUBLE) AS g2 FROM lineitem GROUP BY 1),
@@ -228,15 +299,15 @@ def _(spark, sf_dir):
 # Samples -------------------------------------------------------------------------------------
 # An order is a sample; its line items' parts and suppliers are multi-valued sparse features, one token per row.
 
-_TOKENS = """tok AS (SELECT l_orderkey AS sample, 'part' AS feature, l_partkey % 500 AS token_id FROM lineitem
-  UNION ALL SELECT l_orderkey, 'supp', l_suppkey % 500 FROM lineitem)"""
+_TOKENS = """tok AS (SELECT l_orderkey AS sample, 'part' AS feature, l_partkey AS token_id FROM lineitem
+  UNION ALL SELECT l_orderkey, 'supp', l_suppkey FROM lineitem)"""
 
 
 def _tokens(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("sample"),
-        (F.col("l_partkey") % 500).alias("part"),
-        (F.col("l_suppkey") % 500).alias("supp"),
+        F.col("l_partkey").alias("part"),
+        F.col("l_suppkey").alias("supp"),
     )
     return rows.unpivot(["sample"], ["part", "supp"], "feature", "token_id")
 
@@ -266,36 +337,34 @@ def _(spark, sf_dir):
     return overall.unionByName(em.unique_tokens(tokens, True).groupBy("feature").agg(F.count("*").alias("n")))
 
 
+_MEANS = ", ".join(f"round(avg(coalesce(CAST(e.embedding[{i + 1}] AS DOUBLE), 0.0)), 5) AS e{i}" for i in range(DIM))
+
+
 @query(
     "mean_pooling",
-    f"""WITH {_TOKENS} SELECT sample, feature, count(*) AS tokens, round(avg(coalesce(CAST(e.embedding[1] AS DOUBLE), 0.0)), 5) AS e0,
-  round(avg(coalesce(CAST(e.embedding[8] AS DOUBLE), 0.0)), 5) AS e7 FROM tok LEFT JOIN embeddings e ON e.vec_id = token_id GROUP BY 1, 2""",
+    f"""WITH {_TOKENS} SELECT sample, feature, count(*) AS tokens, {_MEANS} FROM tok LEFT JOIN embeddings e ON e.vec_id = token_id GROUP BY 1, 2""",
 )
 def _(spark, sf_dir):
-    store = view(spark, sf_dir, "embedding_store").withColumn("embedding", F.slice("embedding", 1, 8))
-    out = em.mean_pool(_tokens(spark, sf_dir), store, "sample", 8)
-    return out.select(
-        "sample", "feature", "tokens", F.round(F.col("embedding")[0], 5).alias("e0"), F.round(F.col("embedding")[7], 5).alias("e7")
-    )
+    out = em.mean_pool(_tokens(spark, sf_dir), view(spark, sf_dir, "embedding_store"), "sample", DIM)
+    return out.select("sample", "feature", "tokens", *[F.round(F.col("embedding")[i], 5).alias(f"e{i}") for i in range(DIM)])
 
 
 @query(
     "assembled_inputs",
     f"""WITH {_TOKENS}, pool AS (SELECT sample, feature, avg(coalesce(CAST(e.embedding[1] AS DOUBLE), 0.0)) AS e0 FROM tok LEFT JOIN embeddings e
   ON e.vec_id = token_id GROUP BY 1, 2), q AS (SELECT l_orderkey AS sample, max(l_quantity) AS quantity FROM lineitem GROUP BY 1)
-SELECT q.sample, CAST(17 AS INTEGER) AS width, round(a.e0, 5) AS part_e0, round(b.e0, 5) AS supp_e0, quantity FROM q
+SELECT q.sample, CAST(129 AS INTEGER) AS width, round(a.e0, 5) AS part_e0, round(b.e0, 5) AS supp_e0, quantity FROM q
 JOIN pool a ON a.sample = q.sample AND a.feature = 'part' JOIN pool b ON b.sample = q.sample AND b.feature = 'supp'""",
 )
 def _(spark, sf_dir):
-    store = view(spark, sf_dir, "embedding_store").withColumn("embedding", F.slice("embedding", 1, 8))
-    pooled = em.mean_pool(_tokens(spark, sf_dir), store, "sample", 8)
+    pooled = em.mean_pool(_tokens(spark, sf_dir), view(spark, sf_dir, "embedding_store"), "sample", DIM)
     samples = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("sample")).agg(
         F.max("l_quantity").alias("quantity")
     )
-    out = em.assemble(pooled, samples, "sample", ["supp", "part"], ["quantity"], 8)
+    out = em.assemble(pooled, samples, "sample", ["supp", "part"], ["quantity"], DIM)
     x = F.col("inputs")
     return out.select(
-        "sample", F.size(x).alias("width"), F.round(x[0], 5).alias("part_e0"), F.round(x[8], 5).alias("supp_e0"), x[16].alias("quantity")
+        "sample", F.size(x).alias("width"), F.round(x[0], 5).alias("part_e0"), F.round(x[64], 5).alias("supp_e0"), x[128].alias("quantity")
     )
 
 

@@ -232,7 +232,7 @@ def _(spark, sf_dir):
     return out.withColumn("decay_rate", F.round("decay_rate", 4))
 
 
-_HOURLY = """h AS (SELECT strftime(ts, '%Y-%m-%d %H') AS dh, concat_ws('||', CAST(user_id % 50 AS VARCHAR), event_type) AS key,
+_HOURLY = """h AS (SELECT strftime(ts, '%Y-%m-%d %H') AS dh, concat_ws('||', CAST(user_id AS VARCHAR), event_type) AS key,
   sum(value) AS total FROM events GROUP BY 1, 2),
 idx AS (SELECT dh, row_number() OVER (ORDER BY dh) AS i FROM (SELECT DISTINCT dh FROM h) t), hi AS (SELECT h.*, i FROM h JOIN idx USING (dh))"""
 _HPAIRS = f"""WITH {_HOURLY}, hp AS (SELECT a.dh AS date_hour_1, b.dh AS date_hour_2, CAST(substr(a.dh, 12, 2) AS INT) AS hour_1,
@@ -241,7 +241,7 @@ _HPAIRS = f"""WITH {_HOURLY}, hp AS (SELECT a.dh AS date_hour_1, b.dh AS date_ho
 
 
 def _hourly(spark, sf_dir):
-    key = F.concat_ws("||", (F.col("user_id") % 50).cast("string"), "event_type")
+    key = F.concat_ws("||", F.col("user_id").cast("string"), "event_type")
     rows = table(spark, sf_dir, "events").select(
         key.alias("key"), F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour_ts"), "value"
     )
@@ -395,16 +395,6 @@ def _scores(spark, sf_dir, methods):
     return ts.backtest(ts.forecast_errors(history, test, "key", ["requests", "revenue"], methods))
 
 
-@query(
-    "backtest_mape",
-    f"""{_SERIES}{_PRED} SELECT metric, method, round(mape_pct, 4) AS mape_pct, round(median_ape_pct, 4) AS median_ape_pct, n FROM scores""",
-    views=("project_report",),
-)
-def _(spark, sf_dir):
-    out = _scores(spark, sf_dir, ts.forecast_methods(alphas=(), betas=()))
-    return out.withColumns({"mape_pct": F.round("mape_pct", 4), "median_ape_pct": F.round("median_ape_pct", 4)})
-
-
 _GRID_ROWS = ", ".join(f"('{a}', '{b}')" for a in ts.HOLT_ALPHAS for b in ts.HOLT_BETAS)
 _GRID = f"""{_PRED}, grid AS (SELECT x AS al, y AS be, x::DOUBLE AS a, y::DOUBLE AS b FROM (VALUES {_GRID_ROWS}) AS g(x, y)),
 recur AS (SELECT key, metric, al, be, a, b, i, n, v AS level, lead_v - v AS trend FROM (SELECT *, lead(v) OVER (PARTITION BY key, metric ORDER BY i) AS lead_v
@@ -417,6 +407,17 @@ herr AS (SELECT metric, al, be, abs(CASE WHEN n = 1 THEN level ELSE level + tren
 every AS (SELECT * FROM scores UNION ALL SELECT metric, 'holt_a' || al || '_b' || be, avg(ape) * 100, quantile_cont(ape, 0.5) * 100, count(*) FROM herr GROUP BY ALL)"""
 
 
+@query(
+    "backtest_mape",
+    f"""{_SERIES}{_GRID} SELECT metric, method, round(mape_pct, 4) AS mape_pct, round(median_ape_pct, 4) AS median_ape_pct, n FROM every""",
+    views=("project_report",),
+    recursive=True,
+)
+def _(spark, sf_dir):
+    out = _scores(spark, sf_dir, ts.forecast_methods())
+    return out.withColumns({"mape_pct": F.round("mape_pct", 4), "median_ape_pct": F.round("median_ape_pct", 4)})
+
+
 @query(
     "backtest_grid",
     f"""{_SERIES}{_GRID} SELECT metric, method, round(mape_pct, 4) AS mape_pct, round(median_ape_pct, 4) AS median_ape_pct, n,
@@ -432,12 +433,14 @@ def _(spark, sf_dir):
 
 @query(
     "best_methods",
-    f"""{_SERIES}{_PRED}, b AS (SELECT metric, CASE WHEN method LIKE 'decay_%' THEN 'decay' ELSE 'baseline' END AS family, method, mape_pct FROM scores)
+    f"""{_SERIES}{_GRID}, b AS (SELECT metric, CASE WHEN method LIKE 'holt_%' THEN 'holt' WHEN method LIKE 'decay_%' THEN 'decay' ELSE 'baseline' END AS family,
+  method, mape_pct FROM every)
 SELECT metric, family, arg_min(method, mape_pct) AS method, round(min(mape_pct), 4) AS mape_pct FROM b GROUP BY 1, 2""",
     views=("project_report",),
+    recursive=True,
 )
 def _(spark, sf_dir):
-    out = ts.best_per_family(_scores(spark, sf_dir, ts.forecast_methods(alphas=(), betas=())))
+    out = ts.best_per_family(_scores(spark, sf_dir, ts.forecast_methods()))
     return out.withColumn("mape_pct", F.round("mape_pct", 4))
 
 
