@@ -7,8 +7,9 @@ first order, thinned by size and place of the shared token; a pair must then sha
 order before its sets are compared in full.
 
 Large groups of copies must not become pairs. Equal sets are one group by their 128-bit hash. Next, every document is
-compared with one other that has the same least token, under each order; verified links give first components. The index
-then only yields pairs of different components, which loses no component: a pair inside one is connected already.
+compared with one other that has the same least token, under each of four hashes; verified links give first components.
+The index then only yields pairs of different components, which loses no component: a pair inside one is connected
+already. Of those, one pair for each two components is tried first, and the others only if it did not connect them.
 
 Every filter is lossless, so results are exact up to 64-bit token hashes. Texts shuffle only if a Bloom filter of
 candidate ids lets them through, and pairs are verified in a stream, whatever the size of a hub.
@@ -25,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adlake.llm.common import IdFilter, Powers, Rolling, byte_codes, flat_bytes, lower_ascii, mix, slices, words_of
@@ -34,11 +35,12 @@ from adlake.session import cut_lineage
 
 SHINGLE = 5
 ORDERS = 3
+LEAST = 4  # hashes whose least tokens propose first pairs
 SIMILAR = (75, 100)
 COUNTERS = 1 << 22  # most counters of the sketch
 PART = 1 << 16  # counters per row of the sketch
 FAN_IN = 64  # partial sketches merged by one task
-PARITY_WORDS = 16  # 64-bit words of the parity signature
+WIDTHS = (1024, 4096, 16384)  # bits of parity signatures, for sets of up to as many tokens
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                         0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
@@ -90,12 +92,16 @@ def as_long(x: np.ndarray) -> pa.Array:
 # --- pass one: sizes, set hashes, signatures, and the sketch of token frequencies
 
 
-def parity_bits(sets: Sets) -> np.ndarray:
-    """Per text, the parity of tokens in each of 1024 slots. Two sets differ in at least as many tokens as bits."""
-    rows, width = len(sets.firsts) - 1, PARITY_WORDS * 64
-    slot = (sets.tokens >> np.uint64(20)) % np.uint64(width)
-    odd = np.bincount(sets.rows() * width + slot.astype(np.int64), minlength=rows * width) & 1
-    return np.packbits(odd.astype(np.uint8).reshape(rows, width), axis=1).view(np.int64)
+def parity_bits(sets: Sets) -> pa.Array:
+    """Per text, the parity of tokens in each of some slots, more for larger sets. Two sets differ in at least as many
+    tokens as bits. Widths divide each other, so a wider signature folds to a narrower one."""
+    widths = np.select([sets.sizes() <= w for w in WIDTHS[:-1]], WIDTHS[:-1], WIDTHS[-1])
+    begins = np.concatenate([[0], np.cumsum(widths)])
+    row = sets.rows()
+    slot = (sets.tokens >> np.uint64(20)) % widths[row].astype(np.uint64)
+    odd = np.bincount(begins[row] + slot.astype(np.int64), minlength=begins[-1]) & 1
+    words = np.packbits(odd.astype(np.uint8)).view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(begins // 64, pa.int32()), pa.array(words))
 
 
 def profile(docs: DataFrame, counters: int, shingle: int) -> DataFrame:
@@ -110,11 +116,8 @@ def profile(docs: DataFrame, counters: int, shingle: int) -> DataFrame:
                 sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(order_hash(sets.tokens, k))]) for k in (8, 9)]
                 keys = [s[sets.firsts[1:]] - s[sets.firsts[:-1]] for s in sums]
                 rows = batch.num_rows
-                bits = pa.ListArray.from_arrays(
-                    pa.array(np.arange(rows + 1) * PARITY_WORDS, pa.int32()), pa.array(parity_bits(sets).reshape(-1))
-                )
                 nothing = [pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())]
-                columns = [batch.column("doc_id"), pa.array(sets.sizes()), *map(as_long, keys), bits, *nothing]
+                columns = [batch.column("doc_id"), pa.array(sets.sizes()), *map(as_long, keys), parity_bits(sets), *nothing]
                 yield pa.RecordBatch.from_arrays(columns, names)
         for part in range(-(-counters // PART)):
             counts = seen[part * PART : (part + 1) * PART]
@@ -219,22 +222,24 @@ def shared_entries(entries: DataFrame) -> DataFrame:
     return sorted_rows.mapInArrow(run, entries.schema)
 
 
-def least_tokens(docs: DataFrame, shared, shingle: int) -> DataFrame:
-    """(order, token, doc_id): the first token of every document under each order."""
+def least_tokens(docs: DataFrame, shingle: int) -> DataFrame:
+    """(order, token, doc_id): the token of every document with the least hash, under several hashes.
+
+    Frequency plays no part here: near copies rarely share their rarest tokens, but any one token with even odds.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, codes, classes = Powers(), byte_codes(), shared.value
+        powers, codes = Powers(), byte_codes()
         for whole in batches:
             for batch in slices(whole, "text"):
                 sets = sets_of(batch.column("text"), powers, codes, shingle)
                 full = np.flatnonzero(sets.sizes())
-                for number in range(ORDERS):
-                    order, _ = ranked(sets, classes, number)
+                for number in range(LEAST if len(full) else 0):
+                    least = np.minimum.reduceat(order_hash(sets.tokens, 20 + number), sets.firsts[full])
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(full), number, np.int32)), as_long(sets.tokens[order[sets.firsts[full]]]),
-                         batch.column("doc_id").take(pa.array(full))],
+                        [pa.array(np.full(len(full), number, np.int32)), as_long(least), batch.column("doc_id").take(pa.array(full))],
                         ["order", "token", "doc_id"],
-                    )
+                    )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"order int, token bigint, doc_id {kind}")
@@ -248,8 +253,17 @@ def close_enough(pairs: DataFrame, info: DataFrame) -> DataFrame:
     part, whole = SIMILAR
     sides = [info.select(*[F.col(c).alias(f"_{s}{c}") for c in ("doc_id", "n", "bits")]) for s in "ab"]
     known = pairs.join(sides[0], F.col("a") == F.col("_adoc_id")).join(sides[1], F.col("b") == F.col("_bdoc_id"))
+    width = F.least(F.size("_abits"), F.size("_bbits"))
+
+    def folded(bits: str) -> Column:
+        def word(i: Column) -> Column:
+            at = F.sequence(i, F.size(bits) - 1, width)
+            return F.aggregate(at, F.lit(0).cast("bigint"), lambda x, k: x.bitwiseXOR(F.get(bits, k)))
+
+        return F.when(F.size(bits) == width, F.col(bits)).otherwise(F.transform(F.sequence(F.lit(0), width - 1), word))
+
     apart = F.aggregate(
-        F.zip_with("_abits", "_bbits", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x
+        F.zip_with(folded("_abits"), folded("_bbits"), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x
     )
     sizes = F.col("_an") + F.col("_bn")
     fits = (F.least("_an", "_bn") * whole >= F.greatest("_an", "_bn") * part) & (apart * (whole + part) <= sizes * (whole - part))
@@ -325,24 +339,61 @@ def across(entries: DataFrame, known: DataFrame) -> DataFrame:
     )
     dealt = rows.withColumn("_cell", F.explode(cells)).select("token", "doc_id", "n", "place", "c", "_block", "_cell.i", "_cell.j")
 
-    def pair(table: pa.Table) -> pa.Table:
-        doc, n, place, c, block = (table.column(k).to_numpy() for k in ("doc_id", "n", "place", "c", "_block"))
-        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        found = []
-        for x in left:
-            ok = (c[right] != c[x]) & (np.minimum(n[right], n[x]) * whole >= np.maximum(n[right], n[x]) * part)
-            most = np.minimum(place[right], place[x]) + np.minimum(n[right] - place[right], n[x] - place[x])
-            ok &= most * (whole + part) >= part * (n[right].astype(np.int64) + n[x])
-            if i == j:
-                ok &= doc[right] > doc[x]
-            y = doc[right[ok]]
-            found.append(np.stack([np.minimum(y, doc[x]), np.maximum(y, doc[x])]))
-        both = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
-        return pa.table([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in whole_groups(batches, ["token", "i", "j"]):
+            yield from pairs_within(batch, part, whole)
 
     kind = entries.schema["doc_id"].dataType.simpleString()
-    return dealt.groupBy("token", "i", "j").applyInArrow(pair, f"a {kind}, b {kind}").distinct()
+    ordered = dealt.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+    return ordered.mapInArrow(run, f"a {kind}, b {kind}").distinct()
+
+
+def edges_of(batch: pa.RecordBatch, keys: list[str]) -> np.ndarray:
+    """Where groups of equal keys begin in sorted rows, and the end."""
+    if not batch.num_rows:
+        return np.zeros(1, np.int64)
+    new = np.zeros(batch.num_rows - 1, bool)
+    for k in keys:
+        column = batch.column(k).to_numpy()
+        new |= column[1:] != column[:-1]
+    return np.concatenate([[0], np.flatnonzero(new) + 1, [batch.num_rows]])
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """The same rows, cut between groups only. A group is at most two blocks, so what is held over is bounded."""
+    held = None
+    for batch in batches:
+        rows = batch if held is None else pa.concat_batches([held, batch])
+        last = edges_of(rows, keys)
+        cut = int(last[-2]) if len(last) > 1 else 0
+        if cut:
+            yield rows.slice(0, cut)
+        held = rows.slice(cut)
+    if held is not None:
+        yield held
+
+
+PAIRS_AT_ONCE = 1 << 21
+
+
+def pairs_within(batch: pa.RecordBatch, part: int, whole: int) -> Iterator[pa.RecordBatch]:
+    """Pairs of rows of a group, of different components and from its two blocks, that size and place allow."""
+    doc, n, place, c, block, i, j = (batch.column(k).to_numpy() for k in ("doc_id", "n", "place", "c", "_block", "i", "j"))
+    edges = edges_of(batch, ["token", "i", "j"])
+    later = np.repeat(edges[1:], np.diff(edges)) - np.arange(batch.num_rows) - 1
+    upto = np.concatenate([[0], np.cumsum(later)])
+    row = 0
+    while row < batch.num_rows:
+        end = max(row + 1, int(np.searchsorted(upto, upto[row] + PAIRS_AT_ONCE, "right")) - 1)
+        x = np.repeat(np.arange(row, end), later[row:end])
+        y = x + 1 + np.arange(len(x)) - (upto[x] - upto[row])
+        least, most = np.minimum(n[x], n[y]).astype(np.int64), np.maximum(n[x], n[y]).astype(np.int64)
+        shared = np.minimum(place[x], place[y]) + np.minimum(n[x] - place[x], n[y] - place[y])
+        ok = (c[x] != c[y]) & (least * whole >= most * part) & (shared * (whole + part) >= part * (least + most))
+        ok &= (i[x] == j[x]) | (block[x] != block[y])
+        a, b = doc[x[ok]], doc[y[ok]]
+        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+        row = end
 
 
 def counter_number(rows: int, most: int = COUNTERS) -> int:
@@ -359,17 +410,30 @@ def link(docs: DataFrame, shingle: int = SHINGLE) -> tuple[DataFrame, DataFrame]
     shared = spark.sparkContext.broadcast(merged_sketch(both.where("part IS NOT NULL").select("part", "counts"), counters))
     named = info.where("doc_id IS NOT NULL AND n > 0").dropDuplicates(["doc_id"])
     equal = cut_lineage(stars(named.select("doc_id", "n", "k1", "k2"), ["n", "k1", "k2"]))
-    near = cut_lineage(close_enough(stars(least_tokens(docs, shared, shingle).where("doc_id IS NOT NULL"), ["order", "token"])
+    near = cut_lineage(close_enough(stars(least_tokens(docs, shingle).where("doc_id IS NOT NULL"), ["order", "token"])
                                     .join(equal, ["a", "b"], "left_anti"), named))
     first = equal.unionByName(verified(docs, near, shared, shingle))
     known = cut_lineage(components(first))
     entries = shared_entries(index_entries(docs.where("doc_id IS NOT NULL"), shared, shingle))
     rest = cut_lineage(close_enough(across(entries, known), named))
-    if rest.isEmpty():
-        return info.select("doc_id", "n"), known
-    more = cut_lineage(verified(docs, rest, shared, shingle))
-    stems = known.select(F.col("id").alias("b"), F.col("component").alias("a")).where("a < b")
-    return info.select("doc_id", "n"), components(stems.unionByName(more))
+    one = cut_lineage(apart(rest, known).groupBy("_lo", "_hi").agg(F.min(F.struct("a", "b")).alias("p")).select("p.*"))
+    known = connected(known, verified(docs, one, shared, shingle))
+    more = cut_lineage(apart(rest.join(one, ["a", "b"], "left_anti"), known).select("a", "b"))
+    return info.select("doc_id", "n"), known if more.isEmpty() else connected(known, verified(docs, more, shared, shingle))
+
+
+def apart(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """The pairs that lie in different components, with these (_lo, _hi)."""
+    for side in "ab":
+        of = known.select(F.col("id").alias(f"_i{side}"), F.col("component").alias(f"_c{side}"))
+        pairs = pairs.join(of, F.col(side) == F.col(f"_i{side}"), "left")
+    ca, cb = F.coalesce("_ca", "a"), F.coalesce("_cb", "b")
+    return pairs.where(ca != cb).select("a", "b", F.least(ca, cb).alias("_lo"), F.greatest(ca, cb).alias("_hi"))
+
+
+def connected(known: DataFrame, links: DataFrame) -> DataFrame:
+    stems = known.select(F.col("component").alias("a"), F.col("id").alias("b")).where("a < b")
+    return cut_lineage(components(stems.unionByName(links)))
 
 
 def join(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
