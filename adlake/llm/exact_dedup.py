@@ -17,11 +17,10 @@ from __future__ import annotations
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlake.llm.common import SPACE_CLASS
+from adlake.llm.common import SPACE_CLASS, bit_probe
 from adlake.session import cut_lineage
 
 SLOTS_PER_ROW = 16
@@ -43,16 +42,6 @@ def slots(h: Column, mask: int) -> list[Column]:
     return [h.bitwiseAND(F.lit(mask)), F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(mask))]
 
 
-def probe_of(shared):
-    @F.pandas_udf("boolean")
-    def probe(a: pd.Series, b: pd.Series) -> pd.Series:
-        bits = shared.value
-        hits = [(bits[x >> 3] >> (x & 7)) & 1 for x in (a.to_numpy(), b.to_numpy())]
-        return pd.Series((hits[0] & hits[1]).astype(bool))
-
-    return probe
-
-
 class RepeatFilter:
     """Which hashes may occur twice: one bounded bitmap for each slice of the hash space."""
 
@@ -81,7 +70,7 @@ class RepeatFilter:
         """Whether the row with hash ``_h`` may have an equal."""
         tests = []
         for i, shared in enumerate(self.maps):
-            test = probe_of(shared)(*slots(F.col("_h"), self.size - 1))
+            test = bit_probe(shared)(*slots(F.col("_h"), self.size - 1))
             tests.append(test if self.slices == 1 else (self.slice() == i) & test)
         return reduce(lambda x, y: x | y, tests)
 
