@@ -140,6 +140,16 @@ def _(spark, sf_dir):
     return dedupe.drop_repeated(_doubled(spark, sf_dir), ["event_id"])
 
 
+@query(
+    "dedupe_none",
+    "SELECT event_id, count(*) AS copies FROM (SELECT event_id FROM events UNION ALL SELECT event_id FROM events WHERE event_id % 10 = 0) t GROUP BY 1",
+)
+def _(spark, sf_dir):
+    """Mode none leaves every copy."""
+    left = dedupe.dedupe(_doubled(spark, sf_dir), ["event_id"], "none")
+    return left.groupBy("event_id").agg(F.count("*").alias("copies"))
+
+
 @query(
     "dedupe_report",
     f"WITH {_DOUBLED} SELECT event_id, count(*) AS copies FROM d GROUP BY event_id HAVING count(*) > 1",

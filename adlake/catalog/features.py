@@ -255,6 +255,20 @@ def _(spark, sf_dir):
     return rows.groupBy(*rows.columns).agg(F.count("*").alias("n"))
 
 
+@query(
+    "token_hash_md5",
+    """SELECT doc_id, CAST('0x' || substr(md5(lang), 1, 15) AS BIGINT) AS lang_token, CAST('0x' || substr(md5(source), 1, 15) AS BIGINT) AS source_token,
+  n_chars AS length_token FROM documents""",
+)
+def _(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select(
+        "doc_id",
+        scalar.token_id("lang", "string", "md5").alias("lang_token"),
+        scalar.token_id("source", "string", "md5").alias("source_token"),
+        scalar.token_id("n_chars", "bigint").alias("length_token"),
+    )
+
+
 @query("token_hash")
 def _(spark, sf_dir):
     """Token numbers of text and of whole numbers; the hash has no DuckDB twin."""

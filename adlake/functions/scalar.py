@@ -181,14 +181,18 @@ def hour_text(c: ColumnLike) -> Column:
     return F.date_format(as_column(c), "HH")
 
 
-def token_id(c: ColumnLike, dtype: str) -> Column:
-    """Stable token number: whole numbers as they are, NULL and NaN 0, text a 62-bit hash."""
+def token_id(c: ColumnLike, dtype: str, hash_with: str = "xxhash64") -> Column:
+    """Stable token number: whole numbers as they are, NULL and NaN 0, text a 62-bit hash (60 bits with md5, which any
+    engine can compute)."""
     value = as_column(c)
     if dtype in ("tinyint", "smallint", "int", "bigint"):
         return F.coalesce(value.cast("bigint"), F.lit(0).cast("bigint"))
     if dtype in ("float", "double"):
         return F.when(value.isNull() | F.isnan(value), F.lit(0).cast("bigint")).otherwise(value.cast("bigint"))
-    hashed = F.pmod(F.xxhash64(value.cast("string")), F.lit(1 << 62))
+    if hash_with == "md5":
+        hashed = F.conv(F.substring(F.md5(value.cast("string")), 1, 15), 16, 10).cast("bigint")
+    else:
+        hashed = F.pmod(F.xxhash64(value.cast("string")), F.lit(1 << 62))
     return F.when(value.isNull(), F.lit(0).cast("bigint")).otherwise(hashed)
 
 
