@@ -9,7 +9,7 @@ order before its sets are compared in full.
 Large groups of copies must not become pairs. Equal sets are one group by their 128-bit hash. Next, every document is
 compared with one other that has the same least token, under each of four hashes; verified links give first components.
 The index then only yields pairs of different components, which loses no component: a pair inside one is connected
-already. Of those, one pair for each two components is tried first, and the others only if it did not connect them.
+already. One document of each component stands for it under a token at first; then all pairs of what is still apart.
 
 Every filter is lossless, so results are exact up to 64-bit token hashes. Texts shuffle only if a Bloom filter of
 candidate ids lets them through, and pairs are verified in a stream, whatever the size of a hub.
@@ -135,7 +135,7 @@ def profile(docs: DataFrame, counters: int, shingle: int) -> DataFrame:
 
 
 def merged_sketch(parts: DataFrame, counters: int) -> np.ndarray:
-    """Frequency class of each counter: 0 up to twice the mean, then one more for each doubling.
+    """Frequency class of each counter: 0 up to what chance adds to the mean, then one more for each doubling beyond it.
 
     Partial sketches are summed part by part, ``FAN_IN`` of them in a task at a time; the result is bounded.
     """
@@ -152,8 +152,9 @@ def merged_sketch(parts: DataFrame, counters: int) -> np.ndarray:
     counts = np.zeros(counters, np.uint32)
     for row in table.toLocalIterator():
         counts[row.part * PART : (row.part + 1) * PART] = np.frombuffer(row.counts, np.uint32)
-    usual = 2 * counts.mean() + 16
-    return np.maximum(0, np.ceil(np.log2(np.maximum(counts, 1) / usual))).astype(np.uint8)
+    mean = counts.mean()
+    above = (counts - mean) / (4 * np.sqrt(mean) + 4)
+    return np.ceil(np.log2(np.maximum(above, 1))).astype(np.uint8)
 
 
 # --- prefixes
@@ -321,14 +322,19 @@ def stars(table: DataFrame, keys: list[str]) -> DataFrame:
 BLOCK = 1024  # documents of a token that one pairing step holds
 
 
-def across(entries: DataFrame, known: DataFrame) -> DataFrame:
+def across(entries: DataFrame, known: DataFrame, one_each: bool) -> DataFrame:
     """(a, b): pairs of different components that share an index token and may overlap enough by size and place.
 
-    A token with many documents is cut into blocks, and each task pairs two blocks.
+    ``one_each`` takes one document of each component for a token, a first look that connects most of what belongs
+    together; without it, all pairs are looked at. A token with many documents is cut into blocks, and each task pairs two blocks.
     """
     part, whole = SIMILAR
     own = entries.join(known.select(F.col("id").alias("_id"), "component"), F.col("doc_id") == F.col("_id"), "left")
-    placed = cut_lineage(own.select("token", "doc_id", "n", "place", F.coalesce("component", "doc_id").alias("c")))
+    placed = own.select("token", "doc_id", "n", "place", F.coalesce("component", "doc_id").alias("c"))
+    if one_each:
+        first = F.min(F.struct("doc_id", "n", "place")).alias("_r")
+        placed = placed.groupBy("token", "c").agg(first).select("token", "_r.doc_id", "_r.n", "_r.place", "c")
+    placed = cut_lineage(placed)
     mixed = placed.groupBy("token").agg(F.min("c").alias("_lo"), F.max("c").alias("_hi"), F.count("*").alias("_n")).where("_lo < _hi")
     mixed = cut_lineage(mixed.select(F.col("token").alias("_t"), F.ceil(F.col("_n") / BLOCK).cast("int").alias("_blocks")))
     rows = placed.join(mixed, F.col("token") == F.col("_t")).drop("_t")
@@ -414,21 +420,12 @@ def link(docs: DataFrame, shingle: int = SHINGLE) -> tuple[DataFrame, DataFrame]
                                     .join(equal, ["a", "b"], "left_anti"), named))
     first = equal.unionByName(verified(docs, near, shared, shingle))
     known = cut_lineage(components(first))
-    entries = shared_entries(index_entries(docs.where("doc_id IS NOT NULL"), shared, shingle))
-    rest = cut_lineage(close_enough(across(entries, known), named))
-    one = cut_lineage(apart(rest, known).groupBy("_lo", "_hi").agg(F.min(F.struct("a", "b")).alias("p")).select("p.*"))
-    known = connected(known, verified(docs, one, shared, shingle))
-    more = cut_lineage(apart(rest.join(one, ["a", "b"], "left_anti"), known).select("a", "b"))
-    return info.select("doc_id", "n"), known if more.isEmpty() else connected(known, verified(docs, more, shared, shingle))
-
-
-def apart(pairs: DataFrame, known: DataFrame) -> DataFrame:
-    """The pairs that lie in different components, with these (_lo, _hi)."""
-    for side in "ab":
-        of = known.select(F.col("id").alias(f"_i{side}"), F.col("component").alias(f"_c{side}"))
-        pairs = pairs.join(of, F.col(side) == F.col(f"_i{side}"), "left")
-    ca, cb = F.coalesce("_ca", "a"), F.coalesce("_cb", "b")
-    return pairs.where(ca != cb).select("a", "b", F.least(ca, cb).alias("_lo"), F.greatest(ca, cb).alias("_hi"))
+    entries = cut_lineage(shared_entries(index_entries(docs.where("doc_id IS NOT NULL"), shared, shingle)))
+    looked = cut_lineage(close_enough(across(entries, known, one_each=True), named))
+    known = connected(known, verified(docs, looked, shared, shingle))
+    rest = close_enough(across(entries, known, one_each=False), named).join(looked, ["a", "b"], "left_anti")
+    rest = cut_lineage(rest)
+    return info.select("doc_id", "n"), known if rest.isEmpty() else connected(known, verified(docs, rest, shared, shingle))
 
 
 def connected(known: DataFrame, links: DataFrame) -> DataFrame:
