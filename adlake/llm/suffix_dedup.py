@@ -33,7 +33,7 @@ SPAN = 100
 GRAM = 32
 PLACE_BITS = 28
 LONGEST = 1 << 27  # a longer text is looked at in pieces that overlap
-SHARD_BYTES = 1 << 22  # contexts sorted at a time
+SHARD_BYTES = 1 << 20  # contexts sorted at a time
 
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -166,7 +166,7 @@ def spans(docs: DataFrame) -> DataFrame:
     """(doc_id, begin, end) of repeated bytes; spans of a document may overlap."""
     known = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
     owners = IdFilter(cut_lineage(owner_counts(known)), "key", hashed=True)
-    runs = cut_lineage(emit_runs(known, owners, contexts=False).distinct())
+    runs = cut_lineage(emit_runs(known, owners, contexts=False))
     first = runs.groupBy("key", "hash").agg(F.min(F.struct("doc_id", "start")).alias("f"), F.max("strings").alias("strings"))
     first = cut_lineage(first.select(F.col("key").alias("_k"), F.col("hash").alias("_h"), "f", F.col("strings").alias("_n")))
     met = runs.join(first, (F.col("key") == F.col("_k")) & (F.col("hash") == F.col("_h")))

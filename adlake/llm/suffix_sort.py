@@ -19,6 +19,7 @@ from adlake.llm.common import Powers, Rolling, byte_codes, mix
 
 QUEUE_BYTES = 1 << 28  # of one induction, kept in memory
 FEW_SYMBOLS = 512
+COMPARED = 1 << 15  # neighbours compared at a time
 
 
 class Queues:
@@ -173,24 +174,48 @@ def suffix_order(text: np.ndarray, symbols: int) -> np.ndarray:
     return induce(text, smaller, found, symbols)
 
 
+def candidates(data: np.ndarray, offsets: np.ndarray, span: int) -> np.ndarray:
+    """Starts, in order, of the strings whose hash occurs twice; no other string can repeat, so no other is sorted."""
+    row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    at = np.flatnonzero(np.arange(len(data)) + span <= offsets[1:][row])
+    strings = Rolling(data, Powers(), byte_codes())(at, at + span)
+    order = np.argsort(strings)
+    twice = np.zeros(len(at), bool)
+    same = strings[order[1:]] == strings[order[:-1]]
+    twice[order[1:][same]] = True
+    twice[order[:-1][same]] = True
+    return at[twice]
+
+
 def repeated_strings(data: np.ndarray, offsets: np.ndarray, span: int) -> np.ndarray:
     """Starts of the strings of ``span`` bytes, none across rows, that also start earlier in ``data``; in order."""
-    rows = len(offsets) - 1
-    row = np.repeat(np.arange(rows), np.diff(offsets))
-    # Rows end in symbol 1, the whole in symbol 0.
-    text = np.ones(len(data) + rows + 1, np.int64)
-    text[np.arange(len(data)) + row] = data.astype(np.int64) + 2
+    starts = candidates(data, offsets, span)
+    if not len(starts):
+        return starts
+    # Runs of neighbouring starts become the rows to sort, each with the bytes of its strings.
+    row = np.searchsorted(offsets, starts, "right")
+    new = np.ones(len(starts), bool)
+    new[1:] = (starts[1:] != starts[:-1] + 1) | (row[1:] != row[:-1])
+    begins = np.flatnonzero(new)
+    sizes = np.diff(np.append(begins, len(starts))) + span - 1
+    ends = np.cumsum(sizes)
+    # Row r lies at ends[r] - sizes[r] + r in the text; rows end in symbol 1, the whole in symbol 0.
+    inside = np.arange(ends[-1]) - np.repeat(ends - sizes, sizes)
+    source = np.repeat(starts[begins], sizes) + inside
+    text = np.ones(ends[-1] + len(sizes) + 1, np.int64)
     text[-1] = 0
-    order = suffix_order(text, 258)
-    # Back to places in the data; a place counts if its string ends inside its row.
+    target = np.arange(ends[-1]) + np.repeat(np.arange(len(sizes)), sizes)
+    text[target] = data[source].astype(np.int64) + 2
     place = np.full(len(text), -1)
-    place[np.arange(len(data)) + row] = np.where(np.arange(len(data)) + span <= offsets[1:][row], np.arange(len(data)), -1)
-    at = place[order]
+    place[target] = np.where(inside < np.repeat(sizes, sizes) - span + 1, source, -1)
+    at = place[suffix_order(text, 258)]
     at = at[at >= 0]
-    if not len(at):
-        return at
     # Neighbours in the order share their first ``span`` bytes or no two strings there are equal.
-    strings = Rolling(data, Powers(), byte_codes())(at, at + span)
-    begins = np.flatnonzero(np.concatenate([[True], strings[1:] != strings[:-1]]))
-    earliest = np.repeat(np.minimum.reduceat(at, begins), np.diff(np.append(begins, len(at))))
+    pieces = np.lib.stride_tricks.sliding_window_view(data, span)
+    equal = np.ones(len(at) - 1, bool)
+    for k in range(0, len(equal), COMPARED):
+        part = slice(k, k + COMPARED)
+        equal[part] = (pieces[at[1:][part]] == pieces[at[:-1][part]]).all(axis=1)
+    groups = np.flatnonzero(np.concatenate([[True], ~equal]))
+    earliest = np.repeat(np.minimum.reduceat(at, groups), np.diff(np.append(groups, len(at))))
     return np.sort(at[at != earliest])
