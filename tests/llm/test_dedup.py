@@ -5,6 +5,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from adlake.llm import exact_dedup, jaccard_join, line_dedup, suffix_dedup
 from adlake.llm.components import components
@@ -199,3 +200,32 @@ def test_lines_match_brute_force(docs):
         kept = [x for k, x in enumerate((text or "").split("\n")) if (i, k) not in removed]
         assert cut[i] == (None if text is None else "\n".join(kept))
     assert line_dedup.deduplicate(table.limit(0)).count() == 0
+
+
+def similar_lines(a, b):
+    x, y = shingles(a), shingles(b)
+    return 100 * len(x & y) >= 80 * len(x | y)
+
+
+@pytest.mark.parametrize("block", [1024, 16])
+def test_lines_of_one_template(docs, block, monkeypatch):
+    """All similar lines with a bucket in common are one group, also where they are strangers to the ends of the bucket."""
+    monkeypatch.setattr(line_dedup, "BLOCK", block, raising=False)
+    draw, texts = random.Random(11), []
+    form = "Dear {}, thank you for the order of our garden furniture; it leaves the house today."
+    for _ in range(200):
+        line = form.format("".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=7)))
+        at = draw.randrange(30, 70)
+        texts += [line, line[:at] + draw.choice("0123456789") + line[at + 1 :]]
+    table, buckets = docs(list(enumerate(texts))), {}
+    for r in line_dedup.bucket_entries(line_dedup.lines_of(table).withColumn("id", F.col("doc_id"))).collect():
+        buckets.setdefault(r.key, set()).add(r.id)
+    parent = {i: i for i in range(len(texts))}
+    for a, b in {(a, b) for group in buckets.values() for a in group for b in group if a < b}:
+        if similar_lines(texts[a], texts[b]):
+            x, y = find(parent, a), find(parent, b)
+            parent[max(x, y)] = min(x, y)
+    want = {i for i in parent if find(parent, i) != i}
+    assert len(want) > 150
+    gone = {r.doc_id for r in line_dedup.deduplicate(table).collect() if r.n_removed}
+    assert gone == want, (len(gone), len(want))
