@@ -229,3 +229,13 @@ def test_lines_of_one_template(docs, block, monkeypatch):
     assert len(want) > 150
     gone = {r.doc_id for r in line_dedup.deduplicate(table).collect() if r.n_removed}
     assert gone == want, (len(gone), len(want))
+
+
+def test_long_lines_of_any_letters(docs):
+    """Near copies of long lines without blanks, an "e" or letters beyond ASCII."""
+    draw, texts = random.Random(12), ["-" * 130, "-" * 150]
+    for letters in ("0123456789,", "0123456789\t", "ACGT", "ABCDEFGHIJKLMNOP", "abcdfghij/0123456789"):
+        line = "X" + "".join(draw.choices(letters, k=400)) + "X"
+        texts += [line, line[:200] + "#" + line[201:]]
+    gone = {r.doc_id for r in line_dedup.deduplicate(docs(list(enumerate(texts)))).collect() if r.n_removed}
+    assert gone == set(range(1, len(texts), 2))
