@@ -5,10 +5,11 @@ equal strings have equal owners. Runs of string starts with one owner are the un
 bytes its strings cover). Owners that occur once cannot repeat anything and go. Runs whose whole context occurred before
 are removed without a look at their bytes. What is left, the first runs of owners with several contexts, is partitioned by
 owner into shards; each shard is suffix sorted (see ``suffix_sort``), and equal strings stand side by side with a common
-prefix of ``SPAN`` or more; all but the earliest are marked.
+prefix of ``SPAN`` or more; all but the earliest are marked. Owners whose contexts exceed a shard are not sorted: their
+strings meet by hashes, in any number of tasks.
 
 No step holds a document group: owners are counted with a combine before the shuffle, contexts of one owner are distinct,
-and a shard is sorted in pieces of whole owners. Texts shuffle once, and only of documents that lose bytes.
+and a shard is sorted in pieces of whole owners of bounded size. Texts shuffle once, and only of documents that lose bytes.
 
 Defined cases: NULL counts as empty; documents shorter than ``SPAN`` bytes stay whole; rows with a NULL id stay whole;
 rows that repeat an id are one document (a string is not earlier than its own repetition); extra columns are ignored; an
@@ -33,7 +34,7 @@ SPAN = 100
 GRAM = 32
 PLACE_BITS = 28
 LONGEST = 1 << 27  # a longer text is looked at in pieces that overlap
-SHARD_BYTES = 1 << 20  # contexts sorted at a time
+SHARD_BYTES = 1 << 20  # contexts sorted at a time; owners with more are not sorted, see ``repeats_of_hot_owners``
 
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -162,6 +163,50 @@ def marked_runs(contexts: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {kind}, begin bigint, end bigint")
 
 
+def hot_strings(contexts: DataFrame) -> DataFrame:
+    """(doc_id, start, key, h1, h2) of every string in ``contexts``; the hashes differ in their byte codes."""
+    kind = contexts.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers, codes = Powers(), byte_codes()
+        others = mix(codes)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 4096):
+                batch = whole.slice(at, 4096)
+                data, offsets = flat_bytes(batch.column("context").cast(pa.large_binary()).view(pa.large_string()))
+                strings = np.diff(offsets) - SPAN + 1
+                row = np.repeat(np.arange(len(strings)), strings)
+                inside = np.arange(len(row)) - np.repeat(np.cumsum(strings) - strings, strings)
+                begin = offsets[:-1][row] + inside
+                hashes = [Rolling(data, powers, c)(begin, begin + SPAN) for c in (codes, others)]
+                start = batch.column("start").to_numpy()[row] + inside
+                taken = [batch.column(c).take(pa.array(row)) for c in ("doc_id", "key")]
+                yield pa.RecordBatch.from_arrays(
+                    [taken[0], pa.array(start), taken[1], *[pa.array(h.view(np.int64)) for h in hashes]],
+                    ["doc_id", "start", "key", "h1", "h2"],
+                )
+
+    return contexts.select("doc_id", "start", "key", "context").mapInArrow(
+        run, f"doc_id {kind}, start bigint, key bigint, h1 bigint, h2 bigint"
+    )
+
+
+def repeats_of_hot_owners(contexts: DataFrame) -> DataFrame:
+    """(doc_id, begin, end) of the strings that occur earlier, for owners with too many contexts to sort in one task.
+
+    Equal strings meet by owner and two 64-bit hashes, wherever they are: hashes are counted with a combine, only strings
+    whose first hash may repeat go on, and the earliest of equal strings is a minimum with a combine. No task holds an owner.
+    """
+    strings = hot_strings(contexts)
+    twice = IdFilter(cut_lineage(strings.groupBy("h1").count().where("count > 1").select("h1")), "h1", hashed=True)
+    left = cut_lineage(strings.where(twice.may_hold(F.col("h1"))))
+    keys = ["key", "h1", "h2"]
+    first = left.groupBy(*keys).agg(F.min(F.struct("doc_id", "start")).alias("f"), F.count("*").alias("_n")).where("_n > 1")
+    first = cut_lineage(first.select(*[F.col(k).alias(f"_{k}") for k in keys], "f"))
+    met = left.join(first, [F.col(k) == F.col(f"_{k}") for k in keys]).where("doc_id != f.doc_id OR start != f.start")
+    return met.select("doc_id", F.col("start").alias("begin"), (F.col("start") + SPAN).alias("end"))
+
+
 def spans(docs: DataFrame) -> DataFrame:
     """(doc_id, begin, end) of repeated bytes; spans of a document may overlap."""
     known = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
@@ -173,12 +218,22 @@ def spans(docs: DataFrame) -> DataFrame:
     later = met.where("doc_id != f.doc_id OR start != f.start").select(
         "doc_id", F.col("start").alias("begin"), (F.col("start") + F.col("strings") + SPAN - 1).alias("end")
     )
-    several = cut_lineage(first.groupBy("_k").count().where("count > 1").select(F.col("_k").alias("key")))
-    asked = first.join(several, F.col("_k") == F.col("key")).select(F.col("f.doc_id").alias("_d"), F.col("f.start").alias("_s"))
-    found = emit_runs(known, IdFilter(several, "key", hashed=True), contexts=True)
-    contexts = found.join(cut_lineage(asked), (F.col("doc_id") == F.col("_d")) & (F.col("start") == F.col("_s")))
-    contexts = contexts.dropDuplicates(["doc_id", "start"])
-    return later.unionByName(marked_runs(contexts))
+    size = F.sum(F.col("_n") + SPAN - 1)
+    several = first.groupBy("_k").agg(F.count("*").alias("_c"), size.alias("_size")).where("_c > 1")
+    several = cut_lineage(several.select(F.col("_k").alias("key"), (F.col("_size") > SHARD_BYTES).alias("hot")))
+    asked = first.join(several, F.col("_k") == F.col("key")).select(F.col("f.doc_id").alias("_d"), F.col("f.start").alias("_s"), "hot")
+    asked = cut_lineage(asked)
+
+    def contexts(hot: bool) -> DataFrame:
+        found = emit_runs(known, IdFilter(several.where(F.col("hot") == hot), "key", hashed=True), contexts=True)
+        wanted = asked.where(F.col("hot") == hot).drop("hot")
+        met = found.join(wanted, (F.col("doc_id") == F.col("_d")) & (F.col("start") == F.col("_s")))
+        return met.dropDuplicates(["doc_id", "start"])
+
+    marked = later.unionByName(marked_runs(contexts(False)))
+    if several.where("hot").isEmpty():
+        return marked
+    return marked.unionByName(repeats_of_hot_owners(cut_lineage(contexts(True))))
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:

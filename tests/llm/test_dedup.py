@@ -239,3 +239,21 @@ def test_long_lines_of_any_letters(docs):
         texts += [line, line[:200] + "#" + line[201:]]
     gone = {r.doc_id for r in line_dedup.deduplicate(docs(list(enumerate(texts)))).collect() if r.n_removed}
     assert gone == set(range(1, len(texts), 2))
+
+
+def test_repeated_bytes_of_one_hot_owner(docs, monkeypatch):
+    """A phrase with other words around it in all texts: no task may sort more than a shard and one owner within it."""
+    monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", 3000)
+    real = suffix_dedup.repeated_strings
+
+    def bounded(data, offsets, span):
+        assert len(data) <= 2 * 3000, "a shard beyond its bound"
+        return real(data, offsets, span)
+
+    monkeypatch.setattr(suffix_dedup, "repeated_strings", bounded)
+    draw, phrase = random.Random(13), "This text is under the licence of nobody: "
+    around = [prose(draw, 25) for _ in range(20)]
+    rows = [(i, draw.choice(around) + phrase + draw.choice(around)) for i in range(60)]
+    rows += [(100 + i, prose(draw, 25) + phrase + prose(draw, 25)) for i in range(200)]
+    got = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.deduplicate(docs(rows)).collect()}
+    assert got == brute_spans(rows, suffix_dedup.SPAN)
