@@ -3,8 +3,8 @@
 Two sets of word shingles with a Jaccard similarity of at least t share a token among the first n - ceil(t n) + 1 of
 either, in any order of all tokens. Orders put frequent tokens last (by a counting sketch over all documents, of bounded
 size) and differ in the hash that ranks tokens of equal frequency. Candidates come from an index of the prefixes under the
-first order, thinned by size and place of the shared token; a pair must then share a prefix token under each further
-order before its sets are compared in full.
+first order, thinned by size and place of the shared token and by parity signatures. Prefixes under the further orders are
+only formed when both texts are at hand, beside the full sets, so they spare no work.
 
 Large groups of copies must not become pairs. Equal sets are one group by their 128-bit hash. Next, every document is
 compared with one other that has the same least token, under each of four hashes; verified links give first components.
