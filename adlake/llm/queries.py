@@ -6,7 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adlake.llm import exact_dedup, jaccard_join, line_dedup, mixing, packing, quality_pu, quality_rules, suffix_dedup, toxicity, url_filter
+from adlake.llm import (
+    exact_dedup,
+    filter_audit,
+    jaccard_join,
+    line_dedup,
+    mixing,
+    packing,
+    quality_pu,
+    quality_rules,
+    suffix_dedup,
+    toxicity,
+    url_filter,
+    whitening,
+)
 from adlake.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +97,16 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What stays of every document without the strings of 100 bytes that start earlier elsewhere."""
     return suffix_dedup.deduplicate(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query()
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four leading whitened components of every embedding, fitted on the distinct vectors."""
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+@query(filter_audit.ORACLE)
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove per source, in every order."""
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    return filter_audit.audit(read_table(spark, sf_dir, "documents").select("doc_id", "source", "text"), labels)
