@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from adlake.llm import (
+    chosen_path,
     exact_dedup,
     filter_audit,
     jaccard_join,
@@ -110,3 +111,9 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What five filters remove per source, in every order."""
     labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     return filter_audit.audit(read_table(spark, sf_dir, "documents").select("doc_id", "source", "text"), labels)
+
+
+@query()
+def op12_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document by near-equal word shingles, and whether it stays."""
+    return chosen_path.deduplicate(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
