@@ -36,7 +36,8 @@ LEAST_WORDS = 200  # A
 LEAST_DISTINCT = 50  # B: per cent of the words
 MOST_CAPITALS = 2  # C: per cent of the code points
 MARKS = "#$%&*|"  # D
-BLOCK = 1 << 23  # bytes of text in a block
+BLOCK = 1 << 25  # bytes of text in a block
+STEP = 1 << 22  # of them in a numpy step
 BUCKET_ROWS = 1 << 15  # words of blocks that are numbered together
 
 
@@ -55,17 +56,22 @@ def encode_blocks(docs: DataFrame) -> DataFrame:
         number = TaskContext.get().partitionId() << 33
         for whole in gathered(batches):
             for batch in slices(whole, "text", BLOCK, BLOCK):
-                data, offsets = flat_bytes(batch.column("text"))
-                indptr, columns, counts, words = block_rows(data, offsets)
-                capitals, points, marked = (
-                    per_row(hit, offsets) for hit in ((data >= 65) & (data <= 90), (data & 0xC0) != 0x80, marks[data])
-                )
-                flags = 4 * (100 * capitals > MOST_CAPITALS * points) + 8 * (marked > 0)
-                shas = [hashlib.sha256(data[a:b]).digest() for a, b in zip(offsets[:-1], offsets[1:])]
+                tokens, lengths, flags, shas = [], [], [], []
+                for step in slices(batch, "text", STEP, STEP):
+                    data, offsets = flat_bytes(step.column("text"))
+                    capitals, points, marked = (
+                        per_row(hit, offsets) for hit in ((data >= 65) & (data <= 90), (data & 0xC0) != 0x80, marks[data])
+                    )
+                    flags.append(4 * (100 * capitals > MOST_CAPITALS * points) + 8 * (marked > 0))
+                    shas += [hashlib.sha256(data[a:b]).digest() for a, b in zip(offsets[:-1], offsets[1:])]
+                    words, rows = tokens_of(data, offsets)
+                    tokens.append(words)
+                    lengths.append(rows)
+                words, indptr, columns, counts = encoded_rows(tokens, lengths)
                 lists = [batch.column("doc_id"), batch.column("part"), pa.array(shas, pa.binary()), words]
                 wrapped = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists]
-                numbers = [pa.array([x.astype(np.int32).tobytes()], pa.binary()) for x in (flags, indptr, columns, counts)]
-                yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *wrapped, *numbers], names)
+                packed = [pa.array([pack(x)], pa.binary()) for x in (np.concatenate(flags), indptr, columns, counts)]
+                yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *wrapped, *packed], names)
                 number += 1
 
     names = ["block", "doc_id", "part", "sha", "words", "flags", "indptr", "columns", "counts"]
@@ -93,20 +99,41 @@ def per_row(hit: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return upto[offsets[1:]] - upto[offsets[:-1]]
 
 
-def block_rows(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
-    """Row starts, columns and counts over the words of the block, and these words."""
+def tokens_of(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """All words of some rows, one after another, and their number per row."""
     starts, ends, first = words_of(data, offsets)
     letters = data[~((data == 32) | ((data >= 9) & (data <= 13)))]  # words without what lies between them
     places = np.concatenate([np.zeros(1, np.int64), np.cumsum(ends - starts)]).astype(np.int32)
-    tokens = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(places), pa.py_buffer(letters.tobytes())])
-    coded = tokens.dictionary_encode()
-    words, codes = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
-    row = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
-    cells = np.sort(row * max(1, len(words)) + codes)
-    fresh = np.flatnonzero(np.concatenate([np.ones(min(1, len(cells)), bool), cells[1:] != cells[:-1]]))
-    row, columns = np.divmod(cells[fresh], max(1, len(words)))
-    counts = np.diff(np.append(fresh, len(cells)))
-    return np.searchsorted(row, np.arange(len(offsets))), columns, counts, words
+    return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(places), pa.py_buffer(letters)]), np.diff(first)
+
+
+def encoded_rows(tokens: list[pa.Array], lengths: list[np.ndarray]) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct words of a block, and its compressed sparse rows over them: row starts, columns, counts."""
+    coded = pa.concat_arrays(tokens).dictionary_encode()
+    words, codes = coded.dictionary, coded.indices.to_numpy()
+    width, sizes, columns, counts, done = max(1, len(words)), [np.zeros(1, np.int64)], [], [], 0
+    for length in lengths:
+        start, done = done, done + int(length.sum())
+        cells = np.repeat(np.arange(len(length)), length) * width + codes[start:done]
+        cells.sort()
+        fresh = np.flatnonzero(np.concatenate([np.ones(min(1, len(cells)), bool), cells[1:] != cells[:-1]]))
+        row, column = np.divmod(cells[fresh], width)
+        sizes.append(np.bincount(row, minlength=len(length)))
+        columns.append(column)
+        counts.append(np.diff(np.append(fresh, len(cells))))
+    return words, np.cumsum(np.concatenate(sizes)), np.concatenate(columns), np.concatenate(counts)
+
+
+def pack(numbers: np.ndarray) -> bytes:
+    """Whole numbers below 2^31 as compressed differences, in planes of bytes of equal weight."""
+    steps = np.diff(numbers, prepend=0).astype(np.int32)
+    return pa.compress(steps.view(np.uint8).reshape(-1, 4).T.tobytes(), codec="zstd", asbytes=True) + len(steps).to_bytes(8, "little")
+
+
+def unpack(body: bytes) -> np.ndarray:
+    size = int.from_bytes(body[-8:], "little")
+    planes = np.frombuffer(pa.decompress(body[:-8], 4 * size, "zstd"), np.uint8).reshape(4, size)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.int32).ravel())
 
 
 def numbered(blocks: DataFrame) -> DataFrame:
@@ -134,7 +161,7 @@ SHARD_NUMBERS = ("flags", "indptr", "columns", "counts")
 def shard_of(block: pa.Table, terms: pa.Table) -> dict:
     """One block as a shard: its lists and numbers, with global numbers of words in ``columns``."""
     shard = {c: block.column(c).chunk(0).flatten() for c in SHARD_LISTS}
-    shard |= {c: np.frombuffer(block.column(c)[0].as_py(), np.int32) for c in SHARD_NUMBERS}
+    shard |= {c: unpack(block.column(c)[0].as_py()) for c in SHARD_NUMBERS}
     ids = np.empty(terms.num_rows, np.int64)
     ids[terms.column("place").to_numpy()] = terms.column("id").to_numpy()
     return shard | {"columns": ids[shard["columns"]]}
@@ -152,10 +179,10 @@ def term_matrix(blocks: DataFrame) -> DataFrame:
 
     def act(block: pa.Table, terms: pa.Table) -> pa.Table:
         shard = shard_of(block, terms)
-        lists = {c: pa.array(shard[c]) for c in ("doc_id", "indptr", "columns", "counts")}
+        lists = {"doc_id": shard["doc_id"]} | {c: pa.array(shard[c]) for c in ("indptr", "columns", "counts")}
         return pa.table({"block": block.column("block")} | {c: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for c, x in lists.items()})
 
-    return with_terms(blocks, act, f"block bigint, doc_id array<{key}>, indptr array<int>, columns array<bigint>, counts array<int>")
+    return with_terms(blocks, act, f"block bigint, doc_id array<{key}>, indptr array<bigint>, columns array<bigint>, counts array<bigint>")
 
 
 def judged(blocks: DataFrame) -> DataFrame:
