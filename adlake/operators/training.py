@@ -14,7 +14,9 @@ from typing import Any
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import FMClassifier, GBTClassifier, LogisticRegression
 from pyspark.ml.feature import FeatureHasher, Imputer, SQLTransformer, VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import FMRegressor, GBTRegressor, LinearRegression
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -63,11 +65,14 @@ def binary_crossentropy(p: Column, y: Column) -> Column:
 
 
 def loss_column(task: str, prediction: Column, target: Column) -> Column:
-    """Loss of one sample. Multi-valued predictions and targets are arrays."""
+    """Loss of one sample. Multi-valued predictions and targets are arrays; ``regressions`` is regression with several targets."""
     if task == "binary_classification":
         return binary_crossentropy(prediction, target.cast("double"))
     if task == "regression":
         return F.pow(target.cast("double") - prediction, F.lit(2.0))
+    if task == "regressions":
+        each = F.zip_with(prediction, target, lambda p, y: F.pow(y.cast("double") - p, F.lit(2.0)))
+        return F.aggregate(each, F.lit(0.0), lambda a, x: a + x) / F.size(each)
     if task == "multiclass":
         return -F.log(_clipped(F.element_at(prediction, target.cast("int") + 1)))
     if task == "multi_label":
@@ -99,21 +104,22 @@ def training_metrics(batches: DataFrame, day: str, number: str, loss: str, size:
 
 # Embedding model ------------------------------------------------------------------------------
 
-TRAINED_TASKS = ("binary_classification", "regression")
+Layer = list[float] | list[list[float]]
 
 
 @dataclass(frozen=True)
 class EmbeddingModel:
-    """Mean-pooled embeddings of sparse features and dense columns under one linear output.
+    """Mean-pooled embeddings of sparse features and dense columns under a linear layer with one or several outputs.
 
-    ``sparse`` maps a feature to its token column (BIGINT or ARRAY<BIGINT>). ``weights`` has one number per input and a
-    bias at the end.
+    ``sparse`` maps a feature to its token column (BIGINT or ARRAY<BIGINT>). The layer has one list of numbers per output: one per
+    input and a bias at the end; with a single output it is that list alone. ``targets`` names several target columns (multi_label, regression);
+    a multiclass target holds the class from 0 to ``num_classes`` - 1.
     """
 
     sample_id: str
     sparse: Mapping[str, Column]
     dense: Sequence[str]
-    target: str
+    target: str = ""
     task: str = "binary_classification"
     dim: int = 8
     weight: str | None = None
@@ -122,36 +128,98 @@ class EmbeddingModel:
     init: str = "uniform"
     scale: float = 0.1
     seed: int = 0
+    targets: Sequence[str] = ()
+    num_classes: int | None = None
 
     def __post_init__(self):
-        if self.task not in TRAINED_TASKS:
-            raise ValueError(f"task {self.task!r} cannot be trained; only {TRAINED_TASKS} have one output")
+        if not self.target_columns:
+            raise ValueError("a model needs a target")
+        if self.task in ("binary_classification", "multiclass") and len(self.target_columns) > 1:
+            raise ValueError(f"task {self.task!r} has one target")
+        if self.outputs < 1:
+            raise ValueError("a model needs an output")
+
+    @property
+    def target_columns(self) -> list[str]:
+        return list(self.targets) or ([self.target] if self.target else [])
+
+    @property
+    def shape(self) -> TaskShape:
+        return task_shape(self.task, self.target_columns, self.num_classes)
+
+    @property
+    def outputs(self) -> int:
+        return self.shape.output_dim
+
+    @property
+    def single(self) -> bool:
+        """Whether predictions are numbers and not arrays."""
+        return self.task == "binary_classification" or (self.task == "regression" and self.outputs == 1)
 
     @property
     def inputs(self) -> int:
         return len(self.sparse) * self.dim + len(self.dense)
 
-    def first_weights(self) -> list[float]:
+    def first_weights(self) -> Layer:
         """Small fixed numbers of both signs, so that embeddings receive a gradient from the first step."""
-        return [0.1 if i % 2 == 0 else -0.1 for i in range(self.inputs)] + [0.0]
+        rows = [[0.1 if (i + o) % 2 == 0 else -0.1 for i in range(self.inputs)] + [0.0] for o in range(self.outputs)]
+        return rows[0] if self.single else rows
 
+    def rows_of(self, weights: Layer) -> list[list[float]]:
+        """One list per output."""
+        return [list(weights)] if self.single else [list(r) for r in weights]
 
-def score(samples: DataFrame, table: DataFrame, model: EmbeddingModel, weights: Sequence[float]) -> DataFrame:
+    def target_value(self) -> Column:
+        """The target of a sample, an array where predictions are arrays over targets; NULL if any part of it is."""
+        columns = [F.col(c).cast("double") for c in self.target_columns]
+        if self.single or self.task == "multiclass":
+            return columns[0]
+        known = F.lit(True)
+        for c in columns:
+            known = known & c.isNotNull()
+        return F.when(known, F.array(*columns))
+
+
+def score(samples: DataFrame, table: DataFrame, model: EmbeddingModel, weights: Layer) -> DataFrame:
     """Add ``inputs`` and ``prediction`` to every sample."""
     tokens = sample_tokens(samples, model.sample_id, model.sparse)
     pooled = mean_pool(tokens, table, model.sample_id, model.dim, init=model.init, scale=model.scale, seed=model.seed)
     ready = assemble(pooled, samples, model.sample_id, list(model.sparse), model.dense, model.dim)
-    layer = F.array(*[F.lit(float(w)) for w in weights[:-1]])
-    products = F.zip_with("inputs", layer, lambda x, w: x * w)
-    logit = F.aggregate(products, F.lit(float(weights[-1])), lambda a, x: a + x)
-    prediction = F.lit(1.0) / (F.lit(1.0) + F.exp(-logit)) if model.task == "binary_classification" else logit
-    return ready.withColumn("prediction", prediction)
+
+    def logit(row: Sequence[float]) -> Column:
+        layer = F.array(*[F.lit(float(w)) for w in row[:-1]])
+        return F.aggregate(F.zip_with("inputs", layer, lambda x, w: x * w), F.lit(float(row[-1])), lambda a, x: a + x)
+
+    logits = [logit(row) for row in model.rows_of(weights)]
+    return ready.withColumn("_logits", F.array(*logits)).withColumn("prediction", activated(model, F.col("_logits"))).drop("_logits")
+
+
+def activated(model: EmbeddingModel, logits: Column) -> Column:
+    """Predictions from logits: one number, or one per output."""
+    kind = model.shape.activation
+    if kind == "softmax":
+        # Logits less their largest, so that no exponential is beyond a double.
+        powers = F.transform(logits, lambda z: F.exp(z - F.array_max(logits)))
+        return F.transform(powers, lambda e: e / F.aggregate(powers, F.lit(0.0), lambda a, x: a + x))
+    values = F.transform(logits, lambda z: F.lit(1.0) / (F.lit(1.0) + F.exp(-z))) if kind == "sigmoid" else logits
+    return F.get(values, 0) if model.single else values
+
+
+def errors(model: EmbeddingModel, prediction: Column, target: Column) -> Column:
+    """Derivative of the loss of a sample by each logit, an array; NULL without a target."""
+    if model.single:
+        error = prediction - target
+        return F.when(error.isNotNull(), F.array(error * 2 if model.task == "regression" else error))
+    if model.task == "multiclass":
+        return F.when(target.isNotNull(), F.transform(prediction, lambda p, i: p - F.when(i == target.cast("int"), 1.0).otherwise(0.0)))
+    share = (2.0 if model.task == "regression" else 1.0) / model.outputs
+    return F.when(target.isNotNull(), F.zip_with(prediction, target, lambda p, y: (p - y) * F.lit(share)))
 
 
 @dataclass
 class StepResult:
     table: DataFrame
-    weights: list[float]
+    weights: Layer
     samples: int
     weighted_samples: float
     loss: float
@@ -163,59 +231,64 @@ class StepResult:
             self.cached.unpersist()
 
 
-def train_step(samples: DataFrame, table: DataFrame, model: EmbeddingModel, weights: Sequence[float]) -> StepResult:
-    """One synchronous gradient step over ``samples``. The returned table is a plan; write it before the next step."""
-    scored = score(samples, table, model, weights)
+def train_step(samples: DataFrame, table: DataFrame, model: EmbeddingModel, weights: Layer) -> StepResult:
+    """One synchronous gradient step over ``samples``. The returned table is a plan; write it before the next step.
+
+    The gradient of the layer is one vector of inputs times outputs, summed in a vector buffer, so the plan does not widen with the model.
+    """
+    scored = score(samples, table, model, weights).withColumn("_target", model.target_value())
     w = F.coalesce(F.col(model.weight).cast("double"), F.lit(1.0)) if model.weight else F.lit(1.0)
-    error = F.col("prediction") - F.col(model.target).cast("double")
-    if model.task == "regression":
-        error = error * 2
-    loss = loss_column(model.task, F.col("prediction"), F.col(model.target))
+    named = "regressions" if model.task == "regression" and not model.single else model.task
+    loss = F.when(F.col("_target").isNotNull(), loss_column(named, F.col("prediction"), F.col("_target")))
     needed = scored.select(
         model.sample_id,
         *[c.alias(f"_s_{f}") for f, c in model.sparse.items()],
-        "inputs",
-        (error * w).alias("_error"),
+        F.concat("inputs", F.array(F.lit(1.0))).alias("_inputs"),
+        F.transform(errors(model, F.col("prediction"), F.col("_target")), lambda e: e * w).alias("_error"),
         (loss * w).alias("_loss"),
         w.alias("_w"),
     ).persist()
-    sums = [F.sum(F.col("inputs")[i] * F.col("_error")).alias(f"g{i}") for i in range(model.inputs)]
-    facts = needed.agg(
-        *sums,
-        F.sum("_error").alias("bias"),
-        F.count("_error").alias("n"),  # a sample without a label teaches nothing
-        F.coalesce(F.sum(F.when(F.col("_error").isNotNull(), F.col("_w"))), F.lit(0.0)).alias("w"),
-        F.coalesce(F.avg("_loss"), F.lit(0.0)).alias("loss"),
-    ).first()
+    taught = needed.where("_error IS NOT NULL")  # a sample without a label teaches nothing
+    facts = taught.agg(F.count("*").alias("n"), F.coalesce(F.sum("_w"), F.lit(0.0)).alias("w"), F.coalesce(F.avg("_loss"), F.lit(0.0)).alias("loss")).first()
     n = facts["n"]
     if n == 0:
         needed.unpersist()
-        return StepResult(table, list(weights), 0, 0.0, 0.0)
-    gradient = [facts[f"g{i}"] / n for i in range(model.inputs)] + [facts["bias"] / n]
-    moved = [a - model.learning_rate * g for a, g in zip(weights, gradient)]
+        return StepResult(table, weights, 0, 0.0, 0.0)
+    products = F.flatten(F.transform("_error", lambda e: F.transform("_inputs", lambda x: x * e)))
+    summed = taught.select(array_to_vector(products).alias("v")).agg(Summarizer.sum(F.col("v")).alias("g")).first()["g"].toArray()
+    size = model.inputs + 1
+    moved = [
+        [a - model.learning_rate * float(g) / n for a, g in zip(row, summed[o * size : (o + 1) * size])]
+        for o, row in enumerate(model.rows_of(weights))
+    ]
     grads = token_gradients(needed, model, weights, n)
     updated = apply_gradients(
         table, grads, model.optimizer, model.dim, model.init, model.scale, model.seed
     )
-    return StepResult(updated, moved, n, float(facts["w"]), float(facts["loss"]), needed)
+    return StepResult(updated, moved[0] if model.single else moved, n, float(facts["w"]), float(facts["loss"]), needed)
 
 
-def token_gradients(needed: DataFrame, model: EmbeddingModel, weights: Sequence[float], n: int) -> DataFrame:
-    """(token_id, grad). All tokens of a mean share its gradient, so one number per (token, feature) is summed and only
-    then spread over the layer's weights: the shuffle carries no vectors."""
-    features = sorted(model.sparse)
+def token_gradients(needed: DataFrame, model: EmbeddingModel, weights: Layer, n: int) -> DataFrame:
+    """(token_id, grad). All tokens of a mean share its gradient, so one number per (token, feature, output) is summed and only
+    then spread over the layer's weights: the shuffle carries no embeddings."""
+    features, rows_of_layer = sorted(model.sparse), model.rows_of(weights)
+    outputs = range(len(rows_of_layer))
+    error = F.col("_error") if needed.schema["_error"].dataType.typeName() == "array" else F.array("_error")
     cells = []
     for f in features:
         c = F.col(f"_s_{f}")
         tokens = c if needed.schema[f"_s_{f}"].dataType.typeName() == "array" else F.array(c)
-        part = F.coalesce(F.col("_error"), F.lit(0.0)) / F.size(tokens) / F.lit(float(n))
-        cells.append(labelled_tokens(tokens, f, part.alias("part")))
+        share = F.lit(1.0) / F.size(tokens) / F.lit(float(n))
+        parts = [(F.coalesce(F.get(error, o), F.lit(0.0)) * share).alias(f"part{o}") for o in outputs]
+        cells.append(labelled_tokens(tokens, f, *parts))
     rows = needed.select(F.explode(F.concat(*cells)).alias("_t")).select("_t.*")
-    parts = [F.coalesce(F.sum(F.when(F.col("feature") == f, F.col("part"))), F.lit(0.0)).alias(f"_p_{f}") for f in features]
-    summed = rows.groupBy("token_id").agg(*parts)
+    sums = [
+        F.coalesce(F.sum(F.when(F.col("feature") == f, F.col(f"part{o}"))), F.lit(0.0)).alias(f"_p{o}_{f}") for f in features for o in outputs
+    ]
+    summed = rows.groupBy("token_id").agg(*sums)
     grad = []
     for i in range(model.dim):
-        terms = [F.col(f"_p_{f}") * F.lit(float(weights[k * model.dim + i])) for k, f in enumerate(features)]
+        terms = [F.col(f"_p{o}_{f}") * F.lit(float(rows_of_layer[o][k * model.dim + i])) for k, f in enumerate(features) for o in outputs]
         grad.append(sum(terms[1:], terms[0]))
     return summed.select("token_id", F.array(*grad).alias("grad"))
 

@@ -202,8 +202,9 @@ def test_missing_numbers_lose_no_rows(spark):
     assert scored.count() == held_out.count() and scored.where("prediction IS NULL").count() == 0
 
 
-def test_tasks_without_an_output_are_refused(spark):
-    from adlake.operators import training
-
-    with pytest.raises(ValueError, match="multiclass"):
-        training.EmbeddingModel("id", {}, [], "y", task="multiclass")
+def test_models_that_cannot_be_are_refused(spark):
+    for wrong in ({"task": "ranking", "target": "y"}, {"task": "multiclass", "targets": ["y", "z"]}, {"task": "regression"}):
+        with pytest.raises(ValueError):
+            tr.EmbeddingModel("id", {}, [], **wrong)
+    assert tr.EmbeddingModel("id", {}, [], "y", task="multiclass", num_classes=4).outputs == 4
+    assert tr.EmbeddingModel("id", {}, [], task="multi_label", targets=["a", "b"]).first_weights() == [[0.0], [0.0]]
