@@ -17,6 +17,7 @@ _MODULES = (
     "similarity",
     "quality",
     "embeddings",
+    "training",
     "bids",
 )
 
