@@ -9,7 +9,7 @@ probability of about 0.7 at any depth (branches double while about 0.85 of them
 
 Large groups of copies must not become pairs. Equal sets are one document by their 128-bit hash. Pairs of a node are only
 looked at while they lie in different components of the links confirmed so far, in three rounds: each document of a
-node with the smallest one; each with the most central one (which agrees most with the majority of each coordinate);
+node with the smallest one; each with the most central one (whose sketch agrees most with those of the others);
 then all pairs that are still apart. A large node whose documents agree too much to be split by branching (on average in
 more than a half of their coordinates) is compared block against block, as the method compares points of high average similarity
 with all others. Parity signatures and sizes drop most pairs without a loss before they are emitted; every link is confirmed on the full sets
@@ -187,11 +187,13 @@ def folded_signatures(bits: pa.Array) -> tuple[dict[int, np.ndarray], np.ndarray
 
 
 def central(sketch: np.ndarray) -> int:
-    """The row that agrees with the majority of most coordinates, the first of equals."""
+    """The row that agrees with most others in most coordinates, the first of equals."""
+    if len(sketch) <= 32:
+        return int((sketch[:, None] == sketch[None]).sum(axis=(1, 2)).argmax())
     agreed = np.zeros(len(sketch), np.int64)
     for values in sketch.T:
         _, number, counts = np.unique(values, return_inverse=True, return_counts=True)
-        agreed += number == counts.argmax()
+        agreed += counts[number]
     return int(agreed.argmax())
 
 
@@ -316,9 +318,9 @@ def grown(rows: DataFrame, info: DataFrame) -> DataFrame:
 
 def leaves(nodes: DataFrame, info: DataFrame, known: DataFrame, small: int) -> DataFrame:
     """(node, doc_id, c, m): nodes that are compared exhaustively. Nodes of more than ``small`` documents branch until they are
-    small, dense, or of one component."""
+    small, dense, or of one component. Of first nodes with two documents the pair has been looked at with the smallest."""
     found, depth = [], FIRST_DEPTH
-    open_ = cut_lineage(mixed(nodes, known))
+    open_ = cut_lineage(mixed(nodes.where("m > 2"), known))
     while True:
         large = open_.where(F.col("m") > small)
         found.append(open_.where(F.col("m") <= small).select("node", "doc_id", "c", "m"))
