@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from adlake.catalog.registry import query, table, view
 from adlake.functions import scalar
 from adlake.operators import aggregate, dedupe
+from adlake.operators import sketches as sk
 from adlake.operators.aggregate import Aggregation
 from adlake.operators.rolling import rolling_sums
 from adlake.plans.jobs import EtlParams, Rolling, etl
+from adlake.session import cut_lineage
 from adlake.sources.ranges import TimeRange, lookback_hours, within
 
 DIMS = ["rtb_id", "supply_name", "req_pub_app_store_id", "req_impression_type", "req_country", "req_os"]
@@ -410,3 +412,73 @@ FROM events GROUP BY 1) t""",
 def _(spark, sf_dir):
     out = aggregate.chunked_sum_of_squares(table(spark, sf_dir, "events"), "event_id", "value")
     return rounded(out, 2)
+
+
+# States that roll up ---------------------------------------------------------------------------
+
+_KEPT = [sk.State("q", "value", "quantiles"), sk.State("d", "user_id", "distinct"), sk.State("t", "user_id", "theta")]
+
+
+def _hourly_states(spark, sf_dir):
+    """States per hour and event type, written as a table of states would be."""
+    rows = table(spark, sf_dir, "events").withColumn("hour", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
+    return cut_lineage(sk.states(rows, ["hour", "event_type"], _KEPT))
+
+
+@query(
+    "distinct_rollup",
+    """SELECT date_trunc('week', ts) AS week, event_type, count(*) AS rows, count(DISTINCT user_id) AS users FROM events GROUP BY 1, 2""",
+)
+def _(spark, sf_dir):
+    """Users per week and event type, from hourly states by way of daily ones. Theta states are exact up to 16,384 users."""
+    days = cut_lineage(sk.roll_up(_hourly_states(spark, sf_dir), ["event_type"], _KEPT, "hour", "day"))
+    weeks = sk.roll_up(days, ["event_type"], _KEPT, "hour", "week")
+    return weeks.select(F.col("hour").alias("week"), "event_type", "rows", sk.distinct_estimate("t", "theta").alias("users"))
+
+
+@query(
+    "distinct_estimates",
+    """SELECT CAST(ts AS DATE) AS day, event_type, TRUE AS within FROM events GROUP BY 1, 2""",
+)
+def _(spark, sf_dir):
+    """Whether the HyperLogLog estimate of users per day, united from hours, is within 3 % of the count."""
+    days = sk.roll_up(_hourly_states(spark, sf_dir), ["event_type"], _KEPT, "hour", "day")
+    counted = table(spark, sf_dir, "events").groupBy(F.col("ts").cast("date").alias("day"), F.col("event_type").alias("_type")).agg(F.countDistinct("user_id").alias("n"))
+    both = days.select(F.col("hour").cast("date").alias("_day"), "event_type", sk.distinct_estimate("d").alias("e")).join(
+        counted, (F.col("day") == F.col("_day")) & (F.col("event_type") == F.col("_type"))
+    )
+    return both.select("day", "event_type", (F.abs(F.col("e") - F.col("n")) <= 0.03 * F.col("n")).alias("within"))
+
+
+@query(
+    "users_of_two_days",
+    """WITH u AS (SELECT DISTINCT CAST(ts AS DATE) AS day, event_type, user_id FROM events),
+p AS (SELECT DISTINCT x.day AS bucket_a, y.day AS bucket_b, x.event_type FROM u x JOIN u y ON y.day = x.day + 1 AND y.event_type = x.event_type)
+SELECT bucket_a, bucket_b, event_type, count(*) FILTER (WHERE a AND b) AS both, count(*) FILTER (WHERE a AND NOT b) AS only_a, count(*) FILTER (WHERE b AND NOT a) AS only_b
+FROM (SELECT p.*, user_id, bool_or(u.day = bucket_a) AS a, bool_or(u.day = bucket_b) AS b FROM p JOIN u ON u.event_type = p.event_type AND u.day IN (bucket_a, bucket_b)
+  GROUP BY ALL) t GROUP BY ALL""",
+)
+def _(spark, sf_dir):
+    """Users of a day and the next: both, only the first, only the second, from theta states."""
+    days = sk.roll_up(_hourly_states(spark, sf_dir), ["event_type"], _KEPT, "hour", "day").withColumn("day", F.col("hour").cast("date"))
+    days = cut_lineage(days)
+    pairs = days.select(F.col("day").alias("bucket_a")).distinct().withColumn("bucket_b", F.date_add("bucket_a", 1))
+    return sk.compared(days, "day", ["event_type"], "t", pairs)
+
+
+@query(
+    "quantile_states",
+    """SELECT event_type, rank, TRUE AS within FROM (SELECT DISTINCT event_type FROM events) e, (SELECT unnest([0.1e0, 0.25e0, 0.5e0, 0.75e0, 0.9e0]) AS rank) r""",
+)
+def _(spark, sf_dir):
+    """Whether quantiles of all days, united from hourly states, have their rank in the rows up to 1.5 %."""
+    ranks = [0.1, 0.25, 0.5, 0.75, 0.9]
+    merged = sk.roll_up(_hourly_states(spark, sf_dir), ["event_type"], _KEPT)
+    cells = F.array(*[F.struct(F.lit(r).alias("rank"), sk.quantile("q", r).alias("x")) for r in ranks])
+    found = merged.select(F.col("event_type").alias("_type"), F.inline(cells))
+    rows = table(spark, sf_dir, "events").select("event_type", "value")
+    placed = rows.join(found, F.col("event_type") == F.col("_type")).groupBy("event_type", "rank").agg(
+        (F.count_if(F.col("value") < F.col("x")) / F.count("*")).alias("below"), (F.count_if(F.col("value") <= F.col("x")) / F.count("*")).alias("upto")
+    )
+    within = (F.col("below") <= F.col("rank") + 0.015) & (F.col("upto") >= F.col("rank") - 0.015)
+    return placed.select("event_type", "rank", within.alias("within"))

@@ -86,3 +86,28 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     return _round(bids.best_configuration(_summary(spark, sf_dir), ["config", "b"]), 6)
+
+
+@query(
+    "leaderboard",
+    """WITH t AS (SELECT concat('user_', user_id) AS strategy, CAST(sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS BIGINT) AS conversions,
+  sum(value) AS cost, count(*) AS bids FROM events GROUP BY 1)
+SELECT strategy, conversions, round(cost, 6) AS cost, bids, round(cost / nullif(conversions, 0), 6) AS cost_per_conversion,
+  row_number() OVER (ORDER BY conversions DESC, cost, strategy) AS rank FROM t""",
+)
+def _(spark, sf_dir):
+    """Users stand in for strategies, purchases for conversions."""
+    results = table(spark, sf_dir, "events").select(
+        F.concat(F.lit("user_"), "user_id").alias("strategy"), (F.col("event_type") == "purchase").cast("int").alias("c"), "value", F.lit(1).alias("one")
+    )
+    return _round(bids.leaderboard(results, "strategy", "c", "value", "one"), 6)
+
+
+@query(
+    "segment_ids",
+    "SELECT concat_ws('|', event_type, CAST(user_id AS VARCHAR), CAST(day(ts) AS VARCHAR)) AS segment_id, count(*) AS rows FROM events GROUP BY 1",
+)
+def _(spark, sf_dir):
+    """Rows per segment of type, user and day."""
+    parts = [F.col("event_type"), F.col("user_id"), F.dayofmonth("ts")]
+    return table(spark, sf_dir, "events").groupBy(bids.segment_id(*parts, separator="|").alias("segment_id")).agg(F.count("*").alias("rows"))

@@ -230,3 +230,11 @@ def _(spark, sf_dir):
 @query("estimated_rows")
 def _(spark, sf_dir):
     return tables.estimate_rows(tables.file_inventory(table(spark, sf_dir, "lineitem")), 10_000_000)
+
+
+@query("footer_rows", "SELECT CAST(l_linenumber AS INTEGER) AS l_linenumber, count(*) AS rows FROM lineitem GROUP BY 1")
+def _(spark, sf_dir):
+    """Rows by partition from the footers of a partitioned copy; no column is read."""
+    path = f"{intermediate_folder(spark)}/footers-{uuid.uuid4().hex}"
+    tables.write_table(table(spark, sf_dir, "lineitem"), path, partition_by=["l_linenumber"])
+    return tables.footer_rows(spark, path, ["l_linenumber"])

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adlake.operators.running import attach, exact_percentiles
+from adlake.operators.running import attach, exact_percentiles, running_sums
 
 DECILES = {f"p{p}": p / 100 for p in range(10, 100, 10)}
 
@@ -29,6 +29,24 @@ def best_round(results: DataFrame, lineage: str, round_column: str, score: str)
     return best.select(lineage, (-F.col("_b.r")).alias("best_round"), F.col("_b.s").alias(score))
 
 
+def segment_id(*parts: Column, separator: str = "_") -> Column:
+    """Dimensions as one name; a NULL part is left out."""
+    return F.concat_ws(separator, *[p.cast("string") for p in parts])
+
+
+def leaderboard(results: DataFrame, strategy: str, conversions: str, cost: str, bids: str) -> DataFrame:
+    """One row per strategy with its totals and rank: most conversions first, then the lower cost, then the name.
+
+    Strategies are summed first; ranks are running counts over ranges of the sums, so their number may be large.
+    """
+    totals = results.groupBy(strategy).agg(
+        F.sum(conversions).cast("bigint").alias("conversions"), F.sum(cost).alias("cost"), F.sum(bids).cast("bigint").alias("bids"),
+        F.try_divide(F.sum(cost), F.sum(conversions)).alias("cost_per_conversion"),
+    )
+    ranked = running_sums(totals.withColumn("_one", F.lit(1)), [], [F.desc("conversions"), F.asc("cost"), F.asc(strategy)], {"rank": "_one"})
+    return ranked.drop("_one")
+
+
 def latency_summary(timings: DataFrame, config: Sequence[str], latency: str, batch: str, elapsed: Column) -> DataFrame:
     """Mean, p99 (sorted[floor(0.99·n)]) and samples per second for every configuration."""
     means = timings.groupBy(*config).agg(

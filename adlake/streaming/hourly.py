@@ -27,7 +27,7 @@ def stream_aggregate(
     """
     for a in aggregations:
         if a.agg_func == "count_distinct":
-            raise ValueError("count_distinct cannot be kept exactly in streaming state")
+            raise ValueError("count_distinct cannot be kept exactly in streaming state; operators.sketches.stream_states keeps an estimate")
     timed = stream.withColumn("_ts", F.col(time_column).cast("timestamp")).withWatermark("_ts", lateness)
     window = F.window("_ts", BUCKETS[bucket])
     out = timed.groupBy(window.alias("_w"), *group_by).agg(*[a.column(stream) for a in aggregations])
