@@ -12,6 +12,7 @@ from adlake.operators import embedding as em
 from adlake.operators import optimizers as opt
 from adlake.operators import training as tr
 from adlake.session import intermediate_folder
+from adlake.sources.bucketed import BucketedTable
 from adlake.sources.versions import VersionedTable
 
 DIM = 64
@@ -491,3 +492,16 @@ def _(spark, sf_dir):
     )
     out = tr.sparse_scores(_tokens(spark, sf_dir), weights, "sample")
     return out.withColumn("score", F.round("score", 7))
+
+
+@query(
+    "emb_lookup_bucketed",
+    """SELECT r.event_id, r.user_id * 7 AS token_id, CASE WHEN e.vec_id IS NULL THEN 0.0 ELSE round(CAST(e.embedding[1] AS DOUBLE), 6) END AS e0,
+  CASE WHEN e.vec_id IS NULL THEN 0.0 ELSE round(CAST(e.embedding[64] AS DOUBLE), 6) END AS e63 FROM events r LEFT JOIN embeddings e ON e.vec_id = r.user_id * 7""",
+)
+def _(spark, sf_dir):
+    """Lookups in a store that lies in buckets of its tokens: only requests shuffle."""
+    store = BucketedTable(spark, f"emb_{uuid.uuid4().hex[:12]}", ["token_id"], 16)
+    out = em.lookup(_requests(spark, sf_dir), store.save(view(spark, sf_dir, "embedding_store")), DIM)
+    first, last = F.col("embedding")[0].cast("double"), F.col("embedding")[DIM - 1].cast("double")
+    return out.select("event_id", "token_id", F.round(first, 6).alias("e0"), F.round(last, 6).alias("e63"))
