@@ -152,3 +152,18 @@ def _(spark, sf_dir):
     if store.versions() != [5]:
         raise AssertionError(store.versions())
     return store.load().select("token_id", F.round("update_count", 6).alias("update_count"), F.round(F.col("embedding")[0].cast("double"), 6).alias("e0"))
+
+
+@query(
+    "stored_model_scores",
+    """WITH m AS (SELECT regr_slope(l_extendedprice, l_quantity) AS w, regr_intercept(l_extendedprice, l_quantity) AS b FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_quantity, round(b + w * l_quantity, 3) AS prediction FROM lineitem, m""",
+)
+def _(spark, sf_dir):
+    """A fitted task is stored, loaded again and scores all rows."""
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
+    model, _ = tr.fit_task(rows, tr.TrainingTask("linear_regression", "l_extendedprice", ["l_quantity"], validation_split=0.0), "l_orderkey")
+    path = f"{intermediate_folder(spark)}/model-{uuid.uuid4().hex}"
+    tr.store_model(model, path)
+    scored = tr.stored_scores(rows.drop("l_extendedprice"), path)
+    return scored.withColumn("prediction", F.round("prediction", 3))

@@ -110,11 +110,14 @@ def period_pairs(
     counted in available periods, or in days with ``calendar``. The table is read three times, so it is written once.
     """
     daily = cut_lineage(daily.select(key, period, *metrics))
-    known = daily.agg(F.array_sort(F.collect_set(period)).alias("p")).scalar()  # as long as the list of periods
     if calendar:
-        index = F.datediff(F.col(period), F.element_at(known, 1))
+        index = F.datediff(F.col(period), daily.agg(F.min(period)).scalar())
     else:
-        index = F.array_position(known, F.col(period)).cast("int")
+        # A table as long as the list of periods, which Spark broadcasts by its size; a NULL period has no number.
+        known = daily.select(F.col(period).alias("_period")).where("_period IS NOT NULL").distinct()
+        numbers = known.withColumn("_index", F.row_number().over(Window.orderBy("_period")))
+        daily = daily.join(numbers, F.col(period) == F.col("_period"), "left")
+        index = F.col("_index")
     left = daily.select(
         key, F.col(period).alias("period_1"), index.alias("i"), *[F.col(m).alias(f"a_{m}") for m in metrics]
     )

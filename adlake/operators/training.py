@@ -412,6 +412,18 @@ def fit_task(df: DataFrame, task: TrainingTask, id_column: str) -> tuple[Pipelin
     return model, model.transform(held_out)
 
 
+def store_model(model: PipelineModel, path: str) -> None:
+    """Write a fitted task to a folder that all executors share."""
+    model.write().overwrite().save(path)
+
+
+def stored_scores(df: DataFrame, path: str) -> DataFrame:
+    """Score rows with a stored task; the columns it fills and assembles are dropped again."""
+    scored = PipelineModel.load(path).transform(df)
+    kept = [c for c in ("prediction", "probability") if c in scored.columns]
+    return scored.select(*df.columns, *kept)
+
+
 def linear_score(df: DataFrame, weights: Mapping[str, float], bias: float = 0.0, output: str = "score") -> DataFrame:
     """Σ w·x + b from a small weight map, as plain arithmetic."""
     terms = [F.col(c) * F.lit(float(w)) for c, w in weights.items()]

@@ -184,6 +184,17 @@ def test_mllib_task(spark, samples):
         tr.fit_task(samples, tr.TrainingTask("tarot", "label", ["x"]), "sid")
 
 
+def test_stored_task_scores_like_the_fitted_one(spark, samples):
+    task = tr.TrainingTask("logistic_regression", "label", ["x"], ["site"], {"maxIter": 5}, 0.25, 3)
+    fitted, _ = tr.fit_task(samples, task, "sid")
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    tr.store_model(fitted, path)
+    got = tr.stored_scores(samples.drop("label"), path)
+    assert got.columns == ["sid", "tags", "site", "x", "prediction", "probability"]
+    want = {r.sid: r.probability for r in fitted.transform(samples).collect()}
+    assert {r.sid: r.probability for r in got.collect()} == want
+
+
 def test_null_lists_and_tokens_lose_nothing(spark):
     from adlake.operators import embedding
 
