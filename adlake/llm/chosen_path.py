@@ -41,7 +41,7 @@ TREES = 6
 BRANCHES = 2.0  # children of a document at a node, on average
 FIRST_DEPTH = 2  # levels computed with the sketch
 MOST_DEPTH = 12  # deeper nodes are compared whatever their size
-SMALL = 1024  # documents of a node that are compared with one another in one task
+SMALL = 4096  # documents of a node that are compared with one another in one task
 TEXT_BYTES = 1 << 19  # bytes of text of a numpy step
 
 _ODD = mix(np.arange(1, COORDINATES + 1, dtype=np.uint64)) | np.uint64(1)
@@ -247,7 +247,7 @@ def all_pairs(members: DataFrame) -> DataFrame:
         F.sequence(F.lit(0), F.col("sides") - 1),
         lambda k: F.struct(F.least(k, F.col("side")).alias("i"), F.greatest(k, F.col("side")).alias("j")),
     )
-    cells = members.drop("sketch").withColumn("_cell", F.explode(other)).select("*", "_cell.i", "_cell.j").drop("_cell")
+    cells = members.withColumn("_cell", F.explode(other)).select("*", "_cell.i", "_cell.j").drop("_cell")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups_of(batches, ["node", "i", "j"]):
@@ -392,14 +392,14 @@ def link(docs: DataFrame, shingle: int = SHINGLE, trees: int = TREES, small: int
     looked = cut_lineage(may_link(first, named))
     known = cut_lineage(components(equal.unionByName(verified(docs, looked, shingle))))
 
-    open_ = leaves(nodes, named, known, small)
-    for propose in (central_pairs, all_pairs):
-        members = members_of(open_, named, small)
-        fresh = cut_lineage(propose(members).join(looked, ["a", "b"], "left_anti"))
-        if not fresh.isEmpty():
-            known = connected(known, verified(docs, fresh, shingle))
-            looked = looked.unionByName(fresh)
-        open_ = cut_lineage(mixed(open_, known).select("node", "doc_id", "c", "m"))
+    members = cut_lineage(members_of(leaves(nodes, named, known, small), named, small))
+    fresh = cut_lineage(central_pairs(members).join(looked, ["a", "b"], "left_anti"))
+    if not fresh.isEmpty():
+        known = connected(known, verified(docs, fresh, shingle))
+        looked = looked.unionByName(fresh)
+    fresh = cut_lineage(all_pairs(mixed(members.drop("sketch"), known)).join(looked, ["a", "b"], "left_anti"))
+    if not fresh.isEmpty():
+        known = connected(known, verified(docs, fresh, shingle))
     return info.select("doc_id", "n"), known
 
 
