@@ -7,7 +7,8 @@ first order, thinned by size and place of the shared token and by parity signatu
 only formed when both texts are at hand, beside the full sets, so they spare no work.
 
 Large groups of copies must not become pairs. Equal sets are one group by their 128-bit hash. Next, every document is
-compared with one other that has the same least token, under each of four hashes; verified links give first components.
+compared with one other that has the same least token, under each of four hashes, and then with the one in the middle of all
+documents with the token, by parity signatures; verified links give first components.
 The index then only yields pairs of different components, which loses no component: a pair inside one is connected
 already. One document of each component stands for it under a token at first; then all pairs of what is still apart.
 
@@ -36,6 +37,7 @@ from adlake.session import cut_lineage
 SHINGLE = 5
 ORDERS = 3
 LEAST = 4  # hashes whose least tokens propose first pairs
+TEXT_BYTES = 1 << 19  # bytes of text of a numpy step; arrays over its bytes take many times that
 SIMILAR = (75, 100)
 COUNTERS = 1 << 22  # most counters of the sketch
 PART = 1 << 16  # counters per row of the sketch
@@ -110,7 +112,7 @@ def profile(docs: DataFrame, counters: int, shingle: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, codes, seen = Powers(), byte_codes(), np.zeros(counters, np.uint32)
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", TEXT_BYTES):
                 sets = sets_of(batch.column("text"), powers, codes, shingle)
                 seen += np.bincount(order_hash(sets.tokens, 7) % np.uint64(counters), minlength=counters).astype(np.uint32)
                 sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(order_hash(sets.tokens, k))]) for k in (8, 9)]
@@ -180,7 +182,7 @@ def index_entries(docs: DataFrame, shared, shingle: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, codes, classes = Powers(), byte_codes(), shared.value
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", TEXT_BYTES):
                 sets = sets_of(batch.column("text"), powers, codes, shingle)
                 order, token_class = ranked(sets, classes, 0)
                 row = sets.rows()
@@ -232,7 +234,7 @@ def least_tokens(docs: DataFrame, shingle: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, codes = Powers(), byte_codes()
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", TEXT_BYTES):
                 sets = sets_of(batch.column("text"), powers, codes, shingle)
                 full = np.flatnonzero(sets.sizes())
                 for number in range(LEAST if len(full) else 0):
@@ -283,8 +285,8 @@ def verified(docs: DataFrame, pairs: DataFrame, shared, shingle: int) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, codes, classes = Powers(), byte_codes(), shared.value
         for whole in batches:
-            for half in slices(whole, "text_a"):
-                for batch in slices(half, "text_b"):
+            for half in slices(whole, "text_a", TEXT_BYTES):
+                for batch in slices(half, "text_b", TEXT_BYTES):
                     sides = [sets_of(batch.column(c), powers, codes, shingle) for c in ("text_a", "text_b")]
                     sizes, rows = [s.sizes() for s in sides], batch.num_rows
                     candidate = np.ones(rows, bool)
@@ -379,6 +381,45 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator
         yield held
 
 
+def medoid(bits: pa.Array) -> int:
+    """The row whose parity signature differs least from all others, the first of equals."""
+    offsets, words = np.asarray(bits.offsets), np.asarray(bits.values).view(np.uint64)
+    width = int(np.diff(offsets).min())
+    folded = np.stack([np.bitwise_xor.reduce(words[a:b].reshape(-1, width)) for a, b in zip(offsets[:-1], offsets[1:])])
+    return int(np.argmin([np.bitwise_count(folded ^ row).sum(dtype=np.int64) for row in folded]))
+
+
+def central_pairs(least: DataFrame, known: DataFrame, info: DataFrame) -> DataFrame:
+    """(a, b): of documents with the same least token, those of other components with the one in their middle.
+
+    Copies with edits of their own are often too far from one another, but near the text they were made from. The number of pairs
+    is that of the rows at most. A token with many documents is cut into blocks with a middle each.
+    """
+    keys = ["order", "token"]
+    own = least.join(known.select(F.col("id").alias("_id"), "component"), F.col("doc_id") == F.col("_id"), "left")
+    placed = cut_lineage(own.select(*keys, "doc_id", F.coalesce("component", "doc_id").alias("c")))
+    mixed = placed.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.min("c").alias("_lo"), F.max("c").alias("_hi"), F.count("*").alias("_m"))
+    mixed = cut_lineage(mixed.where("_lo < _hi AND _m > 2").select("_order", "_token", F.ceil(F.col("_m") / BLOCK).cast("int").alias("_blocks")))
+    rows = placed.join(mixed, (F.col("order") == F.col("_order")) & (F.col("token") == F.col("_token")))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("_blocks")).cast("int")).select(*keys, "block", "doc_id", "c")
+    rows = rows.join(info.select(F.col("doc_id").alias("_id"), "bits"), F.col("doc_id") == F.col("_id")).drop("_id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in whole_groups(batches, [*keys, "block"]):
+            edges = edges_of(batch, [*keys, "block"])
+            for start, end in zip(edges[:-1].tolist(), edges[1:].tolist()):
+                group = batch.slice(start, end - start)
+                doc, c = (group.column(k).to_numpy(zero_copy_only=False) for k in ("doc_id", "c"))
+                middle = medoid(group.column("bits"))
+                others = doc[c != c[middle]]
+                centre = np.full(len(others), doc[middle], doc.dtype)
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(others, centre)), pa.array(np.maximum(others, centre))], ["a", "b"])
+
+    kind = least.schema["doc_id"].dataType.simpleString()
+    ordered = rows.repartition(*keys, "block").sortWithinPartitions(*keys, "block", "doc_id")
+    return ordered.mapInArrow(run, f"a {kind}, b {kind}").distinct()
+
+
 PAIRS_AT_ONCE = 1 << 21
 
 
@@ -416,10 +457,13 @@ def link(docs: DataFrame, shingle: int = SHINGLE) -> tuple[DataFrame, DataFrame]
     shared = spark.sparkContext.broadcast(merged_sketch(both.where("part IS NOT NULL").select("part", "counts"), counters))
     named = info.where("doc_id IS NOT NULL AND n > 0").dropDuplicates(["doc_id"])
     equal = cut_lineage(stars(named.select("doc_id", "n", "k1", "k2"), ["n", "k1", "k2"]))
-    near = cut_lineage(close_enough(stars(least_tokens(docs, shingle).where("doc_id IS NOT NULL"), ["order", "token"])
-                                    .join(equal, ["a", "b"], "left_anti"), named))
+    least = cut_lineage(least_tokens(docs.where("doc_id IS NOT NULL"), shingle))
+    near = cut_lineage(close_enough(stars(least, ["order", "token"]).join(equal, ["a", "b"], "left_anti"), named))
     first = equal.unionByName(verified(docs, near, shared, shingle))
     known = cut_lineage(components(first))
+    middle = cut_lineage(close_enough(central_pairs(least, known, named).join(near, ["a", "b"], "left_anti"), named))
+    if not middle.isEmpty():
+        known = connected(known, verified(docs, middle, shared, shingle))
     entries = cut_lineage(shared_entries(index_entries(docs.where("doc_id IS NOT NULL"), shared, shingle)))
     looked = cut_lineage(close_enough(across(entries, known, one_each=True), named))
     known = connected(known, verified(docs, looked, shared, shingle))
