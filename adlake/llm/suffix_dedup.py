@@ -32,6 +32,7 @@ from adlake.session import cut_lineage
 
 SPAN = 100
 GRAM = 32
+TEXT_BYTES = 1 << 19  # bytes of text of a numpy step; a dozen arrays of eight bytes for each of them are made
 PLACE_BITS = 28
 LONGEST = 1 << 27  # a longer text is looked at in pieces that overlap
 SHARD_BYTES = 1 << 20  # contexts sorted at a time; owners with more are not sorted, see ``repeats_of_hot_owners``
@@ -83,7 +84,7 @@ def owner_counts(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, codes = Powers(), byte_codes()
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", TEXT_BYTES):
                 for data, offsets, _ in pieces_of(batch):
                     key, n = np.unique(runs_of(data, offsets, powers, codes)[3], return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], ["key", "n"])
@@ -100,7 +101,7 @@ def emit_runs(docs: DataFrame, owners: IdFilter, contexts: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, codes, bits, mask = Powers(), byte_codes(), shared.value, np.uint64(size - 1)
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", TEXT_BYTES):
                 for data, offsets, base in pieces_of(batch):
                     row, start, strings, key, context = runs_of(data, offsets, powers, codes)
                     slots = [(k & mask).astype(np.int64) for k in (key, key >> np.uint64(32))]
