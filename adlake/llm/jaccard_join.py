@@ -201,6 +201,29 @@ def index_entries(docs: DataFrame, shared, shingle: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"token bigint, salt int, doc_id {kind}, n int, place int")
 
 
+def heads(docs: DataFrame, shared, shingle: int) -> DataFrame:
+    """(doc_id, h1, h2, ...): the prefix tokens of every document under each further order, 32 bits of each."""
+    names = [f"h{k}" for k in range(1, ORDERS)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers, codes, classes = Powers(), byte_codes(), shared.value
+        for whole in batches:
+            for batch in slices(whole, "text", TEXT_BYTES):
+                sets = sets_of(batch.column("text"), powers, codes, shingle)
+                used, row = prefix_sizes(sets.sizes()), sets.rows()
+                ends = pa.array(np.concatenate([[0], np.cumsum(used)]), pa.int32())
+                lists = []
+                for number in range(1, ORDERS):
+                    order, _ = ranked(sets, classes, number)
+                    picked = order[np.arange(len(row)) - sets.firsts[:-1][row] < used[row]]
+                    lists.append(pa.ListArray.from_arrays(ends, pa.array(sets.tokens[picked].astype(np.uint32).view(np.int32))))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *lists], ["doc_id", *names])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    made = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"{h} array<int>" for h in names))
+    return made.dropDuplicates(["doc_id"])
+
+
 def shared_entries(entries: DataFrame) -> DataFrame:
     """Entries whose token another document has too. Salted tokens, frequent by the sketch, stay without a look."""
     keys = ["token", "salt"]
@@ -298,8 +321,9 @@ def verified(docs: DataFrame, pairs: DataFrame, shared, shingle: int) -> DataFra
                             head = np.arange(len(row)) - s.firsts[:-1][row] < prefix_sizes(s.sizes())[row]
                             heads.append((s.tokens[order[head]], row[head]))
                         candidate &= common(heads, rows) > 0
-                    inside = common([(s.tokens, s.rows()) for s in sides], rows)
-                    linked = candidate & (inside * whole_part >= part * (sizes[0] + sizes[1] - inside)) & (inside > 0)
+                    left = [(s.tokens, s.rows()) for s in sides]
+                    inside = common([(tokens[candidate[row]], row[candidate[row]]) for tokens, row in left], rows)
+                    linked = (inside * whole_part >= part * (sizes[0] + sizes[1] - inside)) & (inside > 0)
                     yield batch.select(["a", "b"]).filter(pa.array(linked))
 
     return both.mapInArrow(run, pairs.schema)
@@ -324,8 +348,11 @@ def stars(table: DataFrame, keys: list[str]) -> DataFrame:
 BLOCK = 1024  # documents of a token that one pairing step holds
 
 
-def across(entries: DataFrame, known: DataFrame, one_each: bool) -> DataFrame:
-    """(a, b): pairs of different components that share an index token and may overlap enough by size and place.
+def across(entries: DataFrame, known: DataFrame, info: DataFrame, texts: DataFrame, shared, shingle: int, one_each: bool) -> DataFrame:
+    """(a, b): pairs of different components that pass the filters of all orders and may overlap enough by size, place and parity.
+
+    The first order's index brings rows together; those of tokens with several components carry their prefixes under the further
+    orders and their parity signatures, so that a pair no filter lets through is never a row.
 
     ``one_each`` takes one document of each component for a token, a first look that connects most of what belongs
     together; without it, all pairs are looked at. A token with many documents is cut into blocks, and each task pairs two blocks.
@@ -339,13 +366,19 @@ def across(entries: DataFrame, known: DataFrame, one_each: bool) -> DataFrame:
     placed = cut_lineage(placed)
     mixed = placed.groupBy("token").agg(F.min("c").alias("_lo"), F.max("c").alias("_hi"), F.count("*").alias("_n")).where("_lo < _hi")
     mixed = cut_lineage(mixed.select(F.col("token").alias("_t"), F.ceil(F.col("_n") / BLOCK).cast("int").alias("_blocks")))
-    rows = placed.join(mixed, F.col("token") == F.col("_t")).drop("_t")
+    rows = cut_lineage(placed.join(mixed, F.col("token") == F.col("_t")).drop("_t"))
+    wanted = IdFilter(rows.select("doc_id").distinct(), "doc_id").may_hold(F.col("doc_id"))
+    sides = info.where(wanted).select(F.col("doc_id").alias("_id"), "bits").join(
+        heads(texts.where(wanted), shared, shingle).withColumnRenamed("doc_id", "_h"), F.col("_id") == F.col("_h")
+    )
+    further = [f"h{k}" for k in range(1, ORDERS)]
+    rows = rows.join(sides, F.col("doc_id") == F.col("_id")).drop("_id", "_h")
     rows = rows.withColumn("_block", F.pmod(F.xxhash64("doc_id"), F.col("_blocks")).cast("int"))
     cells = F.transform(
         F.sequence(F.lit(0), F.col("_blocks") - 1),
         lambda i: F.struct(F.least(i, F.col("_block")).alias("i"), F.greatest(i, F.col("_block")).alias("j")),
     )
-    dealt = rows.withColumn("_cell", F.explode(cells)).select("token", "doc_id", "n", "place", "c", "_block", "_cell.i", "_cell.j")
+    dealt = rows.withColumn("_cell", F.explode(cells)).select("token", "doc_id", "n", "place", "c", "_block", "_cell.i", "_cell.j", "bits", *further)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in whole_groups(batches, ["token", "i", "j"]):
@@ -420,12 +453,79 @@ def central_pairs(least: DataFrame, known: DataFrame, info: DataFrame) -> DataFr
     return ordered.mapInArrow(run, f"a {kind}, b {kind}").distinct()
 
 
-PAIRS_AT_ONCE = 1 << 21
+PAIRS_AT_ONCE = 1 << 18
+WORDS_AT_ONCE = 1 << 20  # words of signatures that one step compares
+SKETCH = 4096  # bits of the sketch of a prefix
+
+
+def lists_of(column: pa.Array, kind) -> tuple[np.ndarray, np.ndarray]:
+    """Values of a list column, and where each row starts."""
+    return np.asarray(column.values).view(kind), np.asarray(column.offsets).astype(np.int64)
+
+
+def rows_of(values: np.ndarray, offsets: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Values of the rows ``at``, one row after another, and the number in ``at`` that each is of."""
+    sizes = offsets[at + 1] - offsets[at]
+    row = np.repeat(np.arange(len(at)), sizes)
+    return values[np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + offsets[at][row]], row
+
+
+class FurtherOrders:
+    """Whether the prefixes of two rows meet under each further order: sketches first, then the tokens themselves."""
+
+    def __init__(self, columns: list[pa.Array]):
+        self.lists = [lists_of(c, np.uint32) for c in columns]
+        self.sketches = []
+        for values, offsets in self.lists:
+            tokens, row = rows_of(values, offsets, np.arange(len(offsets) - 1))
+            bits = np.zeros((len(offsets) - 1, SKETCH // 64), np.uint64)
+            np.bitwise_or.at(bits, (row, tokens % SKETCH >> 6), np.uint64(1) << (tokens & 63).astype(np.uint64))
+            self.sketches.append(bits)
+
+    def may_meet(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        ok, step = np.ones(len(x), bool), WORDS_AT_ONCE * 64 // SKETCH
+        for at in range(0, len(x), step):
+            cut = slice(at, at + step)
+            for bits in self.sketches:
+                ok[cut] &= (bits[x[cut]] & bits[y[cut]]).any(1)
+        return ok
+
+    def meet(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        ok = np.ones(len(x), bool)
+        for values, offsets in self.lists:
+            ok &= common([rows_of(values, offsets, side) for side in (x, y)], len(x)) > 0
+        return ok
+
+
+class Signatures:
+    """Parity signatures of rows, folded to each narrower width."""
+
+    def __init__(self, column: pa.Array):
+        values, offsets = lists_of(column, np.uint64)
+        self.width = np.diff(offsets)
+        self.folded, self.line = {}, {}
+        for width in np.unique(self.width).tolist():
+            fit = np.flatnonzero(self.width >= width)
+            rows = [np.bitwise_xor.reduce(values[offsets[r] : offsets[r + 1]].reshape(-1, width)) for r in fit]
+            self.folded[width], self.line[width] = np.stack(rows), np.cumsum(self.width >= width) - 1
+
+    def apart(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Bits in which two rows differ, at the narrower width: no more than the tokens that one of them has alone."""
+        width, out = np.minimum(self.width[x], self.width[y]), np.zeros(len(x), np.int64)
+        for w, folded in self.folded.items():
+            which, line = np.flatnonzero(width == w), self.line[w]
+            for at in range(0, len(which), WORDS_AT_ONCE // w):
+                some = which[at : at + WORDS_AT_ONCE // w]
+                out[some] = np.bitwise_count(folded[line[x[some]]] ^ folded[line[y[some]]]).sum(1, dtype=np.int64)
+        return out
 
 
 def pairs_within(batch: pa.RecordBatch, part: int, whole: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of rows of a group, of different components and from its two blocks, that size and place allow."""
-    doc, n, place, c, block, i, j = (batch.column(k).to_numpy() for k in ("doc_id", "n", "place", "c", "_block", "i", "j"))
+    """Pairs of rows of a group, of different components and from its two blocks, that no filter rules out."""
+    names = ("doc_id", "n", "place", "c", "_block", "i", "j")
+    doc, n, place, c, block, i, j = (batch.column(k).to_numpy(zero_copy_only=False) for k in names)
+    orders = FurtherOrders([batch.column(f"h{k}") for k in range(1, ORDERS)])
+    signatures = Signatures(batch.column("bits"))
     edges = edges_of(batch, ["token", "i", "j"])
     later = np.repeat(edges[1:], np.diff(edges)) - np.arange(batch.num_rows) - 1
     upto = np.concatenate([[0], np.cumsum(later)])
@@ -438,11 +538,30 @@ def pairs_within(batch: pa.RecordBatch, part: int, whole: int) -> Iterator[pa.Re
         shared = np.minimum(place[x], place[y]) + np.minimum(n[x] - place[x], n[y] - place[y])
         ok = (c[x] != c[y]) & (least * whole >= most * part) & (shared * (whole + part) >= part * (least + most))
         ok &= (i[x] == j[x]) | (block[x] != block[y])
+        x, y = x[ok], y[ok]
+        ok = orders.may_meet(x, y)
+        x, y = x[ok], y[ok]
+        ok = signatures.apart(x, y) * (whole + part) <= (n[x].astype(np.int64) + n[y]) * (whole - part)
+        x, y = x[ok], y[ok]
+        ok = orders.meet(x, y)
         a, b = doc[x[ok]], doc[y[ok]]
         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
         row = end
 
 
+def without_copies(docs: DataFrame, named: DataFrame, equal: DataFrame) -> DataFrame:
+    """``docs`` less documents whose set equals that of a smaller id, without a shuffle of texts; a few may stay.
+
+    A Bloom filter of copies drops rows; a second one, of the ids that the first takes for copies by mistake, brings those back.
+    """
+    copies = equal.select(F.col("b").alias("_id")).distinct()
+    first = IdFilter(copies, "_id")
+    mistaken = named.where(first.may_hold(F.col("doc_id"))).join(copies, F.col("doc_id") == F.col("_id"), "left_anti")
+    second = IdFilter(cut_lineage(mistaken.select(F.col("doc_id").alias("_id"))), "_id")
+    tested = docs.withColumn("_copy", first.may_hold(F.col("doc_id"))).withColumn("_back", second.may_hold(F.col("doc_id")))
+    return tested.where("NOT _copy OR _back").drop("_copy", "_back")
+
+
 def counter_number(rows: int, most: int = COUNTERS) -> int:
     """Counters of the sketch: about 64 for a document, a power of two, at most ``most``."""
     return min(most, max(PART, 1 << (64 * max(1, rows) - 1).bit_length()))
@@ -457,17 +576,18 @@ def link(docs: DataFrame, shingle: int = SHINGLE) -> tuple[DataFrame, DataFrame]
     shared = spark.sparkContext.broadcast(merged_sketch(both.where("part IS NOT NULL").select("part", "counts"), counters))
     named = info.where("doc_id IS NOT NULL AND n > 0").dropDuplicates(["doc_id"])
     equal = cut_lineage(stars(named.select("doc_id", "n", "k1", "k2"), ["n", "k1", "k2"]))
-    least = cut_lineage(least_tokens(docs.where("doc_id IS NOT NULL"), shingle))
+    single = without_copies(docs.where("doc_id IS NOT NULL").select("doc_id", "text"), named, equal)
+    least = cut_lineage(least_tokens(single, shingle))
     near = cut_lineage(close_enough(stars(least, ["order", "token"]).join(equal, ["a", "b"], "left_anti"), named))
     first = equal.unionByName(verified(docs, near, shared, shingle))
     known = cut_lineage(components(first))
     middle = cut_lineage(close_enough(central_pairs(least, known, named).join(near, ["a", "b"], "left_anti"), named))
     if not middle.isEmpty():
         known = connected(known, verified(docs, middle, shared, shingle))
-    entries = cut_lineage(shared_entries(index_entries(docs.where("doc_id IS NOT NULL"), shared, shingle)))
-    looked = cut_lineage(close_enough(across(entries, known, one_each=True), named))
+    entries = cut_lineage(shared_entries(index_entries(single, shared, shingle)))
+    looked = cut_lineage(across(entries, known, named, single, shared, shingle, one_each=True))
     known = connected(known, verified(docs, looked, shared, shingle))
-    rest = close_enough(across(entries, known, one_each=False), named).join(looked, ["a", "b"], "left_anti")
+    rest = across(entries, known, named, single, shared, shingle, one_each=False).join(looked, ["a", "b"], "left_anti")
     rest = cut_lineage(rest)
     return info.select("doc_id", "n"), known if rest.isEmpty() else connected(known, verified(docs, rest, shared, shingle))
 
@@ -488,7 +608,7 @@ def keep(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """``docs`` less every document that is not the smallest id of its component."""
     _, known = link(docs, shingle)
     gone = cut_lineage(known.where("id != component").select(F.col("id").alias("_id")))
-    suspect = IdFilter(gone, "_id").may_hold(F.coalesce("doc_id", F.lit(-1)))
+    suspect = IdFilter(gone, "_id").may_hold(F.col("doc_id"))
     marked = docs.withColumn("_gone", suspect)
     looked = marked.where("_gone").join(gone, F.col("doc_id") == F.col("_id"), "left_anti")
     return marked.where("NOT _gone").unionByName(looked).select(*docs.columns)
