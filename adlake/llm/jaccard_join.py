@@ -346,13 +346,15 @@ def stars(table: DataFrame, keys: list[str]) -> DataFrame:
 
 
 BLOCK = 1024  # documents of a token that one pairing step holds
+CROWD = 64  # documents of a token from which on its rows carry what rules pairs out
 
 
 def across(entries: DataFrame, known: DataFrame, info: DataFrame, texts: DataFrame, shared, shingle: int, one_each: bool) -> DataFrame:
     """(a, b): pairs of different components that pass the filters of all orders and may overlap enough by size, place and parity.
 
-    The first order's index brings rows together; those of tokens with several components carry their prefixes under the further
-    orders and their parity signatures, so that a pair no filter lets through is never a row.
+    The first order's index brings rows together. Rows of tokens with ``CROWD`` rows or more carry their prefixes under the further
+    orders and their parity signatures, so that a pair that a filter drops is never a row there; fewer rows have less than
+    ``CROWD`` pairs each, which are looked up and meet the further orders in :func:`verified`. The results are the same.
 
     ``one_each`` takes one document of each component for a token, a first look that connects most of what belongs
     together; without it, all pairs are looked at. A token with many documents is cut into blocks, and each task pairs two blocks.
@@ -365,26 +367,36 @@ def across(entries: DataFrame, known: DataFrame, info: DataFrame, texts: DataFra
         placed = placed.groupBy("token", "c").agg(first).select("token", "_r.doc_id", "_r.n", "_r.place", "c")
     placed = cut_lineage(placed)
     mixed = placed.groupBy("token").agg(F.min("c").alias("_lo"), F.max("c").alias("_hi"), F.count("*").alias("_n")).where("_lo < _hi")
-    mixed = cut_lineage(mixed.select(F.col("token").alias("_t"), F.ceil(F.col("_n") / BLOCK).cast("int").alias("_blocks")))
-    rows = cut_lineage(placed.join(mixed, F.col("token") == F.col("_t")).drop("_t"))
-    wanted = IdFilter(rows.select("doc_id").distinct(), "doc_id").may_hold(F.col("doc_id"))
-    sides = info.where(wanted).select(F.col("doc_id").alias("_id"), "bits").join(
-        heads(texts.where(wanted), shared, shingle).withColumnRenamed("doc_id", "_h"), F.col("_id") == F.col("_h")
-    )
-    further = [f"h{k}" for k in range(1, ORDERS)]
-    rows = rows.join(sides, F.col("doc_id") == F.col("_id")).drop("_id", "_h")
+    mixed = cut_lineage(mixed.select(F.col("token").alias("_t"), "_n", F.ceil(F.col("_n") / BLOCK).cast("int").alias("_blocks")))
+    rows = placed.join(mixed, F.col("token") == F.col("_t")).drop("_t")
     rows = rows.withColumn("_block", F.pmod(F.xxhash64("doc_id"), F.col("_blocks")).cast("int"))
+    pairs = close_enough(paired(rows.where(F.col("_n") < CROWD)), info)
+    crowd = cut_lineage(rows.where(F.col("_n") >= CROWD))
+    if not crowd.isEmpty():
+        wanted = IdFilter(crowd.select("doc_id").distinct(), "doc_id").may_hold(F.col("doc_id"))
+        sides = info.where(wanted).select(F.col("doc_id").alias("_id"), "bits").join(
+            heads(texts.where(wanted), shared, shingle).withColumnRenamed("doc_id", "_h"), F.col("_id") == F.col("_h")
+        )
+        pairs = pairs.unionByName(paired(crowd.join(sides, F.col("doc_id") == F.col("_id"))))
+    return pairs.distinct()
+
+
+def paired(rows: DataFrame) -> DataFrame:
+    """(a, b) of rows with the same token. A task pairs two blocks of it."""
+    part, whole = SIMILAR
     cells = F.transform(
         F.sequence(F.lit(0), F.col("_blocks") - 1),
         lambda i: F.struct(F.least(i, F.col("_block")).alias("i"), F.greatest(i, F.col("_block")).alias("j")),
     )
-    dealt = rows.withColumn("_cell", F.explode(cells)).select("token", "doc_id", "n", "place", "c", "_block", "_cell.i", "_cell.j", "bits", *further)
+    further = ["bits", *[f"h{k}" for k in range(1, ORDERS)]] if "bits" in rows.columns else []
+    dealt = rows.withColumn("_cell", F.explode(cells))
+    dealt = dealt.select("token", "doc_id", "n", "place", "c", "_block", "_cell.i", "_cell.j", *further)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in whole_groups(batches, ["token", "i", "j"]):
             yield from pairs_within(batch, part, whole)
 
-    kind = entries.schema["doc_id"].dataType.simpleString()
+    kind = rows.schema["doc_id"].dataType.simpleString()
     ordered = dealt.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
     return ordered.mapInArrow(run, f"a {kind}, b {kind}").distinct()
 
@@ -524,8 +536,10 @@ def pairs_within(batch: pa.RecordBatch, part: int, whole: int) -> Iterator[pa.Re
     """Pairs of rows of a group, of different components and from its two blocks, that no filter rules out."""
     names = ("doc_id", "n", "place", "c", "_block", "i", "j")
     doc, n, place, c, block, i, j = (batch.column(k).to_numpy(zero_copy_only=False) for k in names)
-    orders = FurtherOrders([batch.column(f"h{k}") for k in range(1, ORDERS)])
-    signatures = Signatures(batch.column("bits"))
+    carried = "bits" in batch.schema.names
+    if carried:
+        orders = FurtherOrders([batch.column(f"h{k}") for k in range(1, ORDERS)])
+        signatures = Signatures(batch.column("bits"))
     edges = edges_of(batch, ["token", "i", "j"])
     later = np.repeat(edges[1:], np.diff(edges)) - np.arange(batch.num_rows) - 1
     upto = np.concatenate([[0], np.cumsum(later)])
@@ -539,12 +553,14 @@ def pairs_within(batch: pa.RecordBatch, part: int, whole: int) -> Iterator[pa.Re
         ok = (c[x] != c[y]) & (least * whole >= most * part) & (shared * (whole + part) >= part * (least + most))
         ok &= (i[x] == j[x]) | (block[x] != block[y])
         x, y = x[ok], y[ok]
-        ok = orders.may_meet(x, y)
-        x, y = x[ok], y[ok]
-        ok = signatures.apart(x, y) * (whole + part) <= (n[x].astype(np.int64) + n[y]) * (whole - part)
-        x, y = x[ok], y[ok]
-        ok = orders.meet(x, y)
-        a, b = doc[x[ok]], doc[y[ok]]
+        if carried:
+            ok = orders.may_meet(x, y)
+            x, y = x[ok], y[ok]
+            ok = signatures.apart(x, y) * (whole + part) <= (n[x].astype(np.int64) + n[y]) * (whole - part)
+            x, y = x[ok], y[ok]
+            ok = orders.meet(x, y)
+            x, y = x[ok], y[ok]
+        a, b = doc[x], doc[y]
         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
         row = end
 

@@ -99,9 +99,10 @@ def brute_jaccard(corpus):
     return {i: (len(sets[i]), find(parent, i)) for i in sets}
 
 
-@pytest.mark.parametrize("block", [jaccard_join.BLOCK, 8])
-def test_jaccard_components(docs, corpus, block, monkeypatch):
+@pytest.mark.parametrize("block, crowd", [(jaccard_join.BLOCK, jaccard_join.CROWD), (8, 2)])
+def test_jaccard_components(docs, corpus, block, crowd, monkeypatch):
     monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    monkeypatch.setattr(jaccard_join, "CROWD", crowd)  # at 2, every row carries its further prefixes and its signature
     want = brute_jaccard(corpus)
     table = docs(corpus)
     got = jaccard_join.join(table).collect()
