@@ -34,14 +34,26 @@ def segment_id(*parts: Column, separator: str = "_") -> Column:
     return F.concat_ws(separator, *[p.cast("string") for p in parts])
 
 
+def exact_sum(column: str) -> Column:
+    """Σ as a double that does not depend on the order of the rows: values are added as decimals with 18 digits after the point.
+
+    Values from 1e14 on, infinities and NaN are added as doubles, as is everything once the decimal sum overflows.
+    """
+    value = F.col(column).cast("double")
+    exact = value.try_cast("decimal(32,18)")
+    summed = F.try_sum(exact).cast("double") + F.coalesce(F.sum(F.when(exact.isNull(), value)), F.lit(0.0))
+    return F.coalesce(summed, F.sum(value))
+
+
 def leaderboard(results: DataFrame, strategy: str, conversions: str, cost: str, bids: str) -> DataFrame:
     """One row per strategy with its totals and rank: most conversions first, then the lower cost, then the name.
 
-    Strategies are summed first; ranks are running counts over ranges of the sums, so their number may be large.
+    Strategies are summed first; ranks are running counts over ranges of the sums, so their number may be large. Costs are summed exactly,
+    so strategies with the same costs in another order tie and go by name.
     """
     totals = results.groupBy(strategy).agg(
-        F.sum(conversions).cast("bigint").alias("conversions"), F.sum(cost).alias("cost"), F.sum(bids).cast("bigint").alias("bids"),
-        F.try_divide(F.sum(cost), F.sum(conversions)).alias("cost_per_conversion"),
+        F.sum(conversions).cast("bigint").alias("conversions"), exact_sum(cost).alias("cost"), F.sum(bids).cast("bigint").alias("bids"),
+        F.try_divide(exact_sum(cost), F.sum(conversions)).alias("cost_per_conversion"),
     )
     ranked = running_sums(totals.withColumn("_one", F.lit(1)), [], [F.desc("conversions"), F.asc("cost"), F.asc(strategy)], {"rank": "_one"})
     return ranked.drop("_one")

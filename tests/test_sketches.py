@@ -127,6 +127,14 @@ def test_leaderboard_and_segments(spark):
     assert named.first().s == "iOS_3"
 
 
+def test_equal_costs_in_another_order_tie(spark):
+    """Summed as doubles, 0.1 + 0.2 + 0.3 is more than 0.3 + 0.2 + 0.1, so b would come before a."""
+    costs = {"a": [0.1, 0.2, 0.3], "b": [0.3, 0.2, 0.1], "c": [1e300, 1.0], "d": [None], "e": [0.6, float("inf")]}
+    data = [(s, 1 if i == 0 else 0, p, 1) for s, ps in costs.items() for i, p in enumerate(ps)]
+    board = bids.leaderboard(spark.createDataFrame(data, "s string, c int, p double, b int").coalesce(1), "s", "c", "p", "b").orderBy("rank").collect()
+    assert [(r.s, r.cost) for r in board] == [("d", None), ("a", 0.6), ("b", 0.6), ("c", 1e300), ("e", float("inf"))]
+
+
 def test_stability_matrix_takes_all_days(spark):
     daily = spark.createDataFrame([("e", "2024-01-02", 0.5), ("e", "2024-01-03", 1.0), ("f", "2024-01-03", 0.0)], "e string, d string, similarity double")
     got = {r.e: r.asDict() for r in es.stability_matrix(daily, ["e"], "d").collect()}
