@@ -430,10 +430,12 @@ def _hourly_states(spark, sf_dir):
     """SELECT date_trunc('week', ts) AS week, event_type, count(*) AS rows, count(DISTINCT user_id) AS users FROM events GROUP BY 1, 2""",
 )
 def _(spark, sf_dir):
-    """Users per week and event type, from hourly states by way of daily ones. Theta states are exact up to 16,384 users."""
-    days = cut_lineage(sk.roll_up(_hourly_states(spark, sf_dir), ["event_type"], _KEPT, "hour", "day"))
-    weeks = sk.roll_up(days, ["event_type"], _KEPT, "hour", "week")
-    return weeks.select(F.col("hour").alias("week"), "event_type", "rows", sk.distinct_estimate("t", "theta").alias("users"))
+    """Users per week and event type, exactly, from hourly bitmaps by way of daily ones."""
+    rows = table(spark, sf_dir, "events").withColumn("hour", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
+    hours = cut_lineage(sk.bitmaps(rows, ["hour", "event_type"], "user_id"))
+    days = cut_lineage(sk.roll_up_bitmaps(hours, ["event_type"], "hour", "day"))
+    weeks = sk.roll_up_bitmaps(days, ["event_type"], "hour", "week")
+    return sk.bitmap_counts(weeks, ["hour", "event_type"], "users").withColumnRenamed("hour", "week").select("week", "event_type", "rows", "users")
 
 
 @query(

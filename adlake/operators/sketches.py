@@ -3,6 +3,7 @@
 A state is a small binary per (bucket, group): KLL for quantiles, HyperLogLog for distinct counts, theta where sets are also intersected or
 subtracted. Hourly states unite to daily and weekly ones, and days can be recombined in any range. All of it are aggregates that Spark
 combines before the shuffle, in batch and in a stream alike. States are approximate with a bound; below it they are exact.
+Distinct counts of whole numbers that must be exact at any size are kept as bitmaps (`bitmaps`), one per run of 32,768 numbers.
 """
 
 from __future__ import annotations
@@ -80,6 +81,27 @@ def distinct_estimate(state: str | Column, kind: str = "distinct") -> Column:
     return F.hll_sketch_estimate(c) if kind == "distinct" else F.theta_sketch_estimate(c)
 
 
+def bitmaps(df: DataFrame, by: Sequence[str], column: str) -> DataFrame:
+    """(by…, slot, rows, bits): which values of an integer column occur, one bitmap per group and run of 32,768 numbers. NULL only counts as a row."""
+    value = F.col(column).cast("bigint")
+    keyed = df.select(*by, F.bitmap_bucket_number(value).alias("slot"), F.bitmap_bit_position(value).alias("_bit"))
+    return keyed.groupBy(*by, "slot").agg(F.count("*").alias("rows"), F.bitmap_construct_agg("_bit").alias("bits"))
+
+
+def roll_up_bitmaps(kept_bitmaps: DataFrame, by: Sequence[str], bucket: str | None = None, width: str = "day") -> DataFrame:
+    """Bitmaps of coarser groups, like :func:`roll_up`."""
+    rows = kept_bitmaps
+    if bucket is not None:
+        rows = rows.withColumn(bucket, F.date_trunc(width, bucket).cast("timestamp_ntz"))
+    keys = [*([bucket] if bucket is not None else []), *[k for k in by if k != bucket]]
+    return rows.groupBy(*keys, "slot").agg(F.sum("rows").alias("rows"), F.bitmap_or_agg("bits").alias("bits"))
+
+
+def bitmap_counts(kept_bitmaps: DataFrame, by: Sequence[str], output: str = "distinct") -> DataFrame:
+    """(by…, rows, output): the exact number of distinct values per group."""
+    return kept_bitmaps.groupBy(*by).agg(F.sum("rows").alias("rows"), F.sum(F.bitmap_count("bits")).alias(output))
+
+
 def robust_stats_of(kept_states: DataFrame, by: Sequence[str], state: str, spread: tuple[float, float] = (0.25, 0.75)) -> DataFrame:
     """(by…, median, iqr) from states, over any range of buckets."""
     merged = kept_states.groupBy(*by).agg(F.kll_merge_agg_double(state).alias("_s"))

@@ -44,6 +44,31 @@ def test_hours_days_weeks(spark, rows):
     assert {r.g: r.s > 1.1 * exact[r.g].u for r in summed}["b"]  # what adding daily counts would give
 
 
+def test_bitmaps_count_exactly_beyond_a_theta_state(spark):
+    """40,000 users of either sign over two days, some NULL: a theta state of 16,384 values would only estimate them."""
+    ids = spark.range(60000, numPartitions=3)
+    events = ids.select(
+        F.expr("timestamp_ntz'2024-01-01 00:30:00' + make_interval(0, 0, 0, CAST(id % 2 AS INT), CAST(id % 5 AS INT), 0, 0)").alias("hour"),
+        F.when(F.col("id") % 10 == 3, F.lit("gone")).otherwise("kept").alias("g"),
+        F.when(F.col("id") % 10 != 3, (F.col("id") % 40000) * 977 - 10**7).alias("u"),
+    )
+    days = sk.roll_up_bitmaps(sk.bitmaps(events.withColumn("hour", F.date_trunc("hour", "hour").cast("timestamp_ntz")), ["hour", "g"], "u"), ["g"], "hour", "day")
+    got = {(r.hour, r.g): (r.rows, r.users) for r in sk.bitmap_counts(days, ["hour", "g"], "users").collect()}
+    want = events.groupBy(F.date_trunc("day", "hour").cast("timestamp_ntz").alias("d"), "g").agg(F.count("*").alias("n"), F.countDistinct("u").alias("u"))
+    assert got == {(r.d, r.g): (r.n, r.u) for r in want.collect()}
+    whole = sk.bitmap_counts(sk.roll_up_bitmaps(days, ["g"]), ["g"], "users").where("g = 'kept'").first()
+    assert whole.users == 36000
+
+
+def test_registered_rollup_counts_many_users(spark, tmp_path):
+    """More users a week than a theta state holds."""
+    from adlake.catalog import QUERIES
+
+    ids = spark.range(40000, numPartitions=2)
+    ids.select(F.lit("view").alias("event_type"), (F.col("id") % 30000).alias("user_id"), F.expr("timestamp_ntz'2024-01-02 03:04:05'").alias("ts"), F.lit(1.0).alias("value")).write.parquet(str(tmp_path / "events.parquet"))
+    assert [(r.rows, r.users) for r in QUERIES["distinct_rollup"](spark, str(tmp_path)).collect()] == [(40000, 30000)]
+
+
 def test_quantiles_of_seven_stored_days(spark, rows):
     days = sk.roll_up(hourly(rows), ["g"], KEPT, "hour", "day")
     stats = {r.g: r for r in sk.robust_stats_of(days, ["g"], "q").collect()}
