@@ -105,6 +105,36 @@ def test_cosine_blocks_with_negative_values(spark):
         assert p == pytest.approx(sum(value.get((a, t), 0) * value.get((b, t), 0) for t in range(12)))
 
 
+def test_rows_go_only_to_blocks_with_their_token(spark):
+    """Ten groups without a token in common, ids interleaved: a row goes to the blocks of its group only, not to all."""
+    rows = [(e, (e % 10) * 100 + t, 1.0) for e in range(200) for t in range(e % 7, 12)]
+    df = spark.createDataFrame(rows, "entity int, token int, value double")
+    blocks = es._in_blocks(df, es.norm(), 10, 10**6)
+    assert blocks.select("block").distinct().count() == 20
+    assert es._copies(df, blocks).count() <= 3 * len(rows)
+
+
+def test_tokens_of_large_blocks_are_dealt(spark):
+    """Products, bounds and best partners are the same when the tokens of two blocks fall to several tasks."""
+    draw = random.Random(4)
+    vectors = [(f"e{e:02d}", t, float(draw.randint(-1, 6))) for e in range(30) for t in {draw.randrange(60) for _ in range(15)}]
+    vectors = [v for v in vectors if v[2]]
+    df = spark.createDataFrame(vectors, "e string, t int, v double")
+    of = {}
+    for e, t, v in vectors:
+        of.setdefault(e, {})[t] = v
+    want = {(a, b): sum(of[a][t] * of[b][t] for t in of[a].keys() & of[b].keys()) for a in of for b in of if a <= b and of[a].keys() & of[b].keys()}
+    norm = {e: sum(v * v for v in x.values()) ** 0.5 for e, x in of.items()}
+    near = {(a, b): p for (a, b), p in want.items() if a < b and p >= 0.3 * norm[a] * norm[b]}
+    for blocks in ({"rows_per_block": 20}, {"entities_per_block": 7}, {"entities_per_block": 7, "tokens_per_block": 3, "rows_per_block": 10}):
+        got = {(r.a, r.b): r["product"] for r in es.pair_products(df, "e", "t", "v", **blocks).collect()}
+        assert got == want
+        bounded = es.weighted_products(df, "e", "t", "v", es.norm("value"), least=0.3, **blocks).where("a < b AND product >= 0.3 * weight_a * weight_b")
+        assert {(r.a, r.b): r["product"] for r in bounded.collect()} == near
+        asked = spark.createDataFrame(list(near) + [("e00", "nobody")], "a string, b string")
+        assert {(r.a, r.b): r["product"] for r in es.products_of(asked, df, "e", "t", "v", **blocks).collect()} == near
+
+
 def test_minhash_recall_and_copies(sets):
     data, df = sets
     near = es.minhash_pairs(df, "e", "t", tables=10)
