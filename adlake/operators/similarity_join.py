@@ -1,24 +1,23 @@
-"""Similarity joins with a bound: only pairs that can reach it are formed.
+"""Similarity joins with a bound: only pairs that can reach it leave a task.
 
-Tokens stand in one global order by the number of entities that have them. Of each entity only as many of its rarest
-tokens enter an inverted index as any partner above the bound must share one of; pairs come from the index, are dropped by
-bounds on what they can still reach, and the rest is computed exactly from the whole profiles. Rows are copied for tokens that very many entities
-index, and not otherwise. Positions and partial norms are running sums over ranges, so an entity with very
-many tokens is no single task.
+Profiles meet block against block. Sets use an index: tokens stand in one global order by the number of entities that have them, and of each
+set only as many of its rarest tokens enter the index as any partner above the bound must share one of. Small sets travel with their index rows
+and are compared where they meet. Rows are copied for tokens that very many entities index, and not otherwise. Positions in large sets are
+running sums over ranges, so an entity with very many tokens is no single task.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from adlake.operators import entity_similarity as es
 from adlake.operators.running import attach, running_sums
 from adlake.session import cut_lineage
 
 HEAVY = 4096  # entities of an index token that one task joins with the others of the token
 SLACK = 1e-9  # of bounds, for rounding
+CARRIED = 64  # tokens of a set that travels with its index rows
 
 
 def _rows(profile: DataFrame, entity: str, token: str, *more: Column) -> DataFrame:
@@ -71,42 +70,18 @@ def weighted_index(profile: DataFrame, entity: str, token: str, score: str) -> D
     )
 
 
-def _reach() -> Column:
-    """The most that the cosine of two vectors can be, given their parts before, at and after a common token."""
-    parts = [F.col(f"{c}_x") * F.col(f"{c}_y") for c in ("before", "w", "after")]
-    return reduce(lambda a, b: a + b, parts)
-
-
-def exact_cosine(pairs: DataFrame, index: DataFrame) -> DataFrame:
-    """(a, b, cosine) of given pairs, from all tokens of both. The join key holds the token, so no vector is collected."""
-    pairs = cut_lineage(pairs)
-    of_a = pairs.join(index.select(F.col("entity").alias("a"), "token", F.col("score").alias("_s"), F.col("norm").alias("_n")), "a")
-    of_b = index.select(F.col("entity").alias("b"), "token", F.col("score").alias("_t"), F.col("norm").alias("_m"))
-    both = of_a.join(of_b, ["b", "token"])
-    norms = F.first("_n") * F.first("_m")
-    return both.groupBy("a", "b").agg((F.sum(F.col("_s") * F.col("_t")) / norms).alias("cosine"))
-
-
 def cosine_at_least(
     profile: DataFrame, entity: str, token: str = "token", score: str = "score", threshold: float = 0.5, heavy: int = HEAVY
 ) -> DataFrame:
     """(a, b, cosine) with a < b: all pairs with a cosine of ``threshold`` or more, which must be above 0.
 
-    ``profile`` has one row per (entity, token). Rows with a NULL entity or token are left out, as are entities of norm 0.
-    Of a pair above the threshold, what the two have in common cannot lie wholly in a part of one of them with a norm below the
-    threshold, so only tokens where the norm of the more frequent ones and the token reaches it are indexed.
+    ``profile`` has one row per (entity, token). Rows with a NULL entity or token are left out, as are entities of norm 0. Profiles meet block
+    against block, and pairs below the threshold do not leave the task. ``heavy`` is the most entities of a block.
     """
     if not threshold > 0:
         raise ValueError("the threshold must be above 0")
-    index = weighted_index(profile, entity, token, score)
-    limit = F.lit(float(threshold) - SLACK)
-    entries = index.where(F.col("upto") >= limit).select("entity", "token", "w", "before", "after")
-    met = joined_on_token(entries, entries, heavy).where((F.col("entity_x") < F.col("entity_y")) & (_reach() >= limit))
-    pairs = met.groupBy(F.col("entity_x").alias("a"), F.col("entity_y").alias("b")).agg(
-        F.sum(F.col("w_x") * F.col("w_y")).alias("_sum"), F.min(F.col("before_x") * F.col("before_y")).alias("_rest")
-    )
-    near = pairs.where(F.col("_sum") + F.col("_rest") >= limit).select("a", "b")
-    return exact_cosine(near, index).where(F.col("cosine") >= F.lit(float(threshold)))
+    pairs = _products(profile, entity, token, score, heavy, least=float(threshold))
+    return pairs.where((F.col("a") < F.col("b")) & (F.col("cosine") >= F.lit(float(threshold))))
 
 
 def nearest_k(
@@ -114,24 +89,20 @@ def nearest_k(
 ) -> DataFrame:
     """(a, b, cosine, rank): the ``k`` most similar entities of every entity with a positive cosine; equals by the smaller id.
 
-    A first join at the threshold ``start`` gives each entity candidates. The k-th best of these is the entity's own threshold of a second
-    join, 0 if there are fewer; it only indexes and keeps what can still be among the best. Exact for any ``start``.
+    Of every two blocks of profiles only pairs that are among the ``k`` best of one of the two there leave the task. The result is exact and does
+    not depend on ``start``, a threshold of an earlier form. ``heavy`` is the most entities of a block.
     """
-    index = weighted_index(profile, entity, token, score)
-    entries = index.select("entity", "token", "w", "before", "upto", "after")
-    seeds = entries.where(F.col("upto") >= F.lit(start - SLACK))
-    met = joined_on_token(seeds, seeds, heavy).where((F.col("entity_x") < F.col("entity_y")) & (_reach() >= F.lit(start - SLACK)))
-    first = cut_lineage(exact_cosine(met.select(F.col("entity_x").alias("a"), F.col("entity_y").alias("b")).distinct(), index))
-    known = first.unionByName(first.select(F.col("b").alias("a"), F.col("a").alias("b"), "cosine"))
-    kth = _ranked(known, k).where(F.col("rank") == k).select(F.col("a").alias("entity"), F.col("cosine").alias("least"))
-
-    asked = entries.join(cut_lineage(kth), "entity", "left").withColumn("least", F.greatest(F.coalesce("least", F.lit(0.0)), F.lit(0.0)) - SLACK)
-    met = joined_on_token(asked.where("upto >= least"), entries, heavy).where(_reach() >= F.col("least_x"))
-    pairs = met.groupBy(F.col("entity_x").alias("a"), F.col("entity_y").alias("b")).agg(
-        F.sum(F.col("w_x") * F.col("w_y")).alias("_sum"), F.min(F.col("before_x") * F.col("before_y")).alias("_rest"), F.min("least_x").alias("_least")
-    )
-    near = pairs.where("_sum + _rest >= _least").select("a", "b").join(known.select("a", "b"), ["a", "b"], "left_anti")
-    return _ranked(known.unionByName(exact_cosine(near, index)), k)
+    pairs = _products(profile, entity, token, score, heavy, best=k).where("a < b")
+    return _ranked(es.mirrored(pairs, "cosine"), k)
+
+
+def _products(profile: DataFrame, entity: str, token: str, score: str, heavy: int, **bounds) -> DataFrame:
+    """(a, b, cosine) of rows with a token and a score, as far as the bounds leave them."""
+    rows = profile.where(F.col(token).isNotNull() & F.col(entity).isNotNull())
+    rows = cut_lineage(rows.select(F.col(entity).alias("entity"), F.col(token).alias("token"), F.col(score).cast("double").alias("value")).where("value != 0"))
+    size = min(heavy, es.ENTITIES_PER_BLOCK)
+    products = es.weighted_products(rows, "entity", "token", "value", es.norm(), entities_per_block=size, **bounds)
+    return products.select("a", "b", (F.col("product") / (F.col("weight_a") * F.col("weight_b"))).alias("cosine"))
 
 
 def _ranked(pairs: DataFrame, k: int) -> DataFrame:
@@ -143,20 +114,57 @@ def _ranked(pairs: DataFrame, k: int) -> DataFrame:
 # --- sets
 
 
-def placed_sets(sets: DataFrame, entity: str, token: str) -> DataFrame:
-    """(entity, token, size, place) of distinct rows, written; places count from 1, rare tokens first."""
+def _jaccard() -> Column:
+    return F.col("shared") / (F.col("size_a") + F.col("size_b") - F.col("shared"))
+
+
+def _sized(sets: DataFrame, entity: str, token: str) -> DataFrame:
+    """(entity, token, df, size) of distinct rows, written."""
     rows = _rows(sets.select(entity, token).distinct(), entity, token)
-    sized = attach(rows, rows.groupBy("entity").agg(F.count("*").alias("size")), ["entity"])
+    return cut_lineage(attach(rows, rows.groupBy("entity").agg(F.count("*").alias("size")), ["entity"]))
+
+
+def placed_sets(sized: DataFrame) -> DataFrame:
+    """(entity, token, size, place) of sized rows, written; places count from 1, rare tokens first."""
     placed = running_sums(sized.withColumn("_one", F.lit(1)), ["entity"], [F.asc("df"), F.asc("token")], {"place": "_one"})
     return cut_lineage(placed.select("entity", "token", "size", "place"))
 
 
-def shared_counts(pairs: DataFrame, placed: DataFrame) -> DataFrame:
-    """(a, b, size_a, size_b, shared) of given pairs, from all tokens of both."""
-    pairs = cut_lineage(pairs)
-    of_a = pairs.join(placed.select(F.col("entity").alias("a"), "token", F.col("size").alias("size_a")), "a")
-    of_b = placed.select(F.col("entity").alias("b"), "token", F.col("size").alias("size_b"))
-    return of_a.join(of_b, ["b", "token"]).groupBy("a", "b", "size_a", "size_b").agg(F.count("*").alias("shared"))
+def shared_counts(pairs: DataFrame, sized: DataFrame) -> DataFrame:
+    """(a, b, size_a, size_b, shared) of given pairs that share a token, block against block."""
+    rows = cut_lineage(sized.select("entity", "token", F.lit(1.0).alias("_one")))
+    shared = es.products_of(cut_lineage(pairs), rows, "entity", "token", "_one")
+    sizes = cut_lineage(sized.select("entity", "size").distinct())
+    of_a, of_b = (sizes.select(F.col("entity").alias(c), F.col("size").alias(f"size_{c}")) for c in "ab")
+    return shared.join(of_a, "a").join(of_b, "b").select("a", "b", "size_a", "size_b", F.round("product").cast("long").alias("shared"))
+
+
+def _counted(met: DataFrame) -> DataFrame:
+    """(a, b, size_a, size_b, shared) of met rows that carry both sets."""
+    ordered = F.col("entity_x") < F.col("entity_y")
+    sizes = [F.when(ordered, F.col(f"size_{p}")).otherwise(F.col(f"size_{q}")).alias(n) for n, p, q in (("size_a", "x", "y"), ("size_b", "y", "x"))]
+    shared = F.size(F.array_intersect("tokens_x", "tokens_y")).cast("long").alias("shared")
+    return met.select(F.least("entity_x", "entity_y").alias("a"), F.greatest("entity_x", "entity_y").alias("b"), *sizes, shared)
+
+
+def _near_sets(sets: DataFrame, entity: str, token: str, asks: Column, holds: Column, meets: Column, enough: Column, heavy: int) -> DataFrame:
+    """(a, b, size_a, size_b, shared) of pairs that meet on an index token, pass ``meets`` and then share ``enough``.
+
+    Sets of up to ``CARRIED`` tokens travel with their index rows and are compared where they meet, so only pairs of the result leave a
+    task. Pairs with a larger set are formed first and counted block against block.
+    """
+    sized = _sized(sets, entity, token)
+    ordered = F.sort_array(F.collect_list(F.struct("df", "token")))
+    carried = cut_lineage(sized.where(F.col("size") <= CARRIED).groupBy("entity").agg(ordered.alias("_t")).select("entity", F.col("_t.token").alias("tokens")))
+    entries = carried.select("entity", F.size("tokens").alias("size"), "tokens", F.posexplode("tokens").alias("_pos", "token"))
+    entries = entries.withColumn("place", F.col("_pos") + 1).drop("_pos")
+    found = _counted(joined_on_token(entries.where(asks), entries.where(holds), heavy).where(meets)).where(enough).distinct()
+    if sized.where(F.col("size") > CARRIED).isEmpty():
+        return found
+    placed = placed_sets(sized)
+    met = joined_on_token(placed.where(asks), placed.where(holds), heavy).where(meets & (F.greatest("size_x", "size_y") > CARRIED))
+    pairs = met.select(F.least("entity_x", "entity_y").alias("a"), F.greatest("entity_x", "entity_y").alias("b")).distinct()
+    return found.unionByName(shared_counts(pairs, sized).where(enough))
 
 
 def overlap_at_least(sets: DataFrame, entity: str, token: str, threshold: float, heavy: int = HEAVY) -> DataFrame:
@@ -167,30 +175,31 @@ def overlap_at_least(sets: DataFrame, entity: str, token: str, threshold: float,
     """
     if not 0 < threshold <= 1:
         raise ValueError("the threshold must be above 0 and at most 1")
-    placed = placed_sets(sets, entity, token)
-    need = F.ceil(F.col("size") * F.lit(float(threshold)) - F.lit(SLACK))
-    asked = placed.withColumn("need", need).where("place <= size - need + 1")
+
+    def need(size: str) -> Column:
+        return F.ceil(F.col(size) * F.lit(float(threshold)) - F.lit(SLACK))
+
+    asks = F.col("place") <= F.col("size") - need("size") + 1
     smaller = (F.col("size_x") < F.col("size_y")) | ((F.col("size_x") == F.col("size_y")) & (F.col("entity_x") < F.col("entity_y")))
     most = F.least("place_x", "place_y") + F.least(F.col("size_x") - F.col("place_x"), F.col("size_y") - F.col("place_y"))
-    met = joined_on_token(asked, placed, heavy).where(smaller & (most >= F.col("need_x")))
-    pairs = met.select(F.least("entity_x", "entity_y").alias("a"), F.greatest("entity_x", "entity_y").alias("b")).distinct()
     value = F.col("shared") / F.least("size_a", "size_b")
-    return shared_counts(pairs, placed).select("a", "b", value.alias("overlap")).where(F.col("overlap") >= F.lit(float(threshold) - SLACK))
+    enough = value >= F.lit(float(threshold) - SLACK)
+    found = _near_sets(sets, entity, token, asks, F.lit(True), smaller & (most >= need("size_x")), enough, heavy)
+    return found.select("a", "b", value.alias("overlap"))
 
 
 def jaccard_at_least(sets: DataFrame, entity: str, token: str, threshold: float, heavy: int = HEAVY) -> DataFrame:
     """(a, b, jaccard) with a < b: all pairs with a Jaccard similarity of ``threshold`` or more, by prefixes on both sides."""
     if not 0 < threshold <= 1:
         raise ValueError("the threshold must be above 0 and at most 1")
-    placed, t = placed_sets(sets, entity, token), F.lit(float(threshold))
-    prefix = placed.where(F.col("place") <= F.col("size") - F.ceil(F.col("size") * t - F.lit(SLACK)) + 1)
+    t = F.lit(float(threshold))
+    prefix = F.col("place") <= F.col("size") - F.ceil(F.col("size") * t - F.lit(SLACK)) + 1
     sizes = F.least("size_x", "size_y") + F.lit(SLACK) >= t * F.greatest("size_x", "size_y")
     most = F.least("place_x", "place_y") + F.least(F.col("size_x") - F.col("place_x"), F.col("size_y") - F.col("place_y"))
     reach = most * (1 + t) + F.lit(SLACK) >= t * (F.col("size_x") + F.col("size_y"))
-    met = joined_on_token(prefix, prefix, heavy).where((F.col("entity_x") < F.col("entity_y")) & sizes & reach)
-    pairs = met.select(F.col("entity_x").alias("a"), F.col("entity_y").alias("b")).distinct()
-    value = F.col("shared") / (F.col("size_a") + F.col("size_b") - F.col("shared"))
-    return shared_counts(pairs, placed).select("a", "b", value.alias("jaccard")).where(F.col("jaccard") >= F.lit(float(threshold) - SLACK))
+    meets = (F.col("entity_x") < F.col("entity_y")) & sizes & reach
+    found = _near_sets(sets, entity, token, prefix, prefix, meets, _jaccard() >= F.lit(float(threshold) - SLACK), heavy)
+    return found.select("a", "b", _jaccard().alias("jaccard"))
 
 
 # --- approximate
@@ -201,24 +210,40 @@ def banded_minhash(
 ) -> DataFrame:
     """(a, b, jaccard) with a < b: pairs with a Jaccard similarity of ``threshold`` or more that agree in all minima of some band.
 
-    A pair of similarity s is found with a probability of 1 - (1 - s^rows)^bands. Minima are combined before the shuffle, and buckets with very
-    many entities are split like heavy tokens.
+    A pair of similarity s is found with a probability of 1 - (1 - s^rows)^bands. Sets of up to ``CARRIED`` tokens are hashed and compared as
+    arrays, so neither minima nor candidates are shuffled for them; minima of larger sets are combined before the shuffle. A bucket is named by 64
+    bits of its minima. Buckets with very many entities are split like heavy tokens.
     """
     data = sets.where(F.col(token).isNotNull() & F.col(entity).isNotNull()).select(F.col(entity).alias("entity"), F.col(token).alias("token")).distinct()
-    placed = cut_lineage(attach(data, data.groupBy("entity").agg(F.count("*").alias("size")), ["entity"]))
+    data = cut_lineage(data)
+    sized = cut_lineage(attach(data, data.groupBy("entity").agg(F.count("*").alias("size")), ["entity"]))
+    small, large = sized.where(F.col("size") <= CARRIED), sized.where(F.col("size") > CARRIED)
 
-    def hashed(i: int) -> Column:
+    def hashed(token: Column, i: int) -> Column:
         if hash_with == "md5":
-            return F.md5(F.concat(F.col("token").cast("string"), F.lit(f"-{seed + i}")))
-        return F.xxhash64("token", F.lit(seed + i))
-
-    minima = [F.min(hashed(i)).alias(f"h{i}") for i in range(bands * rows)]
-    keys = [F.concat_ws("|", F.lit(b), *[F.col(f"h{b * rows + r}").cast("string") for r in range(rows)]) for b in range(bands)]
-    signed = placed.groupBy("entity").agg(*minima).select("entity", F.explode(F.array(*keys)).alias("token"))
-    entries = cut_lineage(signed)
-    alone = entries.groupBy("token").agg(F.count("*").alias("_n")).where("_n > 1").select(F.col("token").alias("_token"))
-    entries = entries.join(alone, F.col("token") == F.col("_token"), "left_semi")
-    met = joined_on_token(entries, entries, heavy).where("entity_x < entity_y")
-    pairs = met.select(F.col("entity_x").alias("a"), F.col("entity_y").alias("b")).distinct()
-    value = F.col("shared") / (F.col("size_a") + F.col("size_b") - F.col("shared"))
-    return shared_counts(pairs, placed).select("a", "b", value.alias("jaccard")).where(F.col("jaccard") >= F.lit(float(threshold) - SLACK))
+            return F.md5(F.concat(token.cast("string"), F.lit(f"-{seed + i}")))
+        return F.xxhash64(token, F.lit(seed + i))
+
+    def keyed(minima: DataFrame) -> DataFrame:
+        keys = [F.xxhash64(F.lit(b), *[F.col(f"h{b * rows + r}") for r in range(rows)]) for b in range(bands)]
+        return minima.select("entity", F.explode(F.array(*keys)).alias("token"))
+
+    def minimum(i: int) -> Column:
+        return F.array_min(F.transform("tokens", lambda t: hashed(t, i))).alias(f"h{i}")
+
+    carried = cut_lineage(small.groupBy("entity").agg(F.first("size").alias("size"), F.collect_list("token").alias("tokens")))
+    of_small = carried.select("entity", *[minimum(i) for i in range(bands * rows)])
+    of_large = large.groupBy("entity").agg(*[F.min(hashed(F.col("token"), i)).alias(f"h{i}") for i in range(bands * rows)])
+    entries = cut_lineage(keyed(of_small).unionByName(keyed(of_large)))
+    shared = entries.groupBy("token").agg(F.count("*").alias("_n")).where("_n > 1").select(F.col("token").alias("_token"))
+    entries = cut_lineage(entries.join(shared, F.col("token") == F.col("_token"), "left_semi"))
+    enough = _jaccard() >= F.lit(float(threshold) - SLACK)
+    with_sets = entries.join(carried, "entity")
+    sizes = F.least("size_x", "size_y") + F.lit(SLACK) >= F.lit(float(threshold)) * F.greatest("size_x", "size_y")
+    found = _counted(joined_on_token(with_sets, with_sets, heavy).where((F.col("entity_x") < F.col("entity_y")) & sizes)).where(enough).distinct()
+    if not large.isEmpty():
+        sized_entries = entries.join(sized.select("entity", "size").distinct(), "entity")
+        met = joined_on_token(sized_entries, sized_entries, heavy).where((F.col("entity_x") < F.col("entity_y")) & (F.greatest("size_x", "size_y") > CARRIED))
+        pairs = met.select(F.col("entity_x").alias("a"), F.col("entity_y").alias("b")).distinct()
+        found = found.unionByName(shared_counts(pairs, sized).where(enough))
+    return found.select("a", "b", _jaccard().alias("jaccard"))

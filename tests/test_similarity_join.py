@@ -103,6 +103,29 @@ def test_overlap_and_jaccard_at_least(spark, profiles, threshold, heavy):
     assert got == pytest.approx({p: v for p, v in jaccard.items() if v >= threshold})
 
 
+@pytest.mark.parametrize("carried", [1, 6, 64])
+def test_sets_that_travel_and_sets_that_do_not(spark, profiles, monkeypatch, carried):
+    """The same pairs, whichever sets are carried; banded MinHash has no false pairs either way."""
+    monkeypatch.setattr(sj, "CARRIED", carried)
+    pairs = set_pairs(profiles)
+    jaccard = {p: s / (x + y - s) for p, (s, x, y) in pairs.items()}
+    want = {p: v for p, v in jaccard.items() if v >= 0.4}
+    got = [(r.a, r.b, r.jaccard) for r in sj.jaccard_at_least(sets_of(spark, profiles), "e", "t", 0.4, 3).collect()]
+    assert {(a, b): v for a, b, v in got} == pytest.approx(want) and len(got) == len(want)
+    got = {(r.a, r.b): r.jaccard for r in sj.banded_minhash(sets_of(spark, profiles), "e", "t", 0.4, 24, 1, heavy=5).collect()}
+    assert len(got) >= 0.95 * len(want) and got == pytest.approx({p: want[p] for p in got})
+
+
+def test_candidates_are_not_shuffled(spark, monkeypatch):
+    """300 sets of two tokens, one of them common to all: 44,850 pairs meet, none is near, and none leaves the tasks."""
+    monkeypatch.setattr(sj, "shared_counts", lambda *_: pytest.fail("pairs were formed before they were compared"))
+    sets = spark.createDataFrame([(e, t) for e in range(300) for t in (0, e + 1)], "e long, t long")
+    assert sj.jaccard_at_least(sets, "e", "t", 0.3).count() == 44850  # 1 / 3
+    assert sj.jaccard_at_least(sets, "e", "t", 0.4).count() == 0
+    assert sj.overlap_at_least(sets, "e", "t", 0.6).count() == 0
+    assert sj.banded_minhash(sets, "e", "t", 0.4).count() == 0
+
+
 def test_banded_minhash_recall(spark):
     """Pairs at or above the threshold are found as often as the bands promise; nothing below it is returned."""
     draw, rows = random.Random(6), []
