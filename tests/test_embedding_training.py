@@ -219,3 +219,15 @@ def test_models_that_cannot_be_are_refused(spark):
             tr.EmbeddingModel("id", {}, [], **wrong)
     assert tr.EmbeddingModel("id", {}, [], "y", task="multiclass", num_classes=4).outputs == 4
     assert tr.EmbeddingModel("id", {}, [], task="multi_label", targets=["a", "b"]).first_weights() == [[0.0], [0.0]]
+
+
+def test_pooling_shuffles_tokens_not_vectors(spark, monkeypatch):
+    """With a table that is broadcast, the only exchange is that of the tokens."""
+    monkeypatch.setattr(em, "POOL_ROWS", 30)
+    tokens = spark.createDataFrame([(s, f, t) for s in range(20) for f in ("x", "y") for t in range(s % 4 + 1)], "sample long, feature string, token_id long")
+    table = spark.createDataFrame([(t, [float(t), 1.0]) for t in range(3)], "token_id long, embedding array<double>")
+    pooled = em.mean_pool(tokens, F.broadcast(table), "sample", 2)
+    plan = pooled._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "REPARTITION" in plan
+    means = {(r.sample, r.feature): (r.embedding, r.tokens) for r in pooled.collect()}
+    assert means[3, "x"] == ([0.75, 0.75], 4) and len(means) == 40
