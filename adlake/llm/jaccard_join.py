@@ -23,14 +23,15 @@ table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlake.llm.common import IdFilter, Powers, Rolling, byte_codes, flat_bytes, lower_ascii, mix, slices, words_of
+from adlake.llm.common import Powers, Rolling, byte_codes, flat_bytes, lower_ascii, marked, mix, slices, words_of
 from adlake.llm.components import components
 from adlake.session import cut_lineage
 
@@ -38,6 +39,7 @@ SHINGLE = 5
 ORDERS = 3
 LEAST = 4  # hashes whose least tokens propose first pairs
 TEXT_BYTES = 1 << 19  # bytes of text of a numpy step; arrays over its bytes take many times that
+BATCH_BYTES = 1 << 22  # of rows that Spark sends a Python worker at a time
 SIMILAR = (75, 100)
 COUNTERS = 1 << 22  # most counters of the sketch
 PART = 1 << 16  # counters per row of the sketch
@@ -114,7 +116,7 @@ def profile(docs: DataFrame, counters: int, shingle: int) -> DataFrame:
         for whole in batches:
             for batch in slices(whole, "text", TEXT_BYTES):
                 sets = sets_of(batch.column("text"), powers, codes, shingle)
-                seen += np.bincount(order_hash(sets.tokens, 7) % np.uint64(counters), minlength=counters).astype(np.uint32)
+                np.add.at(seen, order_hash(sets.tokens, 7) % np.uint64(counters), np.uint32(1))  # in place: no array of all counters
                 sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(order_hash(sets.tokens, k))]) for k in (8, 9)]
                 keys = [s[sets.firsts[1:]] - s[sets.firsts[:-1]] for s in sums]
                 rows = batch.num_rows
@@ -300,8 +302,7 @@ def verified(docs: DataFrame, pairs: DataFrame, shared, shingle: int) -> DataFra
     """The pairs that link. Both texts stand in a row; sets are made anew, which is less to shuffle than the sets."""
     part, whole_part = SIMILAR
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    wanted = IdFilter(ids, "id")
-    texts = docs.where(wanted.may_hold(F.col("doc_id"))).select("doc_id", "text")
+    texts = marked(docs, "doc_id", cut_lineage(ids), "_asked").where("_asked").select("doc_id", "text")
     left, right = (texts.select(F.col("doc_id").alias(f"_{s}"), F.col("text").alias(f"text_{s}")) for s in "ab")
     both = pairs.join(right, F.col("b") == F.col("_b")).drop("_b").join(left, F.col("a") == F.col("_a")).drop("_a")
 
@@ -373,10 +374,11 @@ def across(entries: DataFrame, known: DataFrame, info: DataFrame, texts: DataFra
     pairs = close_enough(paired(rows.where(F.col("_n") < CROWD)), info)
     crowd = cut_lineage(rows.where(F.col("_n") >= CROWD))
     if not crowd.isEmpty():
-        wanted = IdFilter(crowd.select("doc_id").distinct(), "doc_id").may_hold(F.col("doc_id"))
-        sides = info.where(wanted).select(F.col("doc_id").alias("_id"), "bits").join(
-            heads(texts.where(wanted), shared, shingle).withColumnRenamed("doc_id", "_h"), F.col("_id") == F.col("_h")
-        )
+        ids = cut_lineage(crowd.select("doc_id").distinct())
+        asked, read = (marked(rows, "doc_id", ids, "_asked").where("_asked") for rows in (info, texts))
+        sides = asked.select(F.col("doc_id").alias("_id"), "bits").join(
+            heads(read, shared, shingle).withColumnRenamed("doc_id", "_h"), F.col("_id") == F.col("_h")
+        )
         pairs = pairs.unionByName(paired(crowd.join(sides, F.col("doc_id") == F.col("_id"))))
     return pairs.distinct()
 
@@ -467,6 +469,7 @@ def central_pairs(least: DataFrame, known: DataFrame, info: DataFrame) -> DataFr
 
 PAIRS_AT_ONCE = 1 << 18
 WORDS_AT_ONCE = 1 << 20  # words of signatures that one step compares
+TOKENS_AT_ONCE = 1 << 20  # tokens of prefixes that one step compares
 SKETCH = 4096  # bits of the sketch of a prefix
 
 
@@ -505,7 +508,14 @@ class FurtherOrders:
     def meet(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         ok = np.ones(len(x), bool)
         for values, offsets in self.lists:
-            ok &= common([rows_of(values, offsets, side) for side in (x, y)], len(x)) > 0
+            sizes = np.diff(offsets)
+            total = np.cumsum(sizes[x] + sizes[y])
+            at = 0
+            while at < len(x):
+                before = total[at - 1] if at else 0
+                end = max(at + 1, int(np.searchsorted(total, before + TOKENS_AT_ONCE, "right")))
+                ok[at:end] &= common([rows_of(values, offsets, side[at:end]) for side in (x, y)], end - at) > 0
+                at = end
         return ok
 
 
@@ -571,10 +581,9 @@ def without_copies(docs: DataFrame, named: DataFrame, equal: DataFrame) -> DataF
     A Bloom filter of copies drops rows; a second one, of the ids that the first takes for copies by mistake, brings those back.
     """
     copies = equal.select(F.col("b").alias("_id")).distinct()
-    first = IdFilter(copies, "_id")
-    mistaken = named.where(first.may_hold(F.col("doc_id"))).join(copies, F.col("doc_id") == F.col("_id"), "left_anti")
-    second = IdFilter(cut_lineage(mistaken.select(F.col("doc_id").alias("_id"))), "_id")
-    tested = docs.withColumn("_copy", first.may_hold(F.col("doc_id"))).withColumn("_back", second.may_hold(F.col("doc_id")))
+    mistaken = marked(named, "doc_id", copies, "_copy").where("_copy").join(copies, F.col("doc_id") == F.col("_id"), "left_anti")
+    back = cut_lineage(mistaken.select("doc_id"))
+    tested = marked(marked(docs, "doc_id", copies, "_copy"), "doc_id", back, "_back")
     return tested.where("NOT _copy OR _back").drop("_copy", "_back")
 
 
@@ -583,8 +592,25 @@ def counter_number(rows: int, most: int = COUNTERS) -> int:
     return min(most, max(PART, 1 << (64 * max(1, rows) - 1).bit_length()))
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Rows go to Python in batches of ``BATCH_BYTES``, not of a number of rows, whose texts and lists can take any memory."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def link(docs: DataFrame, shingle: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n) of every row, and (id, component) of every document with a link."""
+    """(doc_id, n) of every row, and (id, component) of every document with a link. All steps run here, so none is left to run later."""
+    with small_batches(docs.sparkSession):
+        return linked(docs, shingle)
+
+
+def linked(docs: DataFrame, shingle: int) -> tuple[DataFrame, DataFrame]:
     spark = docs.sparkSession
     counters = counter_number(docs.count())
     both = cut_lineage(profile(docs, counters, shingle))
@@ -624,7 +650,6 @@ def keep(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """``docs`` less every document that is not the smallest id of its component."""
     _, known = link(docs, shingle)
     gone = cut_lineage(known.where("id != component").select(F.col("id").alias("_id")))
-    suspect = IdFilter(gone, "_id").may_hold(F.col("doc_id"))
-    marked = docs.withColumn("_gone", suspect)
-    looked = marked.where("_gone").join(gone, F.col("doc_id") == F.col("_id"), "left_anti")
-    return marked.where("NOT _gone").unionByName(looked).select(*docs.columns)
+    suspects = marked(docs, "doc_id", gone, "_gone")
+    looked = suspects.where("_gone").join(gone, F.col("doc_id") == F.col("_id"), "left_anti")
+    return suspects.where("NOT _gone").unionByName(looked).select(*docs.columns)

@@ -4,10 +4,13 @@ import hashlib
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from adlake.llm import exact_dedup, jaccard_join, line_dedup, suffix_dedup
+from adlake.llm.common import marked
 from adlake.llm.components import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -119,6 +122,44 @@ def test_jaccard_without_links_or_rows(docs):
     assert sorted(map(str, (tuple(r) for r in got))) == ["(1, 1, 1)", "(2, 1, 2)", "(3, 0, 3)", "(None, 1, None)"]
 
 
+def python_steps(rows):
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    return sum(plan.count(x) for x in ("MapInArrow", "ArrowEvalPython", "BatchEvalPython"))
+
+
+def test_jaccard_reads_texts_with_one_worker_a_task(docs, corpus):
+    """Every further Python step above a scan is a further worker of each task that is running."""
+    table = docs(corpus).select("doc_id", "text")
+    named = table.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    equal = named.where("doc_id % 3 = 1").select(F.lit(0).alias("a"), F.col("doc_id").alias("b"))
+    single = jaccard_join.without_copies(table.where("doc_id IS NOT NULL"), named, equal)
+    want = {d for d, *_ in corpus if d is not None and d % 3 != 1}
+    assert want <= {r.doc_id for r in single.collect()}
+    assert len(want) <= single.select("doc_id").distinct().count() <= len(want) + len(corpus) // 10
+    assert python_steps(jaccard_join.least_tokens(single, 5)) == 1
+
+
+def test_marked_ids(spark):
+    rows = spark.range(2000).selectExpr("if(id % 100 = 7, NULL, id) AS doc_id", "id AS x")
+    ids = spark.range(0, 2000, 10).toDF("_id")
+    got = marked(rows, "doc_id", ids, "hit")
+    assert got.columns == ["doc_id", "x", "hit"]
+    hits = {r.x for r in got.where("hit AND doc_id IS NOT NULL").collect()}
+    assert got.count() == 2000 and set(range(0, 2000, 10)) <= hits and len(hits) < 300
+    assert marked(rows, "doc_id", ids.limit(0), "hit").where("hit OR hit IS NULL").count() == 0
+
+
+def test_jaccard_prefixes_meet_in_bounded_steps(monkeypatch):
+    lists = [pa.array([[1, 2], [2, 3], [4], [], [1, 4]], pa.list_(pa.int32()))]
+    x, y = np.array([0, 0, 1, 2, 3, 0]), np.array([1, 2, 2, 4, 4, 4])
+    most = []
+    plain = jaccard_join.common
+    monkeypatch.setattr(jaccard_join, "TOKENS_AT_ONCE", 4)
+    monkeypatch.setattr(jaccard_join, "common", lambda sides, rows: most.append(sum(len(s[0]) for s in sides)) or plain(sides, rows))
+    assert jaccard_join.FurtherOrders(lists).meet(x, y).tolist() == [True, False, False, True, False, True]
+    assert max(most) <= 4
+
+
 def brute_spans(corpus, span):
     seen, out = {}, {}
     for i, text in sorted(dict(corpus).items()):
