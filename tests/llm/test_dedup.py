@@ -299,3 +299,25 @@ def test_repeated_bytes_of_one_hot_owner(docs, monkeypatch):
     rows += [(100 + i, prose(draw, 25) + phrase + prose(draw, 25)) for i in range(200)]
     got = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.deduplicate(docs(rows)).collect()}
     assert got == brute_spans(rows, suffix_dedup.SPAN)
+
+
+def test_shingles_are_characters_not_halves_of_them(docs):
+    line = "abc\U0001F600defgh\U0001F601ij\u00e9k"
+    want = {line[i : i + 8] for i in range(len(line) - 7)}
+    rows = docs([(1, line), (2, "short"), (3, "abcdefgh"), (4, "abcdefgh" * 3)]).select("doc_id", line_dedup.shingles(F.col("text")).alias("s"))
+    got = {r.doc_id: r.s for r in rows.collect()}
+    assert [len(got[k]) for k in (1, 2, 3, 4)] == [len(want), 1, 1, 8]
+    assert got[3][0] in got[4] and min(map(min, got.values())) >= 0
+
+
+def test_least_hashes_of_long_lines(docs, monkeypatch):
+    """Sorting the low hashes only gives the keys of sorting all of them, also where a bin has no low hash."""
+    draw = random.Random(4)
+    lines = ["".join(draw.choice("abcde ") for _ in range(n)) for n in (3, 30, 100, 300, 900, 3000)] + ["ab" * 2000]
+    table = docs(list(enumerate(lines)))
+
+    def keys(low):
+        monkeypatch.setattr(line_dedup, "LOW", low)
+        return table.select("doc_id", line_dedup.band_keys(line_dedup.shingles(F.col("text"))).alias("k")).orderBy("doc_id").collect()
+
+    assert keys(1) == keys(8) == keys(1 << 20)
