@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,10 +73,26 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     came before, every later read sees the same rows, and the reader knows the true size of the table.
     """
     path = f"{intermediate_folder(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with shuffles_deleted(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_deleted(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a query go when it ends, not when the driver next collects garbage. Only for plans that run once."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def intermediate_folder(spark: SparkSession) -> str:
     """Where this application keeps its intermediate tables."""
     return f"{shared_folder(spark)}/adlake-{spark.sparkContext.applicationId}"

@@ -270,3 +270,17 @@ def test_missing_days_are_all_named(spark):
     have = spark.createDataFrame([("2024-01-05",)], "d string")
     with pytest.raises(FileNotFoundError, match="35 days: 2024-01-01 to 2024-01-04, 2024-01-06 to 2024-02-05"):
         tables.require_days(have, "d", "2024-01-01", "2024-02-06")
+
+
+def test_intermediate_tables_leave_no_shuffle_files(spark):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n")
+        return {os.path.basename(f) for f in files if os.path.basename(f).startswith("shuffle_")}
+
+    before, setting = shuffled(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(setting, None)
+    table = cut_lineage(spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count().join(spark.range(10).repartition(3), F.col("k") == F.col("id")))
+    until = time.time() + 20
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffled() - before and table.count() == 10 and spark.conf.get(setting, None) == was
