@@ -109,6 +109,19 @@ def first_fit(lengths, capacity):
     return len(room)
 
 
+def test_plain_scripts_split_as_the_vocabulary_says():
+    """Every character of the scripts that take the short way, alone and among letters, numbers and quotes."""
+    known = packing.ChunkIds(packing.vocabulary_path())
+    for first, last in packing.PLAIN:
+        for c in map(chr, range(first, last + 1)):
+            text = f"{c} a{c}9{c}'s{c}{c}\u00e9A"
+            if c not in packing.ODD_SPACE:
+                assert not packing.NOT_PLAIN.search(text)
+                assert known.chunks(text) == packing.CHUNK.findall(known.tokenizer.normalizer.normalize_str(text)), hex(ord(c))
+    for text in ("\u0130I", "\u03a3\u03a3 a\u03a3", "e\u0301E", "\u1100\u1161\u11a8", "\u0181'S", "x\u3000\u00a0\u0085Y"):
+        assert known.text(text) == known.whole(text), text
+
+
 def test_packing_round_trip(docs):
     texts = texts_for_tokens()
     rows = list(enumerate(texts)) + [(3, texts[3])]
