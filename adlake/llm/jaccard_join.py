@@ -31,9 +31,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlake.llm.common import Powers, Rolling, byte_codes, flat_bytes, lower_ascii, marked, mix, slices, words_of
+from adlake.llm.common import Powers, Rolling, byte_codes, flat_bytes, lower_ascii, marked, mix, row_count_partitions, slices, words_of
 from adlake.llm.components import components
-from adlake.session import cut_lineage
+from adlake.session import cut_lineage, drop_table
 
 SHINGLE = 5
 ORDERS = 3
@@ -44,6 +44,8 @@ SIMILAR = (75, 100)
 COUNTERS = 1 << 22  # most counters of the sketch
 PART = 1 << 16  # counters per row of the sketch
 FAN_IN = 64  # partial sketches merged by one task
+ENTRIES = 1 << 18  # of the index that a worker collects before it deals them to buckets
+BUCKET = 1 << 17  # entries of a bucket, as expected
 WIDTHS = (1024, 4096, 16384)  # bits of parity signatures, for sets of up to as many tokens
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                         0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
@@ -112,7 +114,7 @@ def profile(docs: DataFrame, counters: int, shingle: int) -> DataFrame:
     """Rows of documents (doc_id, n, k1, k2, bits) and, per task, rows of sketch parts (part, counts)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, codes, seen = Powers(), byte_codes(), np.zeros(counters, np.uint32)
+        powers, codes, seen = Powers(), byte_codes(), np.zeros(-(-counters // PART) * PART, np.uint32)
         for whole in batches:
             for batch in slices(whole, "text", TEXT_BYTES):
                 sets = sets_of(batch.column("text"), powers, codes, shingle)
@@ -123,11 +125,10 @@ def profile(docs: DataFrame, counters: int, shingle: int) -> DataFrame:
                 nothing = [pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())]
                 columns = [batch.column("doc_id"), pa.array(sets.sizes()), *map(as_long, keys), parity_bits(sets), *nothing]
                 yield pa.RecordBatch.from_arrays(columns, names)
-        for part in range(-(-counters // PART)):
-            counts = seen[part * PART : (part + 1) * PART]
+        for part, counts in enumerate(seen.reshape(-1, PART)):
             if counts.any():
                 void = [pa.nulls(1, t) for t in (key, pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))]
-                columns = [*void, pa.array([part], pa.int32()), pa.array([counts.tobytes()], pa.binary())]
+                columns = [*void, pa.array([part], pa.int32()), pa.array([narrowed(counts)], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     names = ["doc_id", "n", "k1", "k2", "bits", "part", "counts"]
@@ -138,6 +139,16 @@ def profile(docs: DataFrame, counters: int, shingle: int) -> DataFrame:
     )
 
 
+def narrowed(counts: np.ndarray) -> bytes:
+    """Counters of a part in the fewest bytes each that hold the largest."""
+    kind = next(k for k in (np.uint8, np.uint16, np.uint32) if counts.max() <= np.iinfo(k).max)
+    return counts.astype(kind).tobytes()
+
+
+def widened(counts: bytes) -> np.ndarray:
+    return np.frombuffer(counts, f"u{len(counts) // PART}")
+
+
 def merged_sketch(parts: DataFrame, counters: int) -> np.ndarray:
     """Frequency class of each counter: 0 up to what chance adds to the mean, then one more for each doubling beyond it.
 
@@ -145,17 +156,19 @@ def merged_sketch(parts: DataFrame, counters: int) -> np.ndarray:
     """
 
     def add(table: pa.Table) -> pa.Table:
-        rows = [np.frombuffer(x.as_py(), np.uint32) for x in table.column("counts")]
-        total = np.minimum(np.sum(rows, axis=0, dtype=np.uint64), 0xFFFFFFFF).astype(np.uint32)
-        return pa.table([table.column("part")[:1], pa.array([total.tobytes()], pa.binary())], names=["part", "counts"])
+        total = np.zeros(PART, np.uint64)
+        for x in table.column("counts"):
+            total += widened(x.as_py())
+        return pa.table([table.column("part")[:1], pa.array([narrowed(np.minimum(total, 0xFFFFFFFF))], pa.binary())], names=["part", "counts"])
 
-    table = cut_lineage(parts)
+    table = parts
     while (most := table.groupBy("part").count().agg(F.max("count")).first()[0] or 0) > 1:
         lots = table.withColumn("lot", F.pmod(F.monotonically_increasing_id(), F.lit(-(-most // FAN_IN))))
         table = cut_lineage(lots.groupBy("part", "lot").applyInArrow(add, "part int, counts binary"))
-    counts = np.zeros(counters, np.uint32)
+    counts = np.zeros((-(-counters // PART), PART), np.uint32)
     for row in table.toLocalIterator():
-        counts[row.part * PART : (row.part + 1) * PART] = np.frombuffer(row.counts, np.uint32)
+        counts[row.part] = widened(row.counts)
+    counts = counts.reshape(-1)[:counters]
     mean = counts.mean()
     above = (counts - mean) / (4 * np.sqrt(mean) + 4)
     return np.ceil(np.log2(np.maximum(above, 1))).astype(np.uint8)
@@ -163,6 +176,8 @@ def merged_sketch(parts: DataFrame, counters: int) -> np.ndarray:
 
 # --- prefixes
 
+ENTRY = ("token", "salt", "doc_id", "n", "place")  # columns of the index
+
 
 def ranked(sets: Sets, classes: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions of the tokens in order (frequency class, hash), text by text, and the classes of the tokens."""
@@ -175,14 +190,26 @@ def prefix_sizes(sizes: np.ndarray) -> np.ndarray:
     return np.where(sizes > 0, sizes - -(-part * sizes // whole) + 1, 0)
 
 
-def index_entries(docs: DataFrame, shared, shingle: int) -> DataFrame:
-    """(token, salt, doc_id, n, place) of every prefix token under the first order.
+def index_entries(docs: DataFrame, shared, shingle: int, buckets: int) -> DataFrame:
+    """(bucket, token, salt, doc_id, n, place): lists of the prefix tokens of all documents under the first order.
 
-    Tokens above the usual frequency are salted by document, so that one of them is many groups.
+    Tokens above the usual frequency are salted by document, so that one of them is many groups. A bucket holds all entries of its
+    tokens and salts. Lists of a bucket take less to shuffle and to sort than a row for each entry.
     """
 
+    def dealt(held: list[tuple]) -> pa.RecordBatch:
+        token, salt, n, place = (np.concatenate([h[i] for h in held]) for i in range(4))
+        bucket = mix(token + salt.astype(np.uint64) * MULTIPLIERS[0]) % np.uint64(buckets)
+        order = np.argsort(bucket, kind="stable")
+        found, firsts = np.unique(bucket[order], return_index=True)
+        ends = pa.array(np.append(firsts, len(order)).astype(np.int32))
+        docs = pa.concat_arrays([h[4] for h in held]).take(pa.array(order))
+        lists = [as_long(token[order]), pa.array(salt[order]), docs, pa.array(n[order]), pa.array(place[order])]
+        columns = [pa.array(found.astype(np.int32)), *(pa.ListArray.from_arrays(ends, x) for x in lists)]
+        return pa.RecordBatch.from_arrays(columns, ["bucket", *ENTRY])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, codes, classes = Powers(), byte_codes(), shared.value
+        powers, codes, classes, held = Powers(), byte_codes(), shared.value, []
         for whole in batches:
             for batch in slices(whole, "text", TEXT_BYTES):
                 sets = sets_of(batch.column("text"), powers, codes, shingle)
@@ -193,14 +220,18 @@ def index_entries(docs: DataFrame, shared, shingle: int) -> DataFrame:
                 picked, row = order[used], row[used]
                 spread = np.minimum(token_class[picked], 15).astype(np.uint64)
                 salt = mix(row.astype(np.uint64) + np.uint64(1)) % (np.uint64(1) << spread) + (spread > 0)
-                yield pa.RecordBatch.from_arrays(
-                    [as_long(sets.tokens[picked]), pa.array(salt.astype(np.int32)), batch.column("doc_id").take(pa.array(row)),
-                     pa.array(sets.sizes()[row].astype(np.int32)), pa.array(place[used].astype(np.int32))],
-                    ["token", "salt", "doc_id", "n", "place"],
-                )
+                held.append((sets.tokens[picked], salt.astype(np.int32), sets.sizes()[row].astype(np.int32),
+                             place[used].astype(np.int32), batch.column("doc_id").take(pa.array(row))))
+                if sum(len(h[0]) for h in held) >= ENTRIES:
+                    yield dealt(held)
+                    held = []
+        if held:
+            yield dealt(held)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"token bigint, salt int, doc_id {kind}, n int, place int")
+    return docs.select("doc_id", "text").mapInArrow(
+        run, f"bucket int, token array<bigint>, salt array<int>, doc_id array<{kind}>, n array<int>, place array<int>"
+    )
 
 
 def heads(docs: DataFrame, shared, shingle: int) -> DataFrame:
@@ -226,28 +257,25 @@ def heads(docs: DataFrame, shared, shingle: int) -> DataFrame:
     return made.dropDuplicates(["doc_id"])
 
 
-def shared_entries(entries: DataFrame) -> DataFrame:
-    """Entries whose token another document has too. Salted tokens, frequent by the sketch, stay without a look."""
-    keys = ["token", "salt"]
+def shared_entries(packed: DataFrame) -> DataFrame:
+    """Rows of the entries whose token another document has too. Salted tokens, frequent by the sketch, stay without a look."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None  # the last row so far, which the next batch decides on
-        for batch in batches:
-            rows = batch if held is None else pa.concat_batches([held, batch])
-            token, salt = rows.column("token").to_numpy(), rows.column("salt").to_numpy()
+        for batch in whole_groups(batches, ["bucket"]):
+            flat = {k: batch.column(k).flatten() for k in ENTRY}
+            token, salt = flat["token"].to_numpy(), flat["salt"].to_numpy()
+            order = np.lexsort((salt, token))
+            token, salt = token[order], salt[order]
             same = (token[1:] == token[:-1]) & (salt[1:] == salt[:-1])
             keep = salt > 0
             keep[1:] |= same
             keep[:-1] |= same
-            # The last row comes again at the head of the next batch, beside one equal row if it has one.
-            back = 2 if len(same) and same[-1] else 1
-            yield rows.slice(0, rows.num_rows - back).filter(pa.array(keep[: rows.num_rows - back]))
-            held = rows.slice(rows.num_rows - back)
-        if held is not None and (held.num_rows == 2 or held.column("salt")[0].as_py() > 0):
-            yield held
+            picked = pa.array(order[keep])
+            yield pa.RecordBatch.from_arrays([flat[k].take(picked) for k in ENTRY], list(ENTRY))
 
-    sorted_rows = entries.repartition(*keys).sortWithinPartitions(*keys)
-    return sorted_rows.mapInArrow(run, entries.schema)
+    kind = packed.schema["doc_id"].dataType.elementType.simpleString()
+    ordered = packed.repartition("bucket").sortWithinPartitions("bucket")
+    return ordered.mapInArrow(run, f"token bigint, salt int, doc_id {kind}, n int, place int")
 
 
 def least_tokens(docs: DataFrame, shingle: int) -> DataFrame:
@@ -370,9 +398,11 @@ def across(entries: DataFrame, known: DataFrame, info: DataFrame, texts: DataFra
     mixed = placed.groupBy("token").agg(F.min("c").alias("_lo"), F.max("c").alias("_hi"), F.count("*").alias("_n")).where("_lo < _hi")
     mixed = cut_lineage(mixed.select(F.col("token").alias("_t"), "_n", F.ceil(F.col("_n") / BLOCK).cast("int").alias("_blocks")))
     rows = placed.join(mixed, F.col("token") == F.col("_t")).drop("_t")
-    rows = rows.withColumn("_block", F.pmod(F.xxhash64("doc_id"), F.col("_blocks")).cast("int"))
+    rows = cut_lineage(rows.withColumn("_block", F.pmod(F.xxhash64("doc_id"), F.col("_blocks")).cast("int")))
+    drop_table(placed)
+    drop_table(mixed)
     pairs = close_enough(paired(rows.where(F.col("_n") < CROWD)), info)
-    crowd = cut_lineage(rows.where(F.col("_n") >= CROWD))
+    crowd = rows.where(F.col("_n") >= CROWD)
     if not crowd.isEmpty():
         ids = cut_lineage(crowd.select("doc_id").distinct())
         asked, read = (marked(rows, "doc_id", ids, "_asked").where("_asked") for rows in (info, texts))
@@ -380,7 +410,9 @@ def across(entries: DataFrame, known: DataFrame, info: DataFrame, texts: DataFra
             heads(read, shared, shingle).withColumnRenamed("doc_id", "_h"), F.col("_id") == F.col("_h")
         )
         pairs = pairs.unionByName(paired(crowd.join(sides, F.col("doc_id") == F.col("_id"))))
-    return pairs.distinct()
+    pairs = cut_lineage(pairs.distinct())
+    drop_table(rows)
+    return pairs
 
 
 def paired(rows: DataFrame) -> DataFrame:
@@ -614,9 +646,11 @@ def linked(docs: DataFrame, shingle: int) -> tuple[DataFrame, DataFrame]:
     spark = docs.sparkSession
     counters = counter_number(docs.count())
     both = cut_lineage(profile(docs, counters, shingle))
-    info = both.where("part IS NULL").drop("part", "counts")
     shared = spark.sparkContext.broadcast(merged_sketch(both.where("part IS NOT NULL").select("part", "counts"), counters))
-    named = info.where("doc_id IS NOT NULL AND n > 0").dropDuplicates(["doc_id"])
+    found = both.where("part IS NULL").drop("part", "counts")
+    info = cut_lineage(found.select("doc_id", "n"))
+    named = cut_lineage(found.where("doc_id IS NOT NULL AND n > 0").dropDuplicates(["doc_id"]))
+    drop_table(both)
     equal = cut_lineage(stars(named.select("doc_id", "n", "k1", "k2"), ["n", "k1", "k2"]))
     single = without_copies(docs.where("doc_id IS NOT NULL").select("doc_id", "text"), named, equal)
     least = cut_lineage(least_tokens(single, shingle))
@@ -626,12 +660,16 @@ def linked(docs: DataFrame, shingle: int) -> tuple[DataFrame, DataFrame]:
     middle = cut_lineage(close_enough(central_pairs(least, known, named).join(near, ["a", "b"], "left_anti"), named))
     if not middle.isEmpty():
         known = connected(known, verified(docs, middle, shared, shingle))
-    entries = cut_lineage(shared_entries(index_entries(single, shared, shingle)))
-    looked = cut_lineage(across(entries, known, named, single, shared, shingle, one_each=True))
+    drop_table(least)
+    prefixes = int(named.agg(F.sum(F.ceil(F.col("n") * (SIMILAR[1] - SIMILAR[0]) / SIMILAR[1]) + 1)).first()[0] or 0)
+    buckets = row_count_partitions(prefixes, BUCKET)
+    entries = cut_lineage(shared_entries(index_entries(single, shared, shingle, buckets)))
+    looked = across(entries, known, named, single, shared, shingle, one_each=True)
     known = connected(known, verified(docs, looked, shared, shingle))
-    rest = across(entries, known, named, single, shared, shingle, one_each=False).join(looked, ["a", "b"], "left_anti")
-    rest = cut_lineage(rest)
-    return info.select("doc_id", "n"), known if rest.isEmpty() else connected(known, verified(docs, rest, shared, shingle))
+    rest = across(entries, known, named, single, shared, shingle, one_each=False)
+    drop_table(entries)
+    rest = cut_lineage(rest.join(looked, ["a", "b"], "left_anti"))
+    return info, known if rest.isEmpty() else connected(known, verified(docs, rest, shared, shingle))
 
 
 def connected(known: DataFrame, links: DataFrame) -> DataFrame:

@@ -93,6 +93,16 @@ def shuffles_deleted(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(name, before)
 
 
+def drop_table(table: DataFrame) -> None:
+    """Delete the files of a table from :func:`cut_lineage` that nothing reads any more."""
+    spark = table.sparkSession
+    inside = f"/adlake-{spark.sparkContext.applicationId}/"
+    for folder in {f.rpartition("/")[0] for f in table.inputFiles()}:
+        if inside in f"{folder}/":
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def intermediate_folder(spark: SparkSession) -> str:
     """Where this application keeps its intermediate tables."""
     return f"{shared_folder(spark)}/adlake-{spark.sparkContext.applicationId}"

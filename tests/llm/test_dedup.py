@@ -3,6 +3,8 @@
 import hashlib
 import random
 import re
+from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +14,7 @@ from pyspark.sql import functions as F
 from adlake.llm import exact_dedup, jaccard_join, line_dedup, suffix_dedup
 from adlake.llm.common import marked
 from adlake.llm.components import components
+from adlake.session import intermediate_folder
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -139,6 +142,35 @@ def test_jaccard_reads_texts_with_one_worker_a_task(docs, corpus):
     assert python_steps(jaccard_join.least_tokens(single, 5)) == 1
 
 
+@pytest.mark.parametrize("buckets, at_once", [(1, 1 << 17), (7, 40)])
+def test_jaccard_index_in_buckets(spark, docs, corpus, buckets, at_once, monkeypatch):
+    """The index shuffles lists, far fewer rows than entries, and keeps every token that two documents have."""
+    monkeypatch.setattr(jaccard_join, "ENTRIES", at_once)
+    table = docs([r for r in corpus if r[0] is not None]).dropDuplicates(["doc_id"]).coalesce(1)
+    shared = spark.sparkContext.broadcast(np.zeros(jaccard_join.PART, np.uint8))
+    packed = jaccard_join.index_entries(table, shared, 5, buckets)
+    flat = [(t, d, n, p) for r in packed.collect() for t, d, n, p in zip(r.token, r.doc_id, r.n, r.place)]
+    assert len(flat) == len(set(flat)) > (100 if buckets == 1 else 2) * packed.count()
+    times = Counter(t for t, *_ in flat)
+    kept = jaccard_join.shared_entries(packed).collect()
+    assert sorted((r.token, r.doc_id, r.n, r.place) for r in kept) == sorted(x for x in flat if times[x[0]] > 1)
+
+
+def test_jaccard_counts_and_tables_are_small(spark, docs, corpus):
+    """Counters take as many bytes as the largest needs, and tables of counters and of the index go once they are used."""
+    for most, width in ((255, 1), (256, 2), (1 << 16, 4)):
+        counts = np.zeros(jaccard_join.PART, np.uint64)
+        counts[5] = most
+        assert len(jaccard_join.narrowed(counts)) == width * jaccard_join.PART
+        assert (jaccard_join.widened(jaccard_join.narrowed(counts)) == counts).all()
+    folder = Path(intermediate_folder(spark).removeprefix("file:"))
+    before = set(folder.iterdir()) if folder.exists() else set()
+    jaccard_join.link(docs(corpus[:60]).select("doc_id", "text"))
+    for left in set(folder.iterdir()) - before:
+        names = spark.read.parquet(str(left)).columns
+        assert not {"_block", "place"} & set(names) and not {"bits", "counts"} <= set(names)
+
+
 def test_marked_ids(spark):
     rows = spark.range(2000).selectExpr("if(id % 100 = 7, NULL, id) AS doc_id", "id AS x")
     ids = spark.range(0, 2000, 10).toDF("_id")
