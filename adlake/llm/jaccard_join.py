@@ -38,13 +38,13 @@ from adlake.session import cut_lineage, drop_table
 SHINGLE = 5
 ORDERS = 3
 LEAST = 4  # hashes whose least tokens propose first pairs
-TEXT_BYTES = 1 << 19  # bytes of text of a numpy step; arrays over its bytes take many times that
+TEXT_BYTES = 1 << 18  # bytes of text of a numpy step; arrays over its bytes take many times that
 BATCH_BYTES = 1 << 22  # of rows that Spark sends a Python worker at a time
 SIMILAR = (75, 100)
 COUNTERS = 1 << 22  # most counters of the sketch
 PART = 1 << 16  # counters per row of the sketch
 FAN_IN = 64  # partial sketches merged by one task
-ENTRIES = 1 << 18  # of the index that a worker collects before it deals them to buckets
+ENTRIES = 1 << 17  # of the index that a worker collects before it deals them to buckets
 BUCKET = 1 << 17  # entries of a bucket, as expected
 WIDTHS = (1024, 4096, 16384)  # bits of parity signatures, for sets of up to as many tokens
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
