@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from adlake.operators import entity_similarity as es
 from adlake.operators.running import attach, running_sums
-from adlake.session import cut_lineage
+from adlake.session import cut_lineage, drop_table
 
 HEAVY = 4096  # entities of an index token that one task joins with the others of the token
 SLACK = 1e-9  # of bounds, for rounding
@@ -102,6 +102,7 @@ def _products(profile: DataFrame, entity: str, token: str, score: str, heavy: in
     rows = cut_lineage(rows.select(F.col(entity).alias("entity"), F.col(token).alias("token"), F.col(score).cast("double").alias("value")).where("value != 0"))
     size = min(heavy, es.ENTITIES_PER_BLOCK)
     products = es.weighted_products(rows, "entity", "token", "value", es.norm(), entities_per_block=size, **bounds)
+    drop_table(rows)
     return products.select("a", "b", (F.col("product") / (F.col("weight_a") * F.col("weight_b"))).alias("cosine"))
 
 
@@ -133,7 +134,10 @@ def placed_sets(sized: DataFrame) -> DataFrame:
 def shared_counts(pairs: DataFrame, sized: DataFrame) -> DataFrame:
     """(a, b, size_a, size_b, shared) of given pairs that share a token, block against block."""
     rows = cut_lineage(sized.select("entity", "token", F.lit(1.0).alias("_one")))
-    shared = es.products_of(cut_lineage(pairs), rows, "entity", "token", "_one")
+    pairs = cut_lineage(pairs)
+    shared = es.products_of(pairs, rows, "entity", "token", "_one")
+    drop_table(rows)
+    drop_table(pairs)
     sizes = cut_lineage(sized.select("entity", "size").distinct())
     of_a, of_b = (sizes.select(F.col("entity").alias(c), F.col("size").alias(f"size_{c}")) for c in "ab")
     return shared.join(of_a, "a").join(of_b, "b").select("a", "b", "size_a", "size_b", F.round("product").cast("long").alias("shared"))

@@ -1,11 +1,13 @@
 import itertools
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from adlake.operators import entity_similarity as es
 from adlake.operators import experiment
+from adlake.session import cut_lineage, drop_table
 
 
 @pytest.fixture(scope="module")
@@ -114,6 +116,33 @@ def test_rows_go_only_to_blocks_with_their_token(spark):
     assert es._copies(df, blocks).count() <= 3 * len(rows)
 
 
+def test_rows_travel_in_packs_and_pairs_stay(spark):
+    """Rows that go the same way are one row of the shuffle, a pair leaves one task only, and the caller's rows are read no more."""
+    rows = [(e, t, 1.5 * (e % 7 - 3)) for e in range(60) for t in range(e % 5, 90) if e % 7 != 3]
+    df = spark.createDataFrame(rows, "entity int, token int, value double")
+    written = cut_lineage(df)
+    products = es.weighted_products(written, "entity", "token", "value", es.norm(), entities_per_block=20)
+    drop_table(written)
+    of = {(e, t): v for e, t, v in rows}
+    ids = sorted({e for e, _, _ in rows})
+    want = {(a, b): sum(of[a, t] * of[b, t] for t in range(max(a % 5, b % 5), 90)) for a in ids for b in ids if a <= b}
+    assert {(r.a, r.b): r["product"] for r in products.collect()} == want
+    plan = products._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "hashpartitioning(a#" not in plan
+    blocks = es._in_blocks(df, es.norm(), 20, 10**6)
+    copies = es._copies(df.coalesce(1), blocks).coalesce(1)
+    pairs = copies.select("first_block", "second_block", "parts").distinct()
+    met = es._met(copies, blocks, pairs)
+    assert met.where("data IS NOT NULL").count() == 9 and met.where("number IS NOT NULL").isEmpty()
+
+
+def test_packs_hold_the_same_numbers():
+    for value in ([1.0, 2.0, 255.0], [-1.0, 0.5, 3.0], [0.1, 1e300, float("inf")], [float("nan"), 1.0, 2.0], [70000.0, -5.0, 2.0**40]):
+        number, place, value = np.array([3, 3, 2**40]), np.array([0, 70000, 5]), np.array(value)
+        got = es._unpacked(es._packed((np.array([3, 2**40 - 3]), np.array([2, 1]), place, value)))
+        assert all(np.array_equal(a, b, equal_nan=True) and a.dtype == b.dtype for a, b in zip(got, (number, place, value), strict=True))
+
+
 def test_tokens_of_large_blocks_are_dealt(spark):
     """Products, bounds and best partners are the same when the tokens of two blocks fall to several tasks."""
     draw = random.Random(4)
