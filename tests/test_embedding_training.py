@@ -231,3 +231,22 @@ def test_pooling_shuffles_tokens_not_vectors(spark, monkeypatch):
     assert plan.count("Exchange hashpartitioning") == 1 and "REPARTITION" in plan
     means = {(r.sample, r.feature): (r.embedding, r.tokens) for r in pooled.collect()}
     assert means[3, "x"] == ([0.75, 0.75], 4) and len(means) == 40
+
+
+@pytest.mark.parametrize("sent", [64 << 20, 0])
+def test_pooling_never_shuffles_sums(spark, monkeypatch, sent):
+    """Also where Spark would not broadcast the table: the last exchange deals tokens by sample, and the sums stay where they are formed."""
+    monkeypatch.setattr(em, "SENT_BYTES", sent)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tokens = spark.createDataFrame([(s, f, t) for s in range(20) for f in ("x", "y") for t in range(s % 4 + 1)], "sample long, feature string, token_id long")
+        table = spark.createDataFrame([(t, [float(t), 1.0]) for t in range(3)], "token_id long, embedding array<double>")
+        pooled = em.mean_pool(tokens, table, "sample", 2)
+        plan = pooled._jdf.queryExecution().executedPlan().toString()
+        assert not [line for line in plan.splitlines() if "Exchange" in line and "feature#" in line] and "REPARTITION_BY_NUM" in plan
+        assert ("BroadcastHashJoin" in plan) == (sent > 0)
+        means = {(r.sample, r.feature): (r.embedding, r.tokens) for r in pooled.collect()}
+        assert means[3, "x"] == ([0.75, 0.75], 4) and means[2, "y"] == ([1.0, 1.0], 3) and len(means) == 40
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
