@@ -250,3 +250,19 @@ def test_pooling_never_shuffles_sums(spark, monkeypatch, sent):
         assert means[3, "x"] == ([0.75, 0.75], 4) and means[2, "y"] == ([1.0, 1.0], 3) and len(means) == 40
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_assembling_does_not_shuffle_means(spark):
+    """Few tokens, so few parts: the samples come to the means, not the means to the samples."""
+    tokens = spark.createDataFrame([(s, f, s % 3) for s in range(20) for f in ("x", "y")], "sample long, feature string, token_id long")
+    table = spark.createDataFrame([(t, [float(t), 1.0]) for t in range(3)], "token_id long, embedding array<double>")
+    samples = spark.range(20).withColumnRenamed("id", "sample").withColumn("d", F.lit(1.0))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = em.assemble(em.mean_pool(tokens, table, "sample", 2), samples, "sample", ["x", "y"], ["d"], 2)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 2 and "SortMergeJoin" in plan
+        assert {r["sample"]: r.inputs for r in out.collect()}[4] == [1.0, 1.0, 1.0, 1.0, 1.0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
